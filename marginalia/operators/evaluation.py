@@ -62,21 +62,20 @@ def item_results(items: DataFrame, retrieved: DataFrame, expected: DataFrame, de
     """
     hits = mark_hits(retrieved, expected)
     gain = F.when(F.col("hit") & (F.col("rank") <= NDCG_DEPTH), F.lit(1.0) / F.log2(F.col("rank") + 1.0))
-    if dedup_docs:
-        best = hits.groupBy("item_id", "doc_id").agg(F.min("rank").alias("rank"), F.max("hit").alias("hit"))
-        gains = best.groupBy("item_id").agg(F.coalesce(F.sum(gain), F.lit(0.0)).alias("dcg"))
-    else:
-        gains = hits.groupBy("item_id").agg(F.coalesce(F.sum(gain), F.lit(0.0)).alias("dcg"))
     firsts = [F.min(F.when(F.col("hit"), F.col("rank"))).alias("first_hit_rank")]
     for name in ("page_start", "page_end", "section_heading"):
         value = F.col(name) if name in retrieved.columns else F.lit(None)
         firsts.append(F.max(F.when(F.col("rank") == 1, value)).alias(f"top_{name}"))
-    per_item = hits.groupBy("item_id").agg(*firsts)
+    if dedup_docs:
+        best = hits.groupBy("item_id", "doc_id").agg(F.min("rank").alias("rank"), F.max("hit").alias("hit"))
+        gains = best.groupBy("item_id").agg(F.coalesce(F.sum(gain), F.lit(0.0)).alias("dcg"))
+        per_item = hits.groupBy("item_id").agg(*firsts).join(gains, "item_id")
+    else:
+        per_item = hits.groupBy("item_id").agg(*firsts, F.coalesce(F.sum(gain), F.lit(0.0)).alias("dcg"))
     counts = expected.groupBy("item_id").agg(F.countDistinct("doc_id").alias("n_expected"))
     ideal = ideal_gain(F.coalesce("n_expected", F.lit(0)))
     return (
         items.join(per_item, "item_id", "left")
-        .join(gains, "item_id", "left")
         .join(counts, "item_id", "left")
         .withColumn("ndcg", F.when(ideal > 0, F.coalesce("dcg", F.lit(0.0)) / ideal).otherwise(0.0))
     )
