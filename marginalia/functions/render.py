@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from marginalia.functions.citations import EN_DASH, SECTION, citation_prefix
-from marginalia.functions.text import SPACE, strip
+from marginalia.functions.text import SPACE, fixed, strip
 
 # Separators and limits of the text forms.
 CONTEXT_SEPARATOR = "\n\n---\n\n"
@@ -33,7 +33,7 @@ def preview(body: Column) -> Column:
 
 def text_result(rank: Column, score: Column, chunk_id: Column, source: Column, body: Column) -> Column:
     """Entry of the plain-text listing."""
-    header = F.format_string("[%d] Score: %.2f | ID: %s | Source: %s", rank, score, chunk_id, source)
+    header = F.format_string("[%d] Score: %s | ID: %s | Source: %s", rank, fixed(score, 2), chunk_id, source)
     return F.concat_ws("\n", header, F.lit(RULE), preview(body), F.lit(RULE), F.lit(""))
 
 
@@ -75,7 +75,7 @@ def short_query(query: Column, limit: int = QUERY_CHARS) -> Column:
 
 def delta_arrow(delta: Column) -> Column:
     """Change against a baseline: ``=``, an up arrow, or a down arrow."""
-    size = F.format_string("%.3f", F.abs(delta))
+    size = fixed(F.abs(delta), 3)
     return (
         F.when(delta.isNull(), "")
         .when(F.abs(delta) < 1e-6, "=")

@@ -28,6 +28,14 @@ def tokenize(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN_PATTERN), F.lit(0))
 
 
+def fixed(value: Column, digits: int) -> Column:
+    """Decimal text rounded from the exact binary value, without grouping.
+
+    ``format_string`` rounds the shortest decimal form instead, which turns
+    ties the other way."""
+    return F.replace(F.format_number(value, digits), F.lit(","), F.lit(""))
+
+
 def strip(text: Column) -> Column:
     """Remove Unicode white space from both ends."""
     return F.regexp_replace(text, rf"\A[{SPACE}]+|[{SPACE}]+\z", "")

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marginalia.functions.text import fixed
 from marginalia.operators.topk import number_rows
 
 # Tombstone shares above which to warn and to rebuild.
@@ -122,5 +123,5 @@ def duration_text(seconds: Column) -> Column:
     return (
         F.when(seconds < 60, F.concat(seconds.cast("string"), F.lit("s")))
         .when(seconds < 3600, F.concat(F.floor(seconds / 60).cast("string"), F.lit("m")))
-        .otherwise(F.format_string("%.1fh", seconds / 3600.0))
+        .otherwise(F.concat(fixed(seconds / 3600.0, 1), F.lit("h")))
     )
