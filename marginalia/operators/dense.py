@@ -167,5 +167,5 @@ def centroids(vectors: DataFrame, key: str) -> DataFrame:
         .groupBy(key, "pos")
         .agg(F.avg(F.col("x").cast("double")).alias("x"))
     )
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "x")))
+    ordered = F.sort_array(F.collect_list(F.struct("pos", "x")))
     return means.groupBy(key).agg(F.transform(ordered, lambda p: p["x"]).alias("embedding"))

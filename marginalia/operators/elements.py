@@ -106,7 +106,7 @@ def format_documents(elements: DataFrame, metadata: dict[str, Column] | None = N
     """Markdown plus element map per document: doc_id, markdown, elements."""
     header = front_matter(metadata) if metadata else F.lit("")
     mapped = element_map(elements)
-    ordered = F.array_sort(
+    ordered = F.sort_array(
         F.collect_list(
             F.struct("pos", "text", "char_start", "char_end", "page_number", "heading_stack")
         )

@@ -27,7 +27,7 @@ def summarize(formulas: DataFrame) -> DataFrame:
 
 
 def _ordered(entries: Column) -> Column:
-    return F.array_sort(F.collect_list(entries))
+    return F.sort_array(F.collect_list(entries))
 
 
 def page_sections(formulas: DataFrame) -> DataFrame:

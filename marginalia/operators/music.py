@@ -116,7 +116,7 @@ def to_abc(elements: DataFrame) -> DataFrame:
     symbols = audible.select(
         "doc_id", "pos", F.concat(F.when(moved, "|").otherwise(""), abc_symbol()).alias("t")
     )
-    body = symbols.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "t"))).alias("b"))
+    body = symbols.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("pos", "t"))).alias("b"))
     key = F.coalesce(F.substring_index("key", " ", 1), F.lit("C"))
     time = F.coalesce("time_signature", F.lit("4/4"))
     return summarize(elements).join(body, "doc_id", "left").select(

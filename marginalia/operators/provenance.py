@@ -19,17 +19,17 @@ def _covered_buckets(start: str, end: str, width: int):
 
 
 def chunk_pages(chunks: DataFrame, elements: DataFrame, width: int = BUCKET) -> DataFrame:
-    """Smallest and largest page over the elements a chunk overlaps.
+    """Add the smallest and largest page over the elements a chunk overlaps.
 
     Interval join by buckets of the text position: rows meet only inside a
     document's bucket, not across the whole document. A pair seen in two
-    buckets does no harm, minimum and maximum ignore repeats.
+    buckets does no harm, minimum and maximum ignore repeats. The chunk's own
+    columns travel along, so chunks are read once.
     """
     left = chunks.select(
         "doc_id",
         "chunk_index",
-        F.col("char_start").alias("c_start"),
-        F.col("char_end").alias("c_end"),
+        F.struct(*chunks.columns).alias("chunk"),
         F.explode(_covered_buckets("char_start", "char_end", width)).alias("bucket"),
     )
     right = elements.filter(F.col("page_number").isNotNull()).select(
@@ -39,48 +39,44 @@ def chunk_pages(chunks: DataFrame, elements: DataFrame, width: int = BUCKET) ->
         "page_number",
         F.explode(_covered_buckets("char_start", "char_end", width)).alias("bucket"),
     )
-    overlap = (F.col("e_end") > F.col("c_start")) & (F.col("e_start") < F.col("c_end"))
+    overlap = (F.col("e_end") > F.col("chunk.char_start")) & (F.col("e_start") < F.col("chunk.char_end"))
     return (
         left.join(right, ["doc_id", "bucket"], "left")
         .groupBy("doc_id", "chunk_index")
         .agg(
+            F.any_value("chunk").alias("chunk"),
             F.min(F.when(overlap, F.col("page_number"))).alias("page_start"),
             F.max(F.when(overlap, F.col("page_number"))).alias("page_end"),
         )
+        .select("chunk.*", "page_start", "page_end")
     )
 
 
 def chunk_sections(chunks: DataFrame, elements: DataFrame) -> DataFrame:
-    """Innermost heading open where a chunk starts; the earlier section wins.
+    """Add the innermost heading open where a chunk starts; the earlier section wins.
 
     A backward as-of join: both sides are merged in text order and the last
     seen heading is carried forward, which is linear in their sizes.
     """
     headed = elements.filter(F.size("heading_stack") > 0).select(
         "doc_id",
-        F.col("char_start").alias("at"),
-        F.lit(0).alias("kind"),
-        F.lit(None).cast("int").alias("chunk_index"),
+        F.col("char_start").cast("long").alias("at"),
         F.element_at("heading_stack", -1).alias("heading"),
     )
     asked = chunks.select(
-        "doc_id",
-        F.col("char_start").alias("at"),
-        F.lit(1).alias("kind"),
-        F.col("chunk_index").cast("int").alias("chunk_index"),
-        F.lit(None).cast("string").alias("heading"),
+        "doc_id", F.col("char_start").cast("long").alias("at"), F.struct(*chunks.columns).alias("chunk")
     )
-    upto = Window.partitionBy("doc_id").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    order = [F.col("at"), F.col("chunk").isNotNull()]
+    upto = Window.partitionBy("doc_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        headed.unionByName(asked)
+        headed.unionByName(asked, allowMissingColumns=True)
         .withColumn("section_heading", F.last("heading", ignorenulls=True).over(upto))
-        .filter("kind = 1")
-        .select("doc_id", "chunk_index", "section_heading")
+        .filter(F.col("chunk").isNotNull())
+        .select("chunk.*", "section_heading")
     )
 
 
 def add_provenance(chunks: DataFrame, elements: DataFrame) -> DataFrame:
-    keys = ["doc_id", "chunk_index"]
-    return chunks.join(chunk_pages(chunks, elements), keys, "left").join(
-        chunk_sections(chunks, elements), keys, "left"
-    )
+    """Chunks with page_start, page_end and section_heading. Leave long texts
+    out of ``chunks`` here and join them by key afterwards."""
+    return chunk_pages(chunk_sections(chunks, elements), elements)

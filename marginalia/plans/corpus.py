@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from marginalia.functions import hashing, text
 from marginalia.operators import agents, manifest, staleness
 from marginalia.plans.registry import query, table
+from marginalia.session import checkpointed
 
 NOW = "2024-06-01 00:00:00"
 
@@ -277,7 +278,9 @@ FROM kept k LEFT JOIN byid i ON i.id = k.id LEFT JOIN byname m ON m.agent = k.ag
 """,
 )
 def manifest_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    merged = manifest.merge_manifests(manifest.resolve_slugs(_agent_corpora(spark, sf_dir)))
+    # Entry rows without texts; the merge reads them for each of its lookups.
+    resolved = checkpointed(manifest.resolve_slugs(_agent_corpora(spark, sf_dir)))
+    merged = manifest.merge_manifests(resolved)
     return merged.withColumn("doc_id", F.coalesce("doc_id", F.lit("")))
 
 

@@ -27,13 +27,8 @@ def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
 
 
-def bm25_index(spark: SparkSession, sf_dir: str, deleted=None) -> bm25.Bm25Index:
-    chunks = documents_as_chunks(spark, sf_dir)
-    if deleted is not None:
-        chunks = chunks.withColumn(
-            "deleted_utc", F.when(deleted(F.col("bm25_index")), F.to_timestamp(F.lit(DELETED_AT)))
-        )
-    return bm25.build_index(chunks)
+def bm25_index(spark: SparkSession, sf_dir: str, materialize: bool = False) -> bm25.Bm25Index:
+    return bm25.build_index(documents_as_chunks(spark, sf_dir), materialize)
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

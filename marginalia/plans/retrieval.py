@@ -230,7 +230,7 @@ FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC
 
 @query("bm25_topk", BM25_TOPK_SQL)
 def bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bm25.search_bm25(rel.bm25_index(spark, sf_dir), rel.benchmark_queries(spark, sf_dir), TOP_K)
+    return bm25.search_bm25(rel.bm25_index(spark, sf_dir, materialize=True), rel.benchmark_queries(spark, sf_dir), TOP_K)
 
 
 @query(
@@ -243,7 +243,7 @@ FROM m QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc
 """,
 )
 def bm25_topk_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = rel.bm25_index(spark, sf_dir)
+    index = rel.bm25_index(spark, sf_dir, materialize=True)
     inverted = bm25.postings(index.docs)
     asked = rel.benchmark_queries(spark, sf_dir)
     return bm25.search_postings(inverted, index.terms, index.meta, asked, TOP_K)
@@ -276,7 +276,7 @@ def bm25_tombstoned(spark: SparkSession, sf_dir: str) -> DataFrame:
         "text",
         F.when(F.col("source") == "src3", F.to_timestamp(F.lit(rel.DELETED_AT))).alias("deleted_utc"),
     )
-    return bm25.search_bm25(bm25.build_index(chunks), rel.benchmark_queries(spark, sf_dir), TOP_K)
+    return bm25.search_bm25(bm25.build_index(chunks, materialize=True), rel.benchmark_queries(spark, sf_dir), TOP_K)
 
 
 def hybrid_pools(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -294,7 +294,7 @@ def hybrid_pools(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
         "rank",
         "distance",
     )
-    found = bm25.search_bm25(rel.bm25_index(spark, sf_dir), rel.benchmark_queries(spark, sf_dir), POOL)
+    found = bm25.search_bm25(rel.bm25_index(spark, sf_dir, materialize=True), rel.benchmark_queries(spark, sf_dir), POOL)
     lexical = found.select(
         "query_id",
         F.format_string("doc-%06d", "bm25_index").alias("chunk_id"),

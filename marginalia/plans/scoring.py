@@ -10,6 +10,7 @@ from marginalia.operators import evaluation as ev
 from marginalia.operators.dense import search_dense
 from marginalia.plans import relations as rel
 from marginalia.plans.registry import query, table
+from marginalia.session import checkpointed
 
 TOP_K = 10
 
@@ -231,7 +232,8 @@ def eval_skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _metric_rows(spark: SparkSession, sf_dir: str, without_label: int | None = None) -> DataFrame:
-    results = _results(spark, sf_dir, without_label)
+    # One row per item, read twice below: retrieval must not run twice.
+    results = checkpointed(_results(spark, sf_dir, without_label))
     return ev.metric_rows(ev.aggregate(results), ev.per_tag(results, _tags(spark, sf_dir)))
 
 
@@ -273,7 +275,7 @@ SELECT round(max(drop), 6) AS worst_drop, max(drop) <= 0.05 AS passes,
 )
 def baseline_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     diff = ev.baseline_diff(_metric_rows(spark, sf_dir, 3), _metric_rows(spark, sf_dir))
-    return ev.gate(diff, 0.05).withColumn("worst_drop", F.round("worst_drop", 6))
+    return ev.gate(checkpointed(diff), 0.05).withColumn("worst_drop", F.round("worst_drop", 6))
 
 
 @query(
@@ -293,7 +295,7 @@ def eval_report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     top3 = (
         retrieved.filter("rank <= 3")
         .groupBy("item_id")
-        .agg(F.array_sort(F.collect_list(F.struct("rank", F.col("doc_id").cast("string").alias("d")))).alias("t"))
+        .agg(F.sort_array(F.collect_list(F.struct("rank", F.col("doc_id").cast("string").alias("d")))).alias("t"))
         .select("item_id", F.array_join(F.transform("t", lambda r: r["d"]), ", ").alias("top3"))
     )
     rows = _results(spark, sf_dir).join(top3, "item_id", "left")

@@ -49,7 +49,7 @@ def citations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _hits(spark: SparkSession, sf_dir: str, k: int = CONTEXT_K) -> DataFrame:
     """Cited results: ranking runs without texts; only hits fetch their body."""
-    found = bm25.search_bm25(rel.bm25_index(spark, sf_dir), rel.benchmark_queries(spark, sf_dir), k)
+    found = bm25.search_bm25(rel.bm25_index(spark, sf_dir, materialize=True), rel.benchmark_queries(spark, sf_dir), k)
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("bm25_index"), "source", "lang", "text")
     joined = docs.join(found, "bm25_index")
     name = F.concat("source", F.lit("_"), "lang", F.lit(".pdf"))
@@ -90,7 +90,7 @@ def context_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prompt context per query from its few best chunks."""
     block = render.context_block(F.col("source"), F.col("citation"), F.col("text"))
     hits = _hits(spark, sf_dir).select("query_id", "rank", block.alias("block"))
-    grouped = hits.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("rank", "block"))).alias("b"))
+    grouped = hits.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("rank", "block"))).alias("b"))
     context = F.array_join(F.transform("b", lambda b: b["block"]), render.CONTEXT_SEPARATOR)
     return grouped.select(
         "query_id", F.size("b").cast("long").alias("n_chunks"), F.md5(context.cast("binary")).alias("digest")
@@ -177,7 +177,7 @@ FROM hits h LEFT JOIN labels l ON l.doc_id = h.doc_id
 )
 def hit_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hits keep their place when the lookup misses; the id is empty then."""
-    found = bm25.search_bm25(rel.bm25_index(spark, sf_dir), rel.benchmark_queries(spark, sf_dir), CONTEXT_K)
+    found = bm25.search_bm25(rel.bm25_index(spark, sf_dir, materialize=True), rel.benchmark_queries(spark, sf_dir), CONTEXT_K)
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("bm25_index"), "quality")
     joined = labels.join(found, "bm25_index", "right")
     return joined.select(

@@ -440,7 +440,7 @@ def chunk_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
     character lies in some chunk."""
     docs = texts(spark, sf_dir)
     chunks = splitter.split_documents(docs)
-    spans = F.array_sort(
+    spans = F.sort_array(
         F.collect_list(F.struct("chunk_index", "char_start", "char_end", F.md5(F.col("text").cast("binary")).alias("h"),
                                 (F.trim("text").contains(" ") | F.trim("text").contains("\n")).alias("breakable")))
     )
