@@ -105,26 +105,32 @@ def abc_symbol() -> Column:
 
 
 def to_abc(elements: DataFrame) -> DataFrame:
-    """ABC notation per piece: header, symbols, a bar at each new measure."""
+    """ABC notation per piece: header, symbols, a bar at each new measure.
+
+    One sort by piece serves bars, signatures and the ordered symbols."""
+    kind = F.col("element_type")
     lasting = F.col("duration").isNotNull() & (F.col("duration") != 0)
-    audible = elements.filter(
-        lasting
-        & ((F.col("element_type") == "rest") | ((F.col("element_type") == "note") & (F.coalesce("pitch", F.lit("")) != "")))
+    audible = lasting & ((kind == "rest") | ((kind == "note") & (F.coalesce("pitch", F.lit("")) != "")))
+    before = Window.partitionBy("doc_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    last_measure = F.last(F.when(audible, F.col("measure_number")), ignorenulls=True).over(before)
+    moved = last_measure != F.col("measure_number")
+    symbol = F.when(audible, F.concat(F.when(moved, "|").otherwise(""), abc_symbol()))
+    entry = F.when(F.col("t").isNotNull(), F.struct("pos", "t"))
+    grouped = (
+        elements.withColumn("t", symbol)
+        .groupBy("doc_id")
+        .agg(
+            F.sort_array(F.collect_list(entry)).alias("body"),
+            _last(kind == "key_sig", _named(F.coalesce("sharps", F.lit(0)), KEYS, " sharps")).alias("key"),
+            _last(kind == "time_sig", F.coalesce("time_signature", F.lit("4/4"))).alias("time"),
+        )
     )
-    order = Window.partitionBy("doc_id").orderBy("pos")
-    moved = F.lag("measure_number").over(order) != F.col("measure_number")
-    symbols = audible.select(
-        "doc_id", "pos", F.concat(F.when(moved, "|").otherwise(""), abc_symbol()).alias("t")
-    )
-    body = symbols.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("pos", "t"))).alias("b"))
-    key = F.coalesce(F.substring_index("key", " ", 1), F.lit("C"))
-    time = F.coalesce("time_signature", F.lit("4/4"))
-    return summarize(elements).join(body, "doc_id", "left").select(
+    return grouped.select(
         "doc_id",
         F.concat(
-            F.lit("X:1\nT:Untitled\nM:"), time, F.lit("\nL:1/4\nK:"), key, F.lit("\n"),
-            F.coalesce(F.array_join(F.transform("b", lambda s: s["t"]), ""), F.lit("")),
-            F.lit("|\n"),
+            F.lit("X:1\nT:Untitled\nM:"), F.coalesce("time", F.lit("4/4")), F.lit("\nL:1/4\nK:"),
+            F.coalesce(F.substring_index("key", " ", 1), F.lit("C")), F.lit("\n"),
+            F.array_join(F.transform("body", lambda s: s["t"]), ""), F.lit("|\n"),
         ).alias("abc"),
     )
 

@@ -207,13 +207,15 @@ def _music(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("word").rlike("^[a-g]"), "note")
         .otherwise("rest")
     )
+    words = words.withColumn("element_type", kind)
+    kind = F.col("element_type")
     sign = F.when(F.substring("word", 2, 1) == "r", "#").when(F.substring("word", 2, 1) == "n", "b").otherwise("")
     pitch = F.concat(F.upper(F.substring("word", 1, 1)), sign, (n % 4 + 2).cast("string"))
     lengths = F.array(*[F.lit(x) for x in (0.5, 1.0, 2.0, 1.5, 0.25, 4.0)])
     return words.select(
         "doc_id",
         F.col("pos").cast("long").alias("pos"),
-        kind.alias("element_type"),
+        "element_type",
         (F.floor(F.col("pos") / 4) + 1).alias("measure_number"),
         F.when(kind == "note", pitch).alias("pitch"),
         F.when(kind.isin("note", "rest"), F.get(lengths, n % 6)).alias("duration"),

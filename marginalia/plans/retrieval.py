@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marginalia.functions.text import tokenize
 from marginalia.functions.vectors import l2_normalize, similarity, squared_l2
-from marginalia.operators import bm25, hybrid
+from marginalia.operators import bm25, hybrid, models
 from marginalia.operators.dense import centroids, search_dense
 from marginalia.plans import relations as rel
 from marginalia.plans.registry import query, table, texts
@@ -422,3 +422,51 @@ def hybrid_cross_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hybrid.cross_channel_drops(
         dense, lexical, labels.filter("toxic = 1"), labels.filter("quality = 0")
     )
+
+
+@query(
+    "embed_documents",
+    """
+WITH b AS (
+  SELECT doc_id, list_transform(range(0, 32), lambda i: (('0x' || substr(sha256(text), 2 * i + 1, 2))::INT / 255.0)::DOUBLE) AS v
+  FROM documents WHERE regexp_matches(text, '\\S')
+), n AS (SELECT doc_id, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS norm FROM b)
+SELECT doc_id, len(v)::BIGINT AS dim, round((v[1] / norm)::FLOAT::DOUBLE, 5) AS first, round((v[32] / norm)::FLOAT::DOUBLE, 5) AS last FROM n
+""",
+)
+def embed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embedding stage with a deterministic stand-in for the model."""
+    vectors = models.embed(texts(spark, sf_dir), models.digest_embedder())
+    return vectors.select(
+        "doc_id",
+        F.size("embedding").cast("long").alias("dim"),
+        F.round(F.col("embedding")[0].cast("double"), 5).alias("first"),
+        F.round(F.col("embedding")[31].cast("double"), 5).alias("last"),
+    )
+
+
+@query(
+    "rerank_pool",
+    f"""
+WITH {rel.BM25_SCORE_SQL},
+pool AS (
+  SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS pool_rank FROM scored QUALIFY pool_rank <= 50
+),
+asked AS (SELECT query_id, list(DISTINCT term) AS w FROM qterm GROUP BY query_id),
+rr AS (
+  SELECT p.query_id, p.doc_id, p.pool_rank,
+         round(len(list_intersect(w, list_distinct(t.tokens)))::DOUBLE / len(w), 6) AS rerank_score
+  FROM pool p JOIN asked a ON a.query_id = p.query_id JOIN tok t ON t.doc_id = p.doc_id
+)
+SELECT query_id, doc_id AS bm25_index, pool_rank, rerank_score, row_number() OVER (PARTITION BY query_id ORDER BY rerank_score DESC, pool_rank) AS rank
+FROM rr QUALIFY rank <= 10
+""",
+)
+def rerank_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """BM25 pool reranked by a deterministic stand-in for a cross-encoder."""
+    asked = rel.benchmark_queries(spark, sf_dir)
+    pool = bm25.search_bm25(rel.bm25_index(spark, sf_dir, materialize=True), asked, POOL)
+    bodies = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("bm25_index"), "text")
+    pairs = bodies.join(pool, "bm25_index").join(asked.withColumnRenamed("text", "query"), "query_id")
+    ranked = models.rerank(pairs, lambda: models.overlap_scorer(), TOP_K)
+    return ranked.select("query_id", "bm25_index", "pool_rank", "rerank_score", "rank")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from marginalia.functions import hashing, text
 from marginalia.operators import elements, provenance, splitter
 from marginalia.plans.registry import query, table, texts
+from marginalia.session import checkpointed
 
 # The white-space class of the text functions, for use inside SQL patterns.
 WS = text.SPACE
@@ -474,7 +475,8 @@ def chunk_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
 def chunk_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Format, split and trace: chunks of the formatted text with pages and section."""
     rows = _line_elements(spark, sf_dir)
-    formatted = elements.format_documents(rows)
+    # The written documents table of an ingest run: split and traced from one copy.
+    formatted = checkpointed(elements.format_documents(rows))
     chunks = splitter.split_documents(formatted.select("doc_id", F.col("markdown").alias("text")))
     mapped = formatted.select("doc_id", F.inline("elements"))
     traced = provenance.add_provenance(chunks.drop("text"), mapped)
