@@ -1,29 +1,31 @@
-"""Readable text of HTML as column expressions."""
+"""Readable text of HTML.
+
+Tags are cut by JVM expressions; character references are decoded by the
+standard library's table in one Arrow step over the remaining text nodes.
+"""
 
 from __future__ import annotations
 
+import html as html_library
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marginalia.functions.text import strip
 
-# Character references that are decoded; & comes last.
-REFERENCES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&apos;", "'"),
-    ("&nbsp;", " "),
-    ("&amp;", "&"),
-)
-
 # Parts without readable text; each becomes a tag so that it still separates.
 HIDDEN = (
     r"(?s)<!--.*?-->",
     r"(?is)<script\b[^>]*>.*?</script\s*>",
     r"(?is)<style\b[^>]*>.*?</style\s*>",
 )
+TAG = r"<[!/?a-zA-Z][^>]*>"
+
+
+def _decode(nodes: pd.Series) -> pd.Series:
+    return nodes.map(lambda texts: [html_library.unescape(t) for t in texts], na_action="ignore")
 
 
 def html_blocks(html: Column) -> Column:
@@ -31,14 +33,9 @@ def html_blocks(html: Column) -> Column:
     visible = html
     for pattern in HIDDEN:
         visible = F.regexp_replace(visible, pattern, "<x>")
-
-    def decoded(node: Column) -> Column:
-        for reference, char in REFERENCES:
-            node = F.replace(node, F.lit(reference), F.lit(char))
-        return strip(node)
-
-    nodes = F.split(visible, r"<[!/?a-zA-Z][^>]*>")
-    return F.filter(F.transform(nodes, decoded), lambda node: node != "")
+    decode = F.pandas_udf(_decode, T.ArrayType(T.StringType()))
+    decoded = decode(F.filter(F.split(visible, TAG), lambda node: node != ""))
+    return F.filter(F.transform(decoded, strip), lambda node: node != "")
 
 
 def html_text(html: Column) -> Column:

@@ -50,7 +50,7 @@ def unify_newlines(text: Column) -> Column:
 
 
 def _strip_line_ends(text: Column) -> Column:
-    # (?d) limits line ends to \n, so \u0085 or   do not end a line here.
+    # (?d) limits line ends to the newline; other separators end no line here.
     return F.regexp_replace(text, rf"(?md)[{SPACE_NO_NEWLINE}]+$", "")
 
 

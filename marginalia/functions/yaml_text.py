@@ -34,8 +34,8 @@ ESCAPES = (
     ("\x1b", "\\e"),
     ("\x85", "\\N"),
     ("\xa0", "\\_"),
-    (" ", "\\L"),
-    (" ", "\\P"),
+    ("\u2028", "\\L"),
+    ("\u2029", "\\P"),
 )
 
 
@@ -56,7 +56,8 @@ def _escaped(char: Column) -> Column:
 def yaml_text(value: Column) -> Column:
     """A string as a one-line YAML scalar: plain, single or double quoted.
 
-    Long plain scalars are not folded over lines."""
+    Nothing is folded: long scalars stay on one line, and a text with line
+    breaks is double quoted."""
     double = F.concat(F.lit('"'), F.array_join(F.transform(F.split(value, ""), _escaped), ""), F.lit('"'))
     single = F.concat(F.lit("'"), F.replace(value, F.lit("'"), F.lit("''")), F.lit("'"))
     return (
@@ -116,15 +117,24 @@ def render_chunk(
     return F.concat(F.concat_ws("\n", *lines), F.lit("\n\n"), ended)
 
 
+def _unescaped(piece: Column) -> Column:
+    out = None
+    for raw, code in ESCAPES:
+        out = F.when(piece == code, raw) if out is None else out.when(piece == code, raw)
+    digits = F.regexp_extract(piece, r"^\\[xuU]([0-9A-F]+)$", 1)
+    point = F.decode(F.unhex(F.lpad(digits, 8, "0")), "UTF-32")
+    return out.when(digits != "", point).otherwise(piece)
+
+
 def unquote(value: Column) -> Column:
     """Text of a plain or quoted scalar as written by :func:`yaml_text`."""
-    inner = F.regexp_extract(value, r"^'(.*)'$", 1)
-    double = F.get_json_object(
-        F.concat(F.lit('{"v":'), F.regexp_replace(value, r"\\x([0-9A-F]{2})", r"\\u00$1"), F.lit("}")), "$.v"
+    inner = F.regexp_extract(value, r"^(?:'|\")(.*)(?:'|\")$", 1)
+    pieces = F.regexp_extract_all(
+        inner, F.lit(r"\\U[0-9A-F]{8}|\\u[0-9A-F]{4}|\\x[0-9A-F]{2}|\\.|[^\\]+"), F.lit(0)
     )
     return (
         F.when(value == "null", None)
         .when(value.rlike("^'.*'$"), F.replace(inner, F.lit("''"), F.lit("'")))
-        .when(value.startswith('"'), double)
+        .when(value.startswith('"'), F.array_join(F.transform(pieces, _unescaped), ""))
         .otherwise(value)
     )

@@ -9,6 +9,7 @@ from marginalia.functions import hashing, markup, text, yaml_text
 from marginalia.functions.formulas import formula_counts, formula_ids
 from marginalia.operators import routing
 from marginalia.plans.registry import query, table, texts
+from marginalia.session import spread
 
 
 @query(
@@ -19,16 +20,17 @@ WITH v AS (
     '(?is)<style\\b[^>]*>.*?</style\\s*>', '<x>', 'g') AS h FROM pages
 ), n AS (
   SELECT page_id, list_filter(list_transform(string_split_regex(h, '<[!/?a-zA-Z][^>]*>'), lambda t:
-    regexp_replace(replace(replace(replace(replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&apos;', ''''),
-      '&nbsp;', chr(160)), '&amp;', '&'), '^[\\s\\x{A0}]+|[\\s\\x{A0}]+$', '', 'g')), lambda t: t <> '') AS b FROM v
+    regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&apos;', ''''),
+      '&nbsp;', chr(160)), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '^[\\s\\x{A0}]+|[\\s\\x{A0}]+$', '', 'g')), lambda t: t <> '') AS b FROM v
 )
 SELECT page_id, len(b)::BIGINT AS n_blocks, array_to_string(b, chr(10) || chr(10)) AS text FROM n
 """,
 )
 def html_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    blocks = markup.html_blocks(F.col("html"))
-    return table(spark, sf_dir, "pages").select(
-        "page_id", F.size(blocks).cast("long").alias("n_blocks"), markup.html_text(F.col("html")).alias("text")
+    pages = spread(table(spark, sf_dir, "pages").select("page_id", "html"), "page_id")
+    blocks = pages.select("page_id", markup.html_blocks(F.col("html")).alias("blocks"))
+    return blocks.select(
+        "page_id", F.size("blocks").cast("long").alias("n_blocks"), F.array_join("blocks", "\n\n").alias("text")
     )
 
 
