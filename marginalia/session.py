@@ -51,14 +51,13 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(cores, *keys)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the folder the cluster names.
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local-mode session without ``spark.checkpoint.dir`` gets a folder of
-    our own; on a cluster a missing setting is an error, because a
-    machine-local folder is lost together with its machine.
+    Only a local-mode session without that setting gets a folder of our own;
+    on a cluster a missing setting is an error, because a machine-local folder
+    is lost together with its machine.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -67,4 +66,10 @@ def checkpointed(df: DataFrame) -> DataFrame:
                 raise RuntimeError("spark.checkpoint.dir is not set on this cluster")
             folder = tempfile.mkdtemp(prefix="marginalia-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut lineage with a reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -55,10 +55,9 @@ def file_sha1(content: Column) -> Column:
 def read_chunk_files(spark: SparkSession, folder: str) -> DataFrame:
     """Chunk files below a corpus folder: path, slug, file text."""
     files = (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", "true")
+        spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "ch_*.md")
-        .text(folder)
+        .text(folder, wholetext=True)
         .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("file"))
     )
     return files.withColumn("slug", F.element_at(F.split("path", "/"), -3))
@@ -67,10 +66,9 @@ def read_chunk_files(spark: SparkSession, folder: str) -> DataFrame:
 def grep(spark: SparkSession, folder: str, pattern: str, limit: int = 50, glob: str = "*") -> DataFrame:
     """First matching lines by file and line number; the limit is the feature."""
     files = (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", "true")
+        spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", glob)
-        .text(folder)
+        .text(folder, wholetext=True)
         .select(F.col("_metadata.file_path").alias("path"), F.posexplode(F.split("value", "\n")).alias("i", "line"))
     )
     return (

@@ -6,6 +6,8 @@ version folder; a row in the ``versions`` table, appended last, publishes it.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +15,7 @@ from pyspark.sql.utils import AnalysisException
 
 from marginalia.functions.text import TOKENIZER_ID
 from marginalia.operators.bm25 import INDEX_VERSION, Bm25Index, postings
+from marginalia.session import shared_folder
 
 MANIFEST_ENTRY = T.StructType(
     [
@@ -42,9 +45,26 @@ class StoreError(RuntimeError):
     """A stored table that is missing, incomplete or of another format."""
 
 
+def _visible(spark: SparkSession, path: str) -> str:
+    """Spark does not read files whose names start with ``_`` or ``.``; such a
+    file is copied by the file system under another name in the shared folder."""
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+    if not name.startswith(("_", ".")):
+        return path
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    settings = spark._jsc.hadoopConfiguration()
+    source = hadoop.Path(path)
+    target = hadoop.Path(f"{shared_folder(spark)}/read-{uuid.uuid4().hex}-{name.lstrip('_.')}")
+    hadoop.FileUtil.copy(
+        source.getFileSystem(settings), source, target.getFileSystem(settings), target, False, settings
+    )
+    return target.toString()
+
+
 def read_manifest_json(spark: SparkSession, path: str) -> DataFrame:
     """Entries of a manifest file; entries without the required fields fail."""
-    raw = spark.read.schema(MANIFEST).option("multiLine", True).option("mode", "FAILFAST").json(path)
+    reader = spark.read.schema(MANIFEST).option("multiLine", True).option("mode", "FAILFAST")
+    raw = reader.json(_visible(spark, path))
     entries = raw.select(F.inline("docs"))
     complete = F.col("doc_id").isNotNull() & F.col("slug").isNotNull() & F.col("orig_name").isNotNull()
     checked = F.when(complete, F.col("doc_id")).otherwise(
