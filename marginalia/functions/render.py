@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from marginalia.functions.citations import EN_DASH, SECTION, citation_prefix
+from marginalia.functions.citations import EN_DASH, SECTION
 from marginalia.functions.text import SPACE, fixed, strip
 
 # Separators and limits of the text forms.
@@ -111,17 +111,18 @@ def report_line() -> Column:
     return F.concat(F.lit("| "), cells, F.lit(" |"))
 
 
-__all__ = [
-    "citation_prefix",
-    "clamp_top_k",
-    "context_block",
-    "context_result",
-    "delta_arrow",
-    "json_result",
-    "preview",
-    "report_citation",
-    "report_line",
-    "short_query",
-    "text_result",
-    "tool_result",
-]
+# Metric labels in report order.
+METRIC_LABELS = ("recall@1", "recall@3", "recall@5", "recall@10", "MRR", "nDCG@10", "citation_accuracy")
+
+
+def metric_line() -> Column:
+    """Row of the aggregate table from baseline_diff rows. Values are rounded
+    to nine digits first, so that sums in another order print alike."""
+    label = F.element_at(F.array(*[F.lit(name) for name in METRIC_LABELS]), (F.col("ordinal") + 1).cast("int"))
+    cells = F.concat_ws(" | ", label, fixed(F.round("value", 9), 3), delta_arrow(F.round("delta", 9)))
+    return F.concat(F.lit("| "), cells, F.lit(" |"))
+
+
+def run_id(agent: Column, started: Column) -> Column:
+    """Name of an evaluation run."""
+    return F.concat(agent, F.lit("-"), F.date_format(started, "yyyyMMdd-HHmmss"))

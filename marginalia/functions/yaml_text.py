@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from marginalia.functions.text import valid_collections
+
 # Plain scalars YAML 1.1 would not read back as text.
 NOT_TEXT = (
     r"^(?:~|null|Null|NULL|yes|Yes|YES|no|No|NO|true|True|TRUE|false|False|FALSE|on|On|ON|off|Off|OFF|<<|=|"
@@ -138,3 +140,41 @@ def unquote(value: Column) -> Column:
         .when(value.startswith('"'), F.array_join(F.transform(pieces, _unescaped), ""))
         .otherwise(value)
     )
+
+
+def _mapping(name: str, entries: Column) -> Column:
+    """Block mapping of a map column, in the map's own order."""
+    lines = F.transform(
+        F.map_entries(entries), lambda e: F.concat(F.lit("  "), e["key"], F.lit(": "), yaml_text(e["value"]))
+    )
+    listed = F.concat(F.lit(f"{name}:\n"), F.array_join(lines, "\n"))
+    return F.when(F.size(lines) > 0, listed).otherwise(f"{name}: {{}}")
+
+
+def render_meta(
+    doc_id: Column,
+    slug: Column,
+    orig_name: Column,
+    created_utc: Column,
+    tooling: Column,
+    params: Column,
+    hashes: Column,
+    collections: Column | None = None,
+    source_agent: Column | None = None,
+) -> Column:
+    """Metadata file of a document. Invalid collection names are left out, an
+    empty list and an empty agent are not written."""
+    stamp = F.date_format(created_utc, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+    lines = [
+        _line("doc_id", yaml_text(doc_id)),
+        _line("slug", yaml_text(slug)),
+        _line("orig_name", yaml_text(orig_name)),
+        _line("created_utc", yaml_text(stamp)),
+    ]
+    if collections is not None:
+        kept = F.transform(valid_collections(collections), lambda c: F.concat(F.lit("- "), yaml_text(c)))
+        lines.append(F.when(F.size(kept) > 0, F.concat(F.lit("collections:\n"), F.array_join(kept, "\n"))))
+    if source_agent is not None:
+        lines.append(F.when(source_agent != "", _line("source_agent", yaml_text(source_agent))))
+    lines += [_mapping("tooling", tooling), _mapping("params", params), _mapping("hashes", hashes)]
+    return F.concat(F.concat_ws("\n", *lines), F.lit("\n"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginalia.functions import hashing, text
+from marginalia.functions import hashing, render, text
 from marginalia.operators import agents, manifest, staleness
 from marginalia.plans.registry import query, table
 from marginalia.session import checkpointed
@@ -486,3 +486,46 @@ def time_estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
     timed = counted.select("user_id", (F.col("n") * staleness.SECONDS_PER_DOC).alias("seconds"))
     return timed.withColumn("shown", staleness.duration_text(F.col("seconds")))
+
+
+@query(
+    "document_listing",
+    """
+SELECT 'doc-' || doc_id AS slug, substr(replace(text, chr(10), ' '), 1, 40) AS description FROM documents ORDER BY slug LIMIT 20
+""",
+)
+def document_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First twenty documents by slug with a short description; both limits
+    are part of the listing."""
+    docs = table(spark, sf_dir, "documents").select(
+        F.format_string("doc-%d", "doc_id").alias("slug"),
+        F.substring(F.replace("text", F.lit("\n"), F.lit(" ")), 1, 40).alias("description"),
+    )
+    return docs.orderBy("slug").limit(20)
+
+
+@query(
+    "embedding_ids",
+    """
+SELECT doc_id, doc_id || '_ch_' || format('{:04d}', n_chars) AS embedding_id, doc_id || '-' || format('{:04d}', n_chars) AS chunk_id FROM documents
+""",
+)
+def embedding_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both chunk-id forms; numbers wider than four digits keep all of them."""
+    doc = F.col("doc_id").cast("string")
+    return table(spark, sf_dir, "documents").select(
+        "doc_id",
+        hashing.embedding_id(doc, F.col("n_chars")).alias("embedding_id"),
+        hashing.chunk_id(doc, F.col("n_chars")).alias("chunk_id"),
+    )
+
+
+@query(
+    "event_run_ids",
+    "SELECT event_id, event_type || '-' || strftime(ts, '%Y%m%d-%H%M%S') AS run_id FROM events",
+)
+def event_run_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run names from agent (event type) and start time."""
+    return table(spark, sf_dir, "events").select(
+        "event_id", render.run_id(F.col("event_type"), F.col("ts")).alias("run_id")
+    )

@@ -241,3 +241,34 @@ def grep_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .orderBy("doc_id", "line_number")
         .limit(50)
     )
+
+
+@query(
+    "meta_files",
+    """
+SELECT doc_id, 'doc_id: d' || substr(sha1(text), 1, 8) || chr(10) || 'slug: doc-' || doc_id || chr(10) || 'orig_name: doc-' || doc_id || '.pdf' || chr(10)
+  || 'created_utc: ' || chr(39) || '2024-06-01T00:00:00+00:00' || chr(39) || chr(10) || 'collections:' || chr(10) || '- ' || lang || chr(10) || '- ' || source || chr(10)
+  || CASE WHEN doc_id % 2 = 0 THEN 'source_agent: ' || source || chr(10) ELSE '' END || 'tooling:' || chr(10) || '  parser: unknown' || chr(10)
+  || 'params:' || chr(10) || '  ocr_mode: auto' || chr(10) || 'hashes:' || chr(10) || '  file_sha1: x' || sha1(text) || chr(10) || '  sha256: x' || sha256(text) || chr(10) AS meta
+FROM documents
+""",
+)
+def meta_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata file of each document; ids and hashes get a letter in front so
+    that none reads as a number, and two collection names are invalid."""
+    body = F.col("text")
+    meta = yaml_text.render_meta(
+        F.concat(F.lit("d"), hashing.short_id(hashing.sha1(body))),
+        F.format_string("doc-%d", "doc_id"),
+        F.format_string("doc-%d.pdf", "doc_id"),
+        F.to_timestamp(F.lit("2024-06-01 00:00:00")),
+        F.create_map(F.lit("parser"), F.lit("unknown")),
+        F.create_map(F.lit("ocr_mode"), F.lit("auto")),
+        F.create_map(
+            F.lit("file_sha1"), F.concat(F.lit("x"), hashing.sha1(body)),
+            F.lit("sha256"), F.concat(F.lit("x"), hashing.sha256(body)),
+        ),
+        F.array("lang", F.upper("lang"), "source", F.concat_ws(" ", "lang", "source")),
+        F.when(F.col("doc_id") % 2 == 0, F.col("source")).otherwise(""),
+    )
+    return table(spark, sf_dir, "documents").select("doc_id", meta.alias("meta"))

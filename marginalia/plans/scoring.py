@@ -300,3 +300,32 @@ def eval_report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rows = _results(spark, sf_dir).join(top3, "item_id", "left")
     return rows.select("item_id", render.report_line().alias("line"))
+
+
+@query(
+    "eval_metric_table",
+    DIFF_SQL
+    + """
+SELECT ordinal::BIGINT AS ordinal, '| ' || ['recall@1', 'recall@3', 'recall@5', 'recall@10', 'MRR', 'nDCG@10', 'citation_accuracy'][ordinal + 1] || ' | '
+  || format('{:.3f}', round(m.value, 9)) || ' | ' || CASE WHEN abs(d.delta) < 1e-6 THEN '=' WHEN d.delta > 0 THEN '↑' || format('{:.3f}', round(abs(d.delta), 9))
+     ELSE '↓' || format('{:.3f}', round(abs(d.delta), 9)) END || ' |' AS line
+FROM diff d JOIN metrics_b m USING (metric, ordinal) WHERE d.tag = ''
+""",
+)
+def eval_metric_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the aggregate table of a report, with the change to a baseline."""
+    diff = ev.baseline_diff(_metric_rows(spark, sf_dir, 3), _metric_rows(spark, sf_dir)).filter("tag = ''")
+    return diff.select(F.col("ordinal").cast("long").alias("ordinal"), render.metric_line().alias("line"))
+
+
+@query(
+    "eval_skipped_lines",
+    """
+WITH ex AS (SELECT doc_id % (SELECT count(*) FROM benchmark) AS item_id, doc_id FROM labels WHERE quality = 1)
+SELECT DISTINCT '- `' || item_id || '`' AS line FROM ex JOIN documents USING (doc_id) WHERE lang = 'de'
+""",
+)
+def eval_skipped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """List of skipped items as it appears in a report."""
+    skipped = eval_skipped(spark, sf_dir).filter("skipped")
+    return skipped.select(F.concat(F.lit("- `"), F.col("item_id").cast("string"), F.lit("`")).alias("line"))
