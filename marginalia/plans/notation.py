@@ -307,10 +307,7 @@ def music_abc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return music.to_abc(_music(spark, sf_dir))
 
 
-@query(
-    "music_rhythm",
-    f"""
-WITH {MUSIC_SQL},
+RHYTHM_SQL = """
 off AS (
   SELECT *, coalesce(sum(d) OVER (PARTITION BY doc_id, m ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS o
   FROM el WHERE et IN ('note', 'rest')
@@ -318,39 +315,50 @@ off AS (
 fl AS (
   SELECT doc_id, bool_or(d >= 4) AS w, bool_or(d >= 2 AND d < 4) AS h, bool_or(d >= 1 AND d < 2) AS q, bool_or(d >= 0.5 AND d < 1) AS e,
          bool_or(d < 0.5) AS s, bool_or(d IN (0.75, 1.5, 3.0)) AS dot, bool_or(o <> floor(o)) AS syn FROM off WHERE et = 'note' GROUP BY doc_id
-)
+),
+rhythm AS (
 SELECT doc_id, array_to_string(list_concat(
   list_filter([CASE WHEN w THEN 'whole notes' END, CASE WHEN h THEN 'half notes' END, CASE WHEN q THEN 'quarter notes' END,
     CASE WHEN e THEN 'eighth notes' END, CASE WHEN s THEN 'sixteenth notes' END], lambda x: x IS NOT NULL)[1:3],
   list_filter([CASE WHEN dot THEN 'dotted rhythms' END, CASE WHEN syn THEN 'syncopation' END], lambda x: x IS NOT NULL)), ', ') AS rhythm FROM fl
-""",
-)
+)"""
+
+
+@query("music_rhythm", f"WITH {MUSIC_SQL}, {RHYTHM_SQL} SELECT doc_id, rhythm FROM rhythm")
 def music_rhythm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return music.rhythm(_music(spark, sf_dir))
 
 
-@query(
-    "music_characteristics",
-    f"""
-WITH {MUSIC_SQL},
+CHARACTER_SQL = """
 nt AS (
   SELECT doc_id, pos, (octave + 1) * 12 + (CASE letter WHEN 'C' THEN 0 WHEN 'D' THEN 2 WHEN 'E' THEN 4 WHEN 'F' THEN 5 WHEN 'G' THEN 7 WHEN 'A' THEN 9 ELSE 11 END)
          + CASE acc WHEN '#' THEN 1 WHEN 'b' THEN -1 ELSE 0 END AS midi,
          row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS r FROM el WHERE et = 'note'
 ),
 st AS (SELECT *, midi - lag(midi) OVER (PARTITION BY doc_id ORDER BY pos) AS step FROM nt),
-c AS (SELECT doc_id, count(*) AS n, min(step) FILTER (r BETWEEN 2 AND 5) AS lo, max(step) FILTER (r BETWEEN 2 AND 5) AS hi FROM st GROUP BY doc_id)
+c AS (SELECT doc_id, count(*) AS n, min(step) FILTER (r BETWEEN 2 AND 5) AS lo, max(step) FILTER (r BETWEEN 2 AND 5) AS hi FROM st GROUP BY doc_id),
+traits AS (
 SELECT doc_id, CASE WHEN n < 10 THEN 'simple melody' WHEN n < 30 THEN 'moderate complexity' ELSE 'complex passage' END
   || CASE WHEN n >= 4 AND lo > 0 THEN ', ascending melodic pattern' WHEN n >= 4 AND hi < 0 THEN ', descending melodic pattern' ELSE '' END AS characteristics FROM c
-""",
-)
+)"""
+
+
+@query("music_characteristics", f"WITH {MUSIC_SQL}, {CHARACTER_SQL} SELECT doc_id, characteristics FROM traits")
 def music_characteristics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return music.characteristics(_music(spark, sf_dir))
 
 
-@query("music_description")
+@query(
+    "music_description",
+    f"""
+WITH {MUSIC_SQL}, {RHYTHM_SQL}, {CHARACTER_SQL}
+SELECT s.doc_id, 'Music phrase in C major, ' || coalesce(ts, '4/4') || ' time signature. Harmonic progression: I. Rhythmic pattern: '
+  || coalesce(rhythm, 'no rhythmic content') || '. Musical characteristics: ' || coalesce(characteristics, 'simple melody') || '.' AS description
+FROM summ s LEFT JOIN rhythm USING (doc_id) LEFT JOIN traits USING (doc_id)
+""",
+)
 def music_description(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sentence per piece; its parts are checked by the two queries above."""
+    """Sentence used to embed a piece; key and harmony keep their defaults."""
     return music.describe(_music(spark, sf_dir))
 
 

