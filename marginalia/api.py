@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from marginalia.functions.citations import citation_prefix
 from marginalia.operators import agents, bm25, evaluation, hybrid, models, splitter
 from marginalia.operators.dense import search_dense
-from marginalia.operators.topk import number_rows
+from marginalia.operators.topk import join_hits, number_rows
 from marginalia.session import checkpointed
 from marginalia.sources import store
 
@@ -63,21 +63,21 @@ def search(
     """
     if mode not in ("dense", "bm25", "hybrid"):
         raise ValueError("mode must be dense, bm25 or hybrid")
-    vectors = store.read_vectors(spark, f"{root}/vectors/{agent}", agent)
+    vectors = store.read_vectors(spark, f"{root}/vectors/{agent}", agent, check=False)
     wanted = hybrid.pool_size(top_k, pool if mode == "hybrid" else 1, rerank_pool if scorer else 0)
     keys = vectors.select("embedding_index", "chunk_id", "doc_id")
 
     def dense_channel(k: int) -> DataFrame:
         asked = models.embed(queries, embedder).select("query_id", "embedding")
         found = search_dense(vectors, asked, k)
-        return found.join(keys, "embedding_index")
+        return join_hits(keys, found, ["embedding_index"])
 
     def lexical_channel(k: int) -> DataFrame | None:
         index = store.read_bm25(spark, f"{root}/bm25/{agent}")
         if index is None:
             return None
         found = bm25.search_bm25(index, queries, k)
-        return found.join(index.docs.select("bm25_index", "chunk_id", "doc_id"), "bm25_index")
+        return join_hits(index.docs.select("bm25_index", "chunk_id", "doc_id"), found, ["bm25_index"])
 
     if mode == "dense":
         ranked = dense_channel(wanted).select("query_id", "rank", "chunk_id", "doc_id", "distance")
@@ -88,7 +88,7 @@ def search(
         ranked = hybrid.dense_only(near, wanted, k_rrf) if lexical is None else hybrid.fuse(near, lexical, wanted, k_rrf)
     # Ranking above runs on keys; bodies are fetched for ranked chunks only.
     bodies = vectors.select("chunk_id", "source", "text")
-    hits = bodies.join(ranked, "chunk_id")
+    hits = join_hits(bodies, ranked, ["chunk_id"])
     if scorer is not None:
         pairs = hits.join(queries.select("query_id", F.col("text").alias("query")), "query_id")
         hits = models.rerank(pairs, scorer, top_k).drop("query")

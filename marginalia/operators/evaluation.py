@@ -15,6 +15,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marginalia.operators.topk import join_hits
+from marginalia.session import checkpointed
+
 # Metric names in report order, and the per-tag ones.
 AGGREGATE_METRICS = (
     "recall_at_1",
@@ -37,9 +40,12 @@ def split_items(items: DataFrame, expected: DataFrame, manifest: DataFrame) -> t
     return items.join(missing, "item_id", "left_anti"), items.join(missing, "item_id", "left_semi")
 
 
-def mark_hits(retrieved: DataFrame, expected: DataFrame) -> DataFrame:
-    """Add a boolean ``hit``. Only expected rows of retrieved documents meet."""
-    pairs = expected.select("item_id", "doc_id").distinct().withColumn("_hit", F.lit(True))
+def mark_hits(retrieved: DataFrame, expected: DataFrame, written: bool = False) -> DataFrame:
+    """Add a boolean ``hit``. The expected relation may be long; it is streamed
+    past the retrieved keys, and only rows that match are kept."""
+    keys = ["item_id", "doc_id"]
+    met = join_hits(expected.select(*keys), retrieved.select(*keys), keys, written=written)
+    pairs = met.distinct().withColumn("_hit", F.lit(True))
     return (
         retrieved.join(pairs, ["item_id", "doc_id"], "left")
         .withColumn("hit", F.coalesce("_hit", F.lit(False)))
@@ -60,7 +66,10 @@ def item_results(items: DataFrame, retrieved: DataFrame, expected: DataFrame, de
     Every chunk of an expected document counts as a hit while the ideal counts
     documents, so nDCG can exceed 1; ``dedup_docs`` counts a document once.
     """
-    hits = mark_hits(retrieved, expected)
+    # A few rows per item; written once, because retrieval must not run again
+    # for each use below.
+    retrieved = checkpointed(retrieved)
+    hits = mark_hits(retrieved, expected, written=True)
     gain = F.when(F.col("hit") & (F.col("rank") <= NDCG_DEPTH), F.lit(1.0) / F.log2(F.col("rank") + 1.0))
     firsts = [F.min(F.when(F.col("hit"), F.col("rank"))).alias("first_hit_rank")]
     for name in ("page_start", "page_end", "section_heading"):

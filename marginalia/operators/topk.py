@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from marginalia.session import checkpointed
 
+# Rows of ids and scores that are still cheap to hold on every executor.
+BROADCAST_ROWS = 500_000
+
 
 def top_k_per_group(
     df: DataFrame, keys: list[str], order: list[Column], k: int, rank_name: str = "rank"
@@ -78,6 +81,21 @@ def lookup_per_key(
     return left.join(right, [*keys, "_salt"], "left").drop("_salt")
 
 
+def join_hits(
+    big: DataFrame, hits: DataFrame, keys: list[str], limit: int = BROADCAST_ROWS, written: bool = False
+) -> DataFrame:
+    """Inner join of a large table with a result that should be small.
+
+    The size of ``hits`` is checked, not assumed: its rows are written once and
+    counted. Up to ``limit`` they are broadcast and the large side is only
+    streamed past them, never shuffled; beyond it both sides are shuffled.
+    ``written`` says that ``hits`` comes from a checkpoint already.
+    """
+    held = hits if written else checkpointed(hits)
+    small = F.broadcast(held) if held.count() <= limit else held
+    return big.join(small, keys)
+
+
 def running_sum(
     df: DataFrame, keys: list[str], order: str, value: Column, name: str, block: int = 4096
 ) -> DataFrame:

@@ -9,6 +9,7 @@ from marginalia.functions.text import tokenize
 from marginalia.functions.vectors import l2_normalize, similarity, squared_l2
 from marginalia.operators import bm25, hybrid, models
 from marginalia.operators.dense import centroids, search_dense
+from marginalia.operators.topk import join_hits
 from marginalia.plans import relations as rel
 from marginalia.plans.registry import query, table, texts
 
@@ -467,6 +468,6 @@ def rerank_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = rel.benchmark_queries(spark, sf_dir)
     pool = bm25.search_bm25(rel.bm25_index(spark, sf_dir, materialize=True), asked, POOL)
     bodies = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("bm25_index"), "text")
-    pairs = bodies.join(pool, "bm25_index").join(asked.withColumnRenamed("text", "query"), "query_id")
+    pairs = join_hits(bodies, pool, ["bm25_index"]).join(asked.withColumnRenamed("text", "query"), "query_id")
     ranked = models.rerank(pairs, lambda: models.overlap_scorer(), TOP_K)
     return ranked.select("query_id", "bm25_index", "pool_rank", "rerank_score", "rank")

@@ -9,8 +9,10 @@ from marginalia.functions import render, toolcalls
 from marginalia.functions.citations import citation_prefix
 from marginalia.functions.text import fixed
 from marginalia.operators import bm25
+from marginalia.operators.topk import join_hits
 from marginalia.plans import relations as rel
 from marginalia.plans.registry import query, table
+from marginalia.session import checkpointed
 
 CONTEXT_K = 5
 
@@ -51,7 +53,7 @@ def _hits(spark: SparkSession, sf_dir: str, k: int = CONTEXT_K) -> DataFrame:
     """Cited results: ranking runs without texts; only hits fetch their body."""
     found = bm25.search_bm25(rel.bm25_index(spark, sf_dir, materialize=True), rel.benchmark_queries(spark, sf_dir), k)
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("bm25_index"), "source", "lang", "text")
-    joined = docs.join(found, "bm25_index")
+    joined = join_hits(docs, found, ["bm25_index"])
     name = F.concat("source", F.lit("_"), "lang", F.lit(".pdf"))
     page = F.col("bm25_index") % 50 + 1
     return joined.select(
@@ -177,9 +179,12 @@ FROM hits h LEFT JOIN labels l ON l.doc_id = h.doc_id
 )
 def hit_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hits keep their place when the lookup misses; the id is empty then."""
-    found = bm25.search_bm25(rel.bm25_index(spark, sf_dir, materialize=True), rel.benchmark_queries(spark, sf_dir), CONTEXT_K)
+    found = checkpointed(
+        bm25.search_bm25(rel.bm25_index(spark, sf_dir, materialize=True), rel.benchmark_queries(spark, sf_dir), CONTEXT_K)
+    )
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("bm25_index"), "quality")
-    joined = labels.join(found, "bm25_index", "right")
+    known = join_hits(labels, found.select("bm25_index").distinct(), ["bm25_index"])
+    joined = found.join(known, "bm25_index", "left")
     return joined.select(
         "query_id",
         "rank",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marginalia.functions import hashing, text
@@ -558,3 +558,38 @@ def chunk_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return traced.select(
         "doc_id", "chunk_index", "char_start", "char_end", "page_start", "page_end", "section_heading"
     )
+
+
+@query(
+    "chunk_trace",
+    f"""
+WITH RECURSIVE {CHUNK_SQL}, {STACK_SQL},
+rawspan AS (
+  SELECT doc_id, pos, length(raw) AS n, (sum(length(raw) + 1) OVER (PARTITION BY doc_id ORDER BY pos))::BIGINT - length(raw) - 1 AS s FROM lines
+),
+el AS (SELECT r.doc_id, r.pos, r.s, r.s + r.n AS e, k.page, t.innermost FROM rawspan r JOIN kept k USING (doc_id, pos) JOIN stack t USING (doc_id, pos))
+SELECT c.doc_id, c.i AS chunk_index, c.place AS char_start, coalesce(min(el.page) FILTER (el.e > c.place AND el.s < c.place + length(c.body)), 0) AS page_start,
+       coalesce(max(el.page) FILTER (el.e > c.place AND el.s < c.place + length(c.body)), 0) AS page_end,
+       coalesce(arg_max(el.innermost, el.s) FILTER (el.s <= c.place AND el.innermost IS NOT NULL), '') AS section_heading
+FROM placed c LEFT JOIN el ON el.doc_id = c.doc_id GROUP BY c.doc_id, c.i, c.place
+""",
+)
+def chunk_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Split every document and trace each chunk to pages and section of the
+    lines it was cut from."""
+    order = Window.partitionBy("doc_id").orderBy("pos")
+    ends = F.sum(F.length("text") + 1).over(order)
+    rows = _line_elements(spark, sf_dir)
+    spans = rows.select("doc_id", "pos", (ends - 1 - F.length("text")).alias("char_start"), (ends - 1).alias("char_end"))
+    stacked = elements.add_heading_stack(elements.classify(rows), levels=3)
+    mapped = stacked.drop("text").join(spans, ["doc_id", "pos"])
+    chunks = splitter.split_documents(texts(spark, sf_dir)).drop("text")
+    traced = provenance.add_provenance(chunks, mapped)
+    return traced.select(
+        "doc_id",
+        F.col("chunk_index").cast("long").alias("chunk_index"),
+        F.col("char_start").cast("long").alias("char_start"),
+        F.coalesce(F.col("page_start").cast("long"), F.lit(0)).alias("page_start"),
+        F.coalesce(F.col("page_end").cast("long"), F.lit(0)).alias("page_end"),
+        F.coalesce("section_heading", F.lit("")).alias("section_heading"),
+    )

@@ -119,12 +119,16 @@ def write_vectors(vectors: DataFrame, root: str) -> str | None:
     return _publish(vectors.sparkSession, root, lambda folder: vectors.write.partitionBy("agent").parquet(folder))
 
 
-def read_vectors(spark: SparkSession, root: str, agent: str | None = None) -> DataFrame:
+def read_vectors(spark: SparkSession, root: str, agent: str | None = None, check: bool = True) -> DataFrame:
     """Published vectors of one agent (pruned to its folder) or of all.
-    Positions must be 0..n-1 without gaps, and dimensions equal."""
+
+    The check reads the whole index: positions must be 0..n-1 without gaps and
+    dimensions equal. Searches skip it; writing has checked dimensions before."""
     vectors = spark.read.parquet(current(spark, root))
     if agent is not None:
         vectors = vectors.filter(F.col("agent") == agent)
+    if not check:
+        return vectors
     bad = (
         vectors.groupBy("agent")
         .agg(

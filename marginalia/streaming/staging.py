@@ -14,12 +14,16 @@ from pyspark.sql.utils import AnalysisException
 
 from marginalia.functions import hashing, text
 from marginalia.operators import routing
+from marginalia.operators.dense import query_blocks
 from marginalia.operators.topk import last_per_key
 from marginalia.sources.files import DIRECT_SUFFIXES, PARSED_SUFFIXES
 from marginalia.sources.parsers import parse_files
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
+# Paths handed to one read; a longer backlog is worked off block by block.
+PATH_BLOCK = 10_000
+
 DOCUMENT_SCHEMA = (
     "doc_id string, slug string, source string, collection string, file_sha1 string, content_hash string, "
     "markdown string, status string, error string, batch long"
@@ -96,24 +100,26 @@ def run_staging(
 
 def retry_ocr(spark: SparkSession, corpus: str, batch: int, ocr) -> None:
     """Second pass over files that waited for OCR; junk without a PDF head is
-    left in the routes log as it is."""
+    left in the routes log as it is. A rerun starts the batch's folder anew."""
     waiting = spark.read.parquet(f"{corpus}/routes").filter("route = 'ocr'").select("path").distinct()
-    paths = [row["path"] for row in waiting.toLocalIterator()]
-    if not paths:
-        return
-    files = spark.read.format("binaryFile").load(paths).filter(routing.is_pdf(F.col("content")))
-    measured = files.withColumn("suffix", text.file_suffix(F.col("path"))).withColumn(
-        "name", F.element_at(F.split("path", "/"), -1)
-    )
-    parsed = parse_files(measured, "on", ocr).withColumn("markdown", text.normalize_markdown(text.join_blocks(F.col("elements"))))
-    parsed.select(
-        hashing.short_id(hashing.sha1(F.col("markdown"))).alias("doc_id"),
-        routing.staged_slug(F.col("name")).alias("slug"),
-        F.col("name").alias("source"),
-        F.element_at(F.split("path", "/"), -2).alias("collection"),
-        "file_sha1",
-        hashing.content_hash(F.col("markdown")).alias("content_hash"),
-        "markdown",
-        "status",
-        "error",
-    ).write.mode("overwrite").parquet(f"{corpus}/documents/batch={batch}")
+    mode = "overwrite"
+    for block in query_blocks(waiting, PATH_BLOCK):
+        files = spark.read.format("binaryFile").load([row["path"] for row in block])
+        measured = files.filter(routing.is_pdf(F.col("content"))).select(
+            "*", text.file_suffix(F.col("path")).alias("suffix"), F.element_at(F.split("path", "/"), -1).alias("name")
+        )
+        parsed = parse_files(measured, "on", ocr).withColumn(
+            "markdown", text.normalize_markdown(text.join_blocks(F.col("elements")))
+        )
+        parsed.select(
+            hashing.short_id(hashing.sha1(F.col("markdown"))).alias("doc_id"),
+            routing.staged_slug(F.col("name")).alias("slug"),
+            F.col("name").alias("source"),
+            F.element_at(F.split("path", "/"), -2).alias("collection"),
+            "file_sha1",
+            hashing.content_hash(F.col("markdown")).alias("content_hash"),
+            "markdown",
+            "status",
+            "error",
+        ).write.mode(mode).parquet(f"{corpus}/documents/batch={batch}")
+        mode = "append"
