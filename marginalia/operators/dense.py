@@ -55,13 +55,30 @@ def best_rows(primary: np.ndarray, tie: np.ndarray, k: int) -> np.ndarray:
     return keep[order]
 
 
-def distances(matrix: np.ndarray, queries: np.ndarray) -> np.ndarray:
-    """Squared distances, rows by queries, rounded so that ties are stable."""
-    out = np.empty((len(matrix), len(queries)))
-    for j, q in enumerate(queries):
-        gap = matrix - q
-        out[:, j] = np.einsum("ij,ij->i", gap, gap)
-    return np.round(out, DIGITS)
+def exact_distances(matrix: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Squared distances, rounded so that ties are stable."""
+    gap = matrix - query
+    return np.round(np.einsum("ij,ij->i", gap, gap), DIGITS)
+
+
+def nearest(matrix: np.ndarray, index: np.ndarray, block: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Per query: positions and distances of rows that can be among the best k.
+
+    One matrix product gives all distances up to rounding noise. Rows within a
+    safe margin of the k-th are measured exactly, so the answer is exact.
+    """
+    rows, queries = np.einsum("ij,ij->i", matrix, matrix), np.einsum("ij,ij->i", block, block)
+    rough = rows[:, None] + queries[None, :] - 2.0 * (matrix @ block.T)
+    margin = 2 * 10.0**-DIGITS + 1e-12 * (rows.max() + queries.max())
+    for j, query in enumerate(block):
+        column = rough[:, j]
+        if len(column) > k:
+            close = np.flatnonzero(column <= np.partition(column, k - 1)[k - 1] + margin)
+        else:
+            close = np.arange(len(column))
+        measured = exact_distances(matrix[close], query)
+        best = best_rows(measured, index[close], k)
+        yield close[best], measured[best]
 
 
 def _local_search(ids: list[int], block: np.ndarray, k: int):
@@ -80,11 +97,10 @@ def _local_search(ids: list[int], block: np.ndarray, k: int):
             matrix = flat.reshape(-1, width)
             index = batch.column("embedding_index").to_numpy(zero_copy_only=False)
             deleted = batch.column("deleted").to_numpy(zero_copy_only=False).astype(bool)
-            scored = distances(matrix, block)
-            for j in range(len(ids)):
-                d = np.concatenate([kept[j][0], scored[:, j]])
-                i = np.concatenate([kept[j][1], index])
-                t = np.concatenate([kept[j][2], deleted])
+            for j, (rows, measured) in enumerate(nearest(matrix, index, block, k)):
+                d = np.concatenate([kept[j][0], measured])
+                i = np.concatenate([kept[j][1], index[rows]])
+                t = np.concatenate([kept[j][2], deleted[rows]])
                 best = best_rows(d, i, k)
                 kept[j] = (d[best], i[best], t[best])
         for query_id, (d, i, t) in zip(ids, kept):

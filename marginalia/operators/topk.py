@@ -96,47 +96,29 @@ def join_hits(
     return big.join(small, keys)
 
 
-def running_sum(
-    df: DataFrame, keys: list[str], order: str, value: Column, name: str, block: int = 4096
-) -> DataFrame:
-    """Exclusive running sum in ``order`` (a non-negative integer) per key.
-
-    Two levels: inside blocks of the order column, then over block totals. One
-    key's rows are spread over many tasks, and the second step sees one row per
-    block only.
-    """
-    staged = df.withColumn("_value", value).withColumn("_block", (F.col(order) / block).cast("long"))
-    inside = Window.partitionBy(*keys, "_block").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    local = staged.withColumn("_local", F.coalesce(F.sum("_value").over(inside), F.lit(0)))
-    totals = staged.groupBy(*keys, "_block").agg(F.sum("_value").alias("_total"))
-    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.withColumn("_carry", F.coalesce(F.sum("_total").over(before), F.lit(0))).drop("_total")
-    return (
-        local.join(carried, [*keys, "_block"])
-        .withColumn(name, (F.col("_local") + F.col("_carry")).cast("long"))
-        .drop("_value", "_block", "_local", "_carry")
-    )
-
-
 def number_rows(df: DataFrame, order: list[str], name: str, start: Column | int = 0) -> DataFrame:
     """Dense global numbering in ``order`` without one task seeing all rows.
 
-    Range partitions are sorted and numbered on their own, then shifted by the
-    sizes of the partitions before them (one row per partition). The
-    checkpoint fixes the range bounds: recomputing them could place a row in
-    another partition than the one it was counted in.
+    Range partitions are sorted, and each row's place in its partition is
+    shifted by the sizes of the partitions before it (one row per partition).
+    The checkpoint fixes the range bounds: recomputing them could place a row
+    in another partition than the one it was counted in.
     """
-    ranged = checkpointed(
-        df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    placed = checkpointed(
+        df.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .withColumn("_place", F.monotonically_increasing_id())
     )
-    local = Window.partitionBy("_part").orderBy(*order)
-    sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    # The upper bits of the generated id are the partition, the lower 33 the row.
+    part = F.shiftright("_place", 33)
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift"))
     first = start if isinstance(start, Column) else F.lit(start)
+    local = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
     return (
-        ranged.withColumn("_local", F.row_number().over(local))
+        placed.withColumn("_part", part)
         .join(F.broadcast(shifts), "_part")
-        .withColumn(name, (first + F.col("_shift") + F.col("_local") - 1).cast("long"))
-        .drop("_part", "_local", "_shift")
+        .withColumn(name, (first + F.col("_shift") + local).cast("long"))
+        .drop("_part", "_place", "_shift")
     )

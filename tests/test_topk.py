@@ -10,7 +10,6 @@ from marginalia.operators.topk import (
     last_per_key,
     lookup_per_key,
     number_rows,
-    running_sum,
     top_k_per_group,
 )
 
@@ -69,16 +68,6 @@ def test_lookup_per_key_keeps_every_row_and_salts_hot_keys(skewed):
     assert without.filter("n IS NULL").count() == counts["hot"]
 
 
-def test_running_sum_over_blocks(skewed):
-    rows, frame = skewed
-    got = {r["id"]: r["s"] for r in running_sum(frame, ["key"], "id", F.col("v"), "s", block=100).collect()}
-    seen, want = {}, {}
-    for key, i, v in rows:
-        want[i] = seen.get(key, 0)
-        seen[key] = want[i] + v
-    assert got == want
-
-
 def test_number_rows_is_dense_and_ordered(skewed):
     rows, frame = skewed
     got = [r["id"] for r in number_rows(frame, ["v", "id"], "n", 10).orderBy("n").collect()]
