@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marginalia.session import spread
+from marginalia.session import apply_settings, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,7 +20,12 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def wrap(fn: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query {name!r} is registered twice")
-        QUERIES[name] = fn
+
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return fn(apply_settings(spark), sf_dir)
+
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        QUERIES[name] = run
         if sql is not None:
             CHECK_SQL[name] = sql
         return fn
