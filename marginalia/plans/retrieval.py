@@ -469,5 +469,5 @@ def rerank_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
     pool = bm25.search_bm25(rel.bm25_index(spark, sf_dir, materialize=True), asked, POOL)
     bodies = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("bm25_index"), "text")
     pairs = join_hits(bodies, pool, ["bm25_index"]).join(asked.withColumnRenamed("text", "query"), "query_id")
-    ranked = models.rerank(pairs, lambda: models.overlap_scorer(), TOP_K)
+    ranked = models.rerank(pairs, models.overlap_scorer, TOP_K)
     return ranked.select("query_id", "bm25_index", "pool_rank", "rerank_score", "rank")

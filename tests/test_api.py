@@ -39,7 +39,7 @@ def test_search_modes(spark, corpus, mode):
 def test_search_reranks(spark, corpus):
     found = api.search(
         spark, corpus, "mini", queries(spark), 1, "hybrid", embedder=models.digest_embedder(16),
-        scorer=lambda: models.overlap_scorer(),
+        scorer=models.overlap_scorer,
     ).collect()
     assert {r["query_id"]: r["doc_id"] for r in found} == {1: "doc-gamma", 2: "doc-beta"}
     with pytest.raises(ValueError):

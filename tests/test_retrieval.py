@@ -181,10 +181,10 @@ def test_tokenizer_equals_python(spark, small):
 def test_rerank_is_stable_and_truncates(spark):
     rows = [(1, "red fox", 1, "fox"), (1, "red fox", 2, "red fox"), (1, "red fox", 3, "a fox"), (1, "red fox", 4, "none")]
     pool = spark.createDataFrame(rows, "query_id long, query string, rank int, text string")
-    ranked = models.rerank(pool, lambda: models.overlap_scorer(), 3).orderBy("rank").collect()
+    ranked = models.rerank(pool, models.overlap_scorer, 3).orderBy("rank").collect()
     assert [r["pool_rank"] for r in ranked] == [2, 1, 3]
     with pytest.raises(KeyError):
-        models.rerank(pool, lambda: models.overlap_scorer(), 3, text="missing")
+        models.rerank(pool, models.overlap_scorer, 3, text="missing")
 
 
 def test_embedding_is_unit_length_and_skips_blanks(spark):
