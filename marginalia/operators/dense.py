@@ -33,7 +33,7 @@ def query_blocks(queries: DataFrame, size: int = QUERY_BLOCK, weight=None, cells
     ``weight`` (say, the number of terms) would pass ``cells``.
     """
     block, load = [], 0
-    for row in queries.toLocalIterator():
+    for row in queries.toLocalIterator(prefetchPartitions=True):
         extra = weight(row) if weight else 0
         if block and (len(block) == size or (load + extra) * (len(block) + 1) > cells):
             yield block
