@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginalia.llm import topk, warc
+from marginalia.llm import tokens, topk, warc
 from marginalia.llm.common import CHECK_SQL, QUERIES, query, table
 
 __all__ = ["CHECK_SQL", "QUERIES"]
@@ -54,3 +55,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to WARC archives, found by the merged index and read back."""
     _, records = warc.archive_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op7_token_ids")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text as Simple-8b coded token ids, read back from the files."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokens.read_ids(tokens.write_ids(docs, public_tokenizers.path("byte_bpe_50k.json")))
