@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginalia.llm import tokens, topk, warc
+from marginalia.llm import sharding, tokens, topk, urls, warc
 from marginalia.llm.common import CHECK_SQL, QUERIES, query, table
 
 __all__ = ["CHECK_SQL", "QUERIES"]
@@ -62,3 +62,15 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text as Simple-8b coded token ids, read back from the files."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return tokens.read_ids(tokens.write_ids(docs, public_tokenizers.path("byte_bpe_50k.json")))
+
+
+@query("op6_sharding")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sixteen shards of equal counts, equal texts together."""
+    return sharding.shard_rows(table(spark, sf_dir, "documents").select("doc_id", "text"), 16)
+
+
+@query("op1_url_filter")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every URL judged by the longest rule, else by trees trained on the URLs that rules label."""
+    return urls.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"))
