@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginalia.llm import sharding, tokens, topk, urls, warc
+from marginalia.llm import language, sharding, tokens, topk, urls, warc
 from marginalia.llm.common import CHECK_SQL, QUERIES, query, table
 
 __all__ = ["CHECK_SQL", "QUERIES"]
@@ -74,3 +74,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every URL judged by the longest rule, else by trees trained on the URLs that rules label."""
     return urls.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
+@query("op5_language_id")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole text, learned from the rows that are not held out."""
+    return language.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
