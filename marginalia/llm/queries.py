@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginalia.llm import language, sharding, tokens, topk, urls, warc
+from marginalia.llm import language, secrets, sharding, tokens, topk, urls, warc
 from marginalia.llm.common import CHECK_SQL, QUERIES, query, table
 
 __all__ = ["CHECK_SQL", "QUERIES"]
@@ -80,3 +80,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every whole text, learned from the rows that are not held out."""
     return language.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
+@query("op8_secrets")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every whole text: fixed forms, and tokens that look random."""
+    return secrets.report(table(spark, sf_dir, "documents"))
