@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginalia.llm import language, secrets, sharding, tokens, topk, urls, warc
+from marginalia.llm import decontaminate, language, secrets, sharding, tokens, topk, urls, warc
 from marginalia.llm.common import CHECK_SQL, QUERIES, query, table
 
 __all__ = ["CHECK_SQL", "QUERIES"]
@@ -86,3 +86,42 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every whole text: fixed forms, and tokens that look random."""
     return secrets.report(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op4_decontaminate",
+    r"""
+    WITH d AS MATERIALIZED (
+        SELECT row_number() OVER () AS k, doc_id, list_filter(string_split_regex(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
+        FROM documents
+    ), i AS MATERIALIZED (
+        SELECT CAST(item_id AS VARCHAR) AS item, list_filter(string_split_regex(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
+        FROM benchmark
+    ), item_windows AS MATERIALIZED (
+        SELECT DISTINCT item, least(10, len(w)) AS size, array_to_string(w[s + 1 : s + least(10, len(w))], ' ') AS words
+        FROM (SELECT *, unnest(range(greatest(len(w) - 9, 1))) AS s FROM i WHERE len(w) > 0)
+    ), sizes AS (SELECT DISTINCT size FROM item_windows),
+    doc_windows AS (
+        SELECT k, s, size, array_to_string(w[s + 1 : s + size], ' ') AS words
+        FROM (SELECT k, w, size, unnest(range(len(w) - size + 1)) AS s FROM d, sizes WHERE len(w) >= size)
+    ), hits AS MATERIALIZED (
+        SELECT k, s, size, item FROM doc_windows JOIN item_windows USING (size, words)
+    ), covered AS (
+        SELECT k, count(DISTINCT p) AS n_hit FROM (SELECT k, unnest(range(s, s + size)) AS p FROM hits) GROUP BY k
+    ), named AS (
+        SELECT k, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS digest
+        FROM (SELECT DISTINCT k, item FROM hits) GROUP BY k
+    )
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+           CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, coalesce(digest, sha256('')) AS items_sha256,
+           n_hit IS NOT NULL AS contaminated
+    FROM d LEFT JOIN covered USING (k) LEFT JOIN named USING (k)
+    """,
+)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents hold passages of the benchmark."""
+    return decontaminate.decontaminate(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
