@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginalia.llm import decontaminate, language, secrets, sharding, tokens, topk, urls, warc
+from marginalia.llm import decontaminate, language, ngramjoin, secrets, sharding, tokens, topk, urls, warc
 from marginalia.llm.common import CHECK_SQL, QUERIES, query, table
 
 __all__ = ["CHECK_SQL", "QUERIES"]
@@ -125,3 +125,33 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which documents hold passages of the benchmark."""
     return decontaminate.decontaminate(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+@query(
+    "op9_ngram_jaccard",
+    r"""
+    WITH RECURSIVE d AS MATERIALIZED (
+        SELECT row_number() OVER () AS k, doc_id, list_filter(string_split_regex(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+        FROM documents
+    ), g AS MATERIALIZED (
+        SELECT DISTINCT k, array_to_string(w[s + 1 : s + 4], ' ') AS gram
+        FROM (SELECT k, w, unnest(range(greatest(len(w) - 3, 1))) AS s FROM d WHERE len(w) > 0)
+    ), n AS MATERIALIZED (SELECT k, count(*) AS n FROM g GROUP BY k),
+    links AS MATERIALIZED (
+        SELECT x.k AS a, y.k AS b
+        FROM g x JOIN g y ON x.gram = y.gram AND x.k <> y.k JOIN n p ON p.k = x.k JOIN n q ON q.k = y.k
+        GROUP BY x.k, y.k, p.n, q.n HAVING 100 * count(*) >= 85 * (p.n + q.n - count(*))
+    ), reach(a, b) AS (
+        SELECT k, k FROM d UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+    ), least AS (
+        SELECT a AS k, min(doc_id) AS component_id FROM reach JOIN d ON d.k = b GROUP BY a
+    )
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+    FROM d LEFT JOIN n USING (k) JOIN least USING (k)
+    """,
+)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose sets of four-word shingles are at least 85 percent alike."""
+    return ngramjoin.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), 4, 85)
