@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginalia.llm import decontaminate, language, ngramjoin, secrets, sharding, tokens, topk, urls, warc
+from marginalia.llm import decontaminate, language, ngramjoin, packing, secrets, sharding, tokens, topk, urls, warc
 from marginalia.llm.common import CHECK_SQL, QUERIES, query, table
 
 __all__ = ["CHECK_SQL", "QUERIES"]
@@ -155,3 +155,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose sets of four-word shingles are at least 85 percent alike."""
     return ngramjoin.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), 4, 85)
+
+
+@query("op2_packing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in bins of 4,096 words without two pieces of one source or of equal texts."""
+    return packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
