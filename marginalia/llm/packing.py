@@ -5,7 +5,7 @@ are dealt to cells that one task packs. A cell keeps its bins in the order of
 their residual room; each bin carries bitmaps of its sources and clusters. An
 item, longest first, goes to the tightest bin that has room and no bit in
 common: the search starts at the successor of the item's length and continues
-upwards until a compatible bin is found.
+upwards until a compatible bin is found; of equally tight ones the oldest.
 """
 
 from __future__ import annotations
@@ -68,7 +68,9 @@ class Bins:
             if self.open == len(self.room):
                 self.room, self.name = (np.concatenate([a, np.empty_like(a)]) for a in (self.room, self.name))
                 self.mask = np.concatenate([self.mask, np.zeros_like(self.mask)])
-            to = int(np.searchsorted(self.room[: self.open], room))
+            # Bins of equal room lie in the order of their numbers.
+            to, end = (int(np.searchsorted(self.room[: self.open], room, side)) for side in ("left", "right"))
+            to += int(np.searchsorted(self.name[to:end], name))
             self._move(to, self.open, 1)
             self.room[to], self.name[to], self.mask[to] = room, name, mask
             self.open += 1
