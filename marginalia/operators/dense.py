@@ -21,6 +21,7 @@ from marginalia.operators.topk import top_k_per_group
 # table is answered block by block, one scan each.
 QUERY_BLOCK = 1024
 
+# Digits of reported scores; ranks follow the full values.
 DIGITS = 6
 
 LOCAL_SCHEMA = "query_id long, embedding_index long, distance double, deleted boolean"
@@ -56,9 +57,9 @@ def best_rows(primary: np.ndarray, tie: np.ndarray, k: int) -> np.ndarray:
 
 
 def exact_distances(matrix: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Squared distances, rounded so that ties are stable."""
+    """Squared distances, summed in one order for all rows, so that equal vectors tie."""
     gap = matrix - query
-    return np.round(np.einsum("ij,ij->i", gap, gap), DIGITS)
+    return np.einsum("ij,ij->i", gap, gap)
 
 
 def nearest(matrix: np.ndarray, index: np.ndarray, block: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -69,7 +70,7 @@ def nearest(matrix: np.ndarray, index: np.ndarray, block: np.ndarray, k: int) ->
     """
     rows, queries = np.einsum("ij,ij->i", matrix, matrix), np.einsum("ij,ij->i", block, block)
     rough = rows[:, None] + queries[None, :] - 2.0 * (matrix @ block.T)
-    margin = 2 * 10.0**-DIGITS + 1e-12 * (rows.max() + queries.max())
+    margin = 1e-12 * (rows.max() + queries.max())
     for j, query in enumerate(block):
         column = rough[:, j]
         if len(column) > k:
@@ -168,10 +169,10 @@ def search_dense(
         answer = part if position == 0 else answer.unionByName(part)
     pool = top_k_per_group(answer, ["query_id"], order, max(fetch, 1))
     if exact:
-        return pool.select("query_id", "rank", "embedding_index", "distance")
+        return pool.select("query_id", "rank", "embedding_index", F.round("distance", DIGITS).alias("distance"))
     live = pool.filter(~F.col("deleted")).drop("rank")
     return top_k_per_group(live, ["query_id"], order, k).select(
-        "query_id", "rank", "embedding_index", "distance"
+        "query_id", "rank", "embedding_index", F.round("distance", DIGITS).alias("distance")
     )
 
 

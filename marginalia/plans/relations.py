@@ -57,10 +57,11 @@ centroid AS (
 # Distance of every query vector to every vector.
 DISTANCE_SQL = """
 dist AS (
-  SELECT query_id, vec_id, label,
-         round(list_sum(list_transform(list_zip(embedding, q),
-           lambda z: (z[1]::DOUBLE - z[2]) * (z[1]::DOUBLE - z[2]))), 6) AS distance
-  FROM embeddings, centroid
+  SELECT *, round(exact, 6) AS distance FROM (
+    SELECT query_id, vec_id, label,
+           list_sum(list_transform(list_zip(embedding, q),
+             lambda z: (z[1]::DOUBLE - z[2]) * (z[1]::DOUBLE - z[2]))) AS exact
+    FROM embeddings, centroid)
 )"""
 
 # Tokens and BM25 statistics of documents.
@@ -89,6 +90,10 @@ terms AS (
 )"""
 )
 
+# Both engines add the parts of a score in different orders; at nine digits
+# they agree, so ranks of these queries follow that.
+ORDER_DIGITS = 9
+
 BM25_SCORE_SQL = (
     BM25_STATS_SQL
     + r""",
@@ -103,7 +108,8 @@ matched AS (
   FROM qterm JOIN post USING (term) JOIN terms USING (term) GROUP BY query_id, doc_id
 ),
 scored AS (
-  SELECT q.query_id, d.doc_id, round(coalesce(m.s, 0.0), 6) AS score
+  SELECT q.query_id, d.doc_id, round(coalesce(m.s, 0.0), 6) AS score,
+         round(coalesce(m.s, 0.0), 9) AS order_score
   FROM (SELECT DISTINCT query_id FROM qterm) q CROSS JOIN documents d
   LEFT JOIN matched m ON m.query_id = q.query_id AND m.doc_id = d.doc_id
 )"""

@@ -26,12 +26,12 @@ WITH mean AS (
       SELECT unnest(range(1, len(embedding) + 1)) AS pos, unnest(embedding)::DOUBLE AS x FROM embeddings
     ) GROUP BY pos)
 ), d AS (
-  SELECT vec_id, round(list_sum(list_transform(list_zip(embedding, q),
-           lambda z: (z[1]::DOUBLE - z[2]) * (z[1]::DOUBLE - z[2]))), 6) AS distance
+  SELECT vec_id, list_sum(list_transform(list_zip(embedding, q),
+           lambda z: (z[1]::DOUBLE - z[2]) * (z[1]::DOUBLE - z[2]))) AS exact
   FROM embeddings, mean
 )
-SELECT row_number() OVER (ORDER BY distance, vec_id) AS rank, vec_id AS embedding_index, distance
-FROM d ORDER BY distance, vec_id LIMIT 10
+SELECT row_number() OVER (ORDER BY exact, vec_id) AS rank, vec_id AS embedding_index, round(exact, 6) AS distance
+FROM d ORDER BY exact, vec_id LIMIT 10
 """,
 )
 def dense_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,9 +44,9 @@ def dense_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 DENSE_BATCHED_SQL = f"""
 WITH {rel.CENTROID_SQL}, {rel.DISTANCE_SQL}
-SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank,
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY exact, vec_id) AS rank,
        vec_id AS embedding_index, distance
-FROM dist QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) <= 10
+FROM dist QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY exact, vec_id) <= 10
 """
 
 
@@ -60,7 +60,7 @@ def dense_topk_batched(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""
 WITH {rel.CENTROID_SQL}, {rel.DISTANCE_SQL}
 SELECT query_id, vec_id AS embedding_index, round(exp(-distance), 4) AS similarity
-FROM dist QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) <= 10
+FROM dist QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY exact, vec_id) <= 10
 """,
 )
 def dense_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,10 +77,10 @@ fetched AS (
                count(*)) AS n FROM embeddings
 ),
 pool AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS r FROM dist
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY exact, vec_id) AS r FROM dist
 ),
 live AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY exact, vec_id) AS rank
   FROM pool WHERE r <= (SELECT n FROM fetched) AND label <> 3
 )
 SELECT query_id, rank, vec_id AS embedding_index, distance FROM live WHERE rank <= 10
@@ -98,10 +98,10 @@ def dense_tombstoned(spark: SparkSession, sf_dir: str) -> DataFrame:
     "dense_tombstoned_exact",
     f"""
 WITH {rel.CENTROID_SQL}, {rel.DISTANCE_SQL}
-SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank,
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY exact, vec_id) AS rank,
        vec_id AS embedding_index, distance
 FROM dist WHERE label <> 3
-QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) <= 10
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY exact, vec_id) <= 10
 """,
 )
 def dense_tombstoned_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,31 +223,31 @@ def bm25_append_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 BM25_TOPK_SQL = f"""
 WITH {rel.BM25_SCORE_SQL}
-SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank,
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY order_score DESC, doc_id) AS rank,
        doc_id AS bm25_index, score
-FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) <= 10
+FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY order_score DESC, doc_id) <= 10
 """
 
 
 @query("bm25_topk", BM25_TOPK_SQL)
 def bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bm25.search_bm25(rel.bm25_index(spark, sf_dir, materialize=True), rel.benchmark_queries(spark, sf_dir), TOP_K)
+    return bm25.search_bm25(rel.bm25_index(spark, sf_dir, materialize=True), rel.benchmark_queries(spark, sf_dir), TOP_K, digits=rel.ORDER_DIGITS)
 
 
 @query(
     "bm25_topk_postings",
     f"""
-WITH {rel.BM25_SCORE_SQL}, m AS (SELECT query_id, doc_id, round(s, 6) AS score FROM matched)
-SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank,
+WITH {rel.BM25_SCORE_SQL}, m AS (SELECT query_id, doc_id, round(s, 6) AS score, round(s, 9) AS order_score FROM matched)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY order_score DESC, doc_id) AS rank,
        doc_id AS bm25_index, score
-FROM m QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) <= 10
+FROM m QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY order_score DESC, doc_id) <= 10
 """,
 )
 def bm25_topk_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = rel.bm25_index(spark, sf_dir, materialize=True)
     inverted = bm25.postings(index.docs)
     asked = rel.benchmark_queries(spark, sf_dir)
-    return bm25.search_postings(inverted, index.terms, index.meta, asked, TOP_K)
+    return bm25.search_postings(inverted, index.terms, index.meta, asked, TOP_K, digits=rel.ORDER_DIGITS)
 
 
 @query(
@@ -259,10 +259,10 @@ fetched AS (
                count(*)) AS n FROM documents
 ),
 pool AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS r FROM scored
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY order_score DESC, doc_id) AS r FROM scored
 ),
 live AS (
-  SELECT query_id, doc_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank
+  SELECT query_id, doc_id, score, row_number() OVER (PARTITION BY query_id ORDER BY order_score DESC, doc_id) AS rank
   FROM pool JOIN documents USING (doc_id) WHERE r <= (SELECT n FROM fetched) AND source <> 'src3'
 )
 SELECT query_id, rank, doc_id AS bm25_index, score FROM live WHERE rank <= 10
@@ -277,7 +277,7 @@ def bm25_tombstoned(spark: SparkSession, sf_dir: str) -> DataFrame:
         "text",
         F.when(F.col("source") == "src3", F.to_timestamp(F.lit(rel.DELETED_AT))).alias("deleted_utc"),
     )
-    return bm25.search_bm25(bm25.build_index(chunks, materialize=True), rel.benchmark_queries(spark, sf_dir), TOP_K)
+    return bm25.search_bm25(bm25.build_index(chunks, materialize=True), rel.benchmark_queries(spark, sf_dir), TOP_K, exact=False, digits=rel.ORDER_DIGITS)
 
 
 def hybrid_pools(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -295,7 +295,7 @@ def hybrid_pools(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
         "rank",
         "distance",
     )
-    found = bm25.search_bm25(rel.bm25_index(spark, sf_dir, materialize=True), rel.benchmark_queries(spark, sf_dir), POOL)
+    found = bm25.search_bm25(rel.bm25_index(spark, sf_dir, materialize=True), rel.benchmark_queries(spark, sf_dir), POOL, digits=rel.ORDER_DIGITS)
     lexical = found.select(
         "query_id",
         F.format_string("doc-%06d", "bm25_index").alias("chunk_id"),
@@ -309,7 +309,7 @@ def hybrid_pools(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 HYBRID_POOLS_SQL = f"""
 {rel.CENTROID_SQL}, {rel.DISTANCE_SQL}, {rel.BM25_SCORE_SQL},
 near AS (
-  SELECT query_id, vec_id, distance, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank
+  SELECT query_id, vec_id, distance, row_number() OVER (PARTITION BY query_id ORDER BY exact, vec_id) AS rank
   FROM dist QUALIFY rank <= 50
 ),
 dense AS (
@@ -317,7 +317,7 @@ dense AS (
   FROM near JOIN benchmark b ON b.item_id % 10 = near.query_id
 ),
 lexical AS (
-  SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank, score
+  SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY order_score DESC, doc_id) AS rank, score
   FROM scored QUALIFY rank <= 50
 )"""
 
@@ -380,7 +380,7 @@ def hybrid_cross_tombstones(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""
 WITH {rel.CENTROID_SQL}, {rel.DISTANCE_SQL},
 near AS (
-  SELECT query_id, vec_id, distance, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS r
+  SELECT query_id, vec_id, distance, row_number() OVER (PARTITION BY query_id ORDER BY exact, vec_id) AS r
   FROM dist QUALIFY r <= 50
 )
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY round(1.0::DOUBLE / (60 + r), 12) DESC, vec_id) AS rank,
@@ -451,7 +451,7 @@ def embed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""
 WITH {rel.BM25_SCORE_SQL},
 pool AS (
-  SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS pool_rank FROM scored QUALIFY pool_rank <= 50
+  SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY order_score DESC, doc_id) AS pool_rank FROM scored QUALIFY pool_rank <= 50
 ),
 asked AS (SELECT query_id, list(DISTINCT term) AS w FROM qterm GROUP BY query_id),
 rr AS (
@@ -466,7 +466,7 @@ FROM rr QUALIFY rank <= 10
 def rerank_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
     """BM25 pool reranked by a deterministic stand-in for a cross-encoder."""
     asked = rel.benchmark_queries(spark, sf_dir)
-    pool = bm25.search_bm25(rel.bm25_index(spark, sf_dir, materialize=True), asked, POOL)
+    pool = bm25.search_bm25(rel.bm25_index(spark, sf_dir, materialize=True), asked, POOL, digits=rel.ORDER_DIGITS)
     bodies = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("bm25_index"), "text")
     pairs = join_hits(bodies, pool, ["bm25_index"]).join(asked.withColumnRenamed("text", "query"), "query_id")
     ranked = models.rerank(pairs, models.overlap_scorer, TOP_K)

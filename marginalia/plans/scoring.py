@@ -79,7 +79,7 @@ def _run_sql(where: str = "true", tail: str = "") -> str:
     return f"""
 hits{tail} AS (
   SELECT query_id AS item_id, vec_id, label = query_id AS hit,
-         row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank
+         row_number() OVER (PARTITION BY query_id ORDER BY exact, vec_id) AS rank
   FROM dist WHERE {where} QUALIFY rank <= 10
 ),
 res{tail} AS (

@@ -65,7 +65,7 @@ def vector_rows():
 
 
 def nearest(rows, query, k, dead=()):
-    scored = [(round(sum((a - b) ** 2 for a, b in zip(v, query)), 6), i) for i, v in rows if i not in dead]
+    scored = [(sum((a - b) ** 2 for a, b in zip(v, query)), i) for i, v in rows if i not in dead]
     return [i for _, i in sorted(scored)[:k]]
 
 
@@ -80,6 +80,13 @@ def test_dense_equals_brute_force_with_ties(spark, vector_rows, monkeypatch):
         assert got == nearest(vector_rows, vector, 9)
 
 
+def test_dense_tells_apart_what_digits_do_not(spark):
+    rows = [(0, [1.0002, 0.0]), (1, [1.0, 0.0])]
+    vectors = spark.createDataFrame(rows, "embedding_index long, embedding array<double>")
+    queries = spark.createDataFrame([(0, [1.0, 0.0])], "query_id long, embedding array<double>")
+    assert search_dense(vectors, queries, 1).first()["embedding_index"] == 1
+
+
 def test_dense_leaves_out_deleted_rows(spark, vector_rows):
     dead = set(range(0, 300, 3))
     vectors = spark.createDataFrame(vector_rows, "embedding_index long, embedding array<float>").withColumn(
