@@ -13,9 +13,8 @@ from pyspark.sql import functions as F
 
 from marginalia.functions.text import SPACE, front_matter, normalize_block, strip
 
-# Element categories that count as headings, and the depth range.
+# Element categories that count as headings.
 HEADING_CATEGORIES = ("Title", "Header")
-MARKDOWN_LEVELS = 6
 
 HEADING_LINE = rf"\A(#{{1,6}})[{SPACE}]+([^\n]+?)[{SPACE}]*\z"
 
@@ -74,48 +73,62 @@ def add_offsets(blocks: DataFrame, header_length: Column | int = 0) -> DataFrame
     )
 
 
-def add_heading_stack(blocks: DataFrame, levels: int = MARKDOWN_LEVELS) -> DataFrame:
-    """Open headings at each block, outermost first.
+def add_heading_stack(blocks: DataFrame) -> DataFrame:
+    """Open headings at each block, outermost first, of any depth.
 
-    The latest heading of a level is open unless a heading of a smaller level
-    came after it: one running maximum per level, all over the same sort.
+    The headings of a document are folded in order: each closes those of its
+    own or a deeper level. A block has the stack that the headings up to it
+    left, found by their number; both sides are partitioned by document.
     """
     upto = Window.partitionBy("doc_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    latest = [f"_h{n}" for n in range(1, levels + 1)]
-    staged = blocks.select(
-        "*",
-        *[
-            F.max(F.when(F.col("level") == n, F.struct("pos", "heading"))).over(upto).alias(name)
-            for n, name in enumerate(latest, start=1)
-        ],
+    numbered = blocks.withColumn("_headings", F.count("level").over(upto))
+    heads = blocks.filter(F.col("level").isNotNull()).groupBy("doc_id")
+    ordered = heads.agg(F.sort_array(F.collect_list(F.struct("pos", "level", "heading"))).alias("_heads"))
+    none = F.array().cast("array<struct<level:int,heading:string>>")
+
+    def fold(state: Column, head: Column) -> Column:
+        above = F.filter(state["open"], lambda h: h["level"] < head["level"])
+        now = F.concat(above, F.array(F.struct(head["level"].cast("int").alias("level"), head["heading"].alias("heading"))))
+        return F.struct(now.alias("open"), F.concat(state["all"], F.array(F.transform(now, lambda h: h["heading"]))).alias("all"))
+
+    start = F.struct(none.alias("open"), F.array().cast("array<array<string>>").alias("all"))
+    stacks = ordered.select("doc_id", F.aggregate("_heads", start, fold, lambda s: s["all"]).alias("_stacks"))
+    found = F.when(F.col("_headings") > 0, F.element_at("_stacks", F.col("_headings").cast("int")))
+    return (
+        numbered.join(stacks, "doc_id", "left")
+        .withColumn("heading_stack", F.coalesce(found, F.array().cast("array<string>")))
+        .select(*blocks.columns, "heading_stack")
     )
-    open_headings = []
-    for n, name in enumerate(latest):
-        above = [F.coalesce(F.col(f"{other}.pos"), F.lit(-1)) for other in latest[:n]]
-        bar = F.greatest(*above) if len(above) > 1 else (above[0] if above else F.lit(-1))
-        open_headings.append(F.when(F.col(f"{name}.pos") > bar, F.col(f"{name}.heading")))
-    return staged.withColumn("heading_stack", F.array_compact(F.array(*open_headings))).drop(*latest)
 
 
-def element_map(elements: DataFrame, header_length: Column | int = 0, levels: int = MARKDOWN_LEVELS) -> DataFrame:
+def element_map(elements: DataFrame, header_length: Column | int = 0) -> DataFrame:
     """Spans, pages and heading stacks of all non-blank elements."""
-    return add_heading_stack(add_offsets(classify(elements), header_length), levels)
+    return add_heading_stack(add_offsets(classify(elements), header_length))
 
 
-def format_documents(elements: DataFrame, metadata: dict[str, Column] | None = None) -> DataFrame:
-    """Markdown plus element map per document: doc_id, markdown, elements."""
-    header = front_matter(metadata) if metadata else F.lit("")
-    mapped = element_map(elements)
+def format_documents(
+    elements: DataFrame, metadata: dict[str, Column] | None = None, documents: DataFrame | None = None
+) -> DataFrame:
+    """Markdown plus element map per document: doc_id, markdown, elements.
+
+    ``documents`` (doc_id and the columns that ``metadata`` uses, one row per
+    document) gives the front matter; without it ``metadata`` may use doc_id
+    only. Documents whose elements are all blank have an empty body.
+    """
+    known = (documents if documents is not None else elements.select("doc_id").distinct()).withColumn(
+        "_header", front_matter(metadata) if metadata else F.lit("")
+    )
     ordered = F.sort_array(
         F.collect_list(
             F.struct("pos", "text", "char_start", "char_end", "page_number", "heading_stack")
         )
     )
-    grouped = mapped.groupBy("doc_id").agg(ordered.alias("rows"))
-    body = F.concat(F.array_join(F.transform("rows", lambda r: r["text"]), "\n\n"), F.lit("\n"))
-    shift = F.length(header)
+    grouped = element_map(elements).groupBy("doc_id").agg(ordered.alias("_rows"))
+    joined = known.select("doc_id", "_header").join(grouped, "doc_id", "left")
+    body = F.concat(F.array_join(F.transform("_rows", lambda r: r["text"]), "\n\n"), F.lit("\n"))
+    shift = F.length("_header")
     spans = F.transform(
-        "rows",
+        "_rows",
         lambda r: F.struct(
             (r["char_start"] + shift).alias("char_start"),
             (r["char_end"] + shift).alias("char_end"),
@@ -123,11 +136,29 @@ def format_documents(elements: DataFrame, metadata: dict[str, Column] | None = N
             r["heading_stack"].alias("heading_stack"),
         ),
     )
-    return grouped.select("doc_id", F.concat(header, body).alias("markdown"), spans.alias("elements"))
+    empty = F.array().cast("array<struct<char_start:bigint,char_end:bigint,page_number:int,heading_stack:array<string>>>")
+    return joined.select(
+        "doc_id",
+        F.concat("_header", F.coalesce(body, F.lit(""))).alias("markdown"),
+        F.coalesce(spans, empty).alias("elements"),
+    )
+
 
+def uncovered(formatted: DataFrame, header_length: Column | int = 0) -> DataFrame:
+    """Coverage check on the finished Markdown: doc_id, wrong (faults found).
 
-def uncovered(mapped: DataFrame) -> DataFrame:
-    """Coverage check: neighbours whose spans overlap or leave a wrong gap."""
-    order = Window.partitionBy("doc_id").orderBy("char_start")
-    gap = F.col("char_start") - F.lag("char_end").over(order)
-    return mapped.withColumn("gap", gap).filter(F.col("gap") != 2)
+    Between the spans, read from the text itself, there must be exactly one
+    blank line, nothing before the first but the header, a line end after the
+    last, and no span may be blank.
+    """
+    header = header_length if isinstance(header_length, Column) else F.lit(header_length)
+    n = F.size("elements")
+    piece = lambda start, end: F.substring(F.col("markdown"), start + 1, end - start)
+    starts = F.transform("elements", lambda e: e["char_start"].cast("int"))
+    ends = F.transform("elements", lambda e: e["char_end"].cast("int"))
+    gaps = F.transform(F.arrays_zip(F.slice(ends, F.lit(1), n - 1).alias("a"), F.slice(starts, F.lit(2), n - 1).alias("b")), lambda g: piece(g["a"], g["b"]))
+    wrong_gaps = F.size(F.filter(gaps, lambda g: g != "\n\n"))
+    blank = F.size(F.filter("elements", lambda e: strip(piece(e["char_start"].cast("int"), e["char_end"].cast("int"))) == ""))
+    edges = (F.element_at(starts, 1) != header).cast("int") + (piece(F.element_at(ends, n), F.length("markdown")) != "\n").cast("int")
+    checked = F.when(n > 0, wrong_gaps + blank + edges).otherwise((F.length("markdown") != header).cast("int"))
+    return formatted.select("doc_id", checked.cast("long").alias("wrong")).filter("wrong > 0")

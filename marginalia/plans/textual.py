@@ -217,7 +217,7 @@ def display_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _line_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of documents as parser elements. A line whose length is divisible
-    by four is a title of depth (length mod 3); pages turn every five lines."""
+    by four is a title of depth (length mod 9); pages turn every five lines."""
     lines = texts(spark, sf_dir).select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "text"))
     size = F.length("text")
     return lines.select(
@@ -226,7 +226,7 @@ def _line_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
         "text",
         F.when(size % 4 == 0, "Title").otherwise("NarrativeText").alias("category"),
         (F.floor(F.col("pos") / 5) + 1).cast("int").alias("page_number"),
-        (size % 3).cast("int").alias("category_depth"),
+        (size % 9).cast("int").alias("category_depth"),
     )
 
 
@@ -237,7 +237,7 @@ lines AS (
 ),
 kept AS (
   SELECT doc_id, pos, regexp_replace(raw, '[{WS_LINE}]+$', '') AS text, length(raw) % 4 = 0 AS is_head,
-         length(raw) % 3 + 1 AS lvl, pos // 5 + 1 AS page
+         length(raw) % 9 + 1 AS lvl, pos // 5 + 1 AS page
   FROM lines WHERE regexp_replace(raw, '[{WS_LINE}]+', '', 'g') <> ''
 ),
 spans AS (
@@ -286,7 +286,7 @@ stack AS (
     f"WITH {STACK_SQL} SELECT doc_id, pos, coalesce(path, '') AS path FROM stack",
 )
 def heading_stack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stacked = elements.add_heading_stack(elements.classify(_line_elements(spark, sf_dir)), levels=3)
+    stacked = elements.add_heading_stack(elements.classify(_line_elements(spark, sf_dir)))
     return stacked.select(
         "doc_id", F.col("pos").cast("long").alias("pos"), F.array_join("heading_stack", " > ").alias("path")
     )
@@ -296,8 +296,9 @@ def heading_stack(spark: SparkSession, sf_dir: str) -> DataFrame:
     "format_documents",
     f"""
 WITH {ELEMENT_SQL}
-SELECT doc_id, md5(string_agg(text, chr(10) || chr(10) ORDER BY pos) || chr(10)) AS digest, count(*) AS n_elements,
-       max(char_start + length(text)) AS body_end FROM spans GROUP BY doc_id
+SELECT doc_id, md5(coalesce(string_agg(text, chr(10) || chr(10) ORDER BY pos) || chr(10), '')) AS digest,
+       count(text) AS n_elements, max(char_start + length(text)) AS body_end
+FROM (SELECT doc_id FROM documents) LEFT JOIN spans USING (doc_id) GROUP BY doc_id
 """,
 )
 def format_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -344,12 +345,26 @@ def heading_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "element_coverage",
-    "SELECT 0::BIGINT AS wrong_gaps",
+    f"""
+WITH {ELEMENT_SQL},
+md AS (SELECT doc_id, string_agg(text, chr(10) || chr(10) ORDER BY pos) || chr(10) AS markdown FROM spans GROUP BY doc_id),
+near AS (
+  SELECT doc_id, char_start, char_start + length(text) AS char_end,
+         lead(char_start) OVER (PARTITION BY doc_id ORDER BY pos) AS next_start,
+         row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS nr FROM spans
+)
+SELECT count(*) AS checked, count(*) FILTER (
+         substr(markdown, char_end + 1, coalesce(next_start, length(markdown)) - char_end)
+           <> CASE WHEN next_start IS NULL THEN chr(10) ELSE chr(10) || chr(10) END
+         OR (nr = 1 AND char_start <> 0)) AS wrong_gaps
+FROM near JOIN md USING (doc_id)
+""",
 )
 def element_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Invariant: neighbouring elements are exactly one blank line apart."""
-    mapped = elements.add_offsets(elements.classify(_line_elements(spark, sf_dir)))
-    return elements.uncovered(mapped).agg(F.count(F.lit(1)).alias("wrong_gaps"))
+    """Invariant: in the finished text neighbouring elements are one blank line apart."""
+    formatted = elements.format_documents(_line_elements(spark, sf_dir))
+    wrong = elements.uncovered(formatted).agg(F.coalesce(F.sum("wrong"), F.lit(0)).alias("wrong_gaps"))
+    return formatted.agg(F.sum(F.size("elements")).alias("checked")).crossJoin(wrong)
 
 
 def _fixed_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -404,7 +419,7 @@ GROUP BY c.doc_id, c.chunk_index
 """,
 )
 def chunk_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mapped = elements.element_map(_line_elements(spark, sf_dir), levels=3)
+    mapped = elements.element_map(_line_elements(spark, sf_dir))
     sections = provenance.chunk_sections(_fixed_chunks(spark, sf_dir), mapped)
     return sections.select(
         "doc_id",
@@ -581,7 +596,7 @@ def chunk_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     ends = F.sum(F.length("text") + 1).over(order)
     rows = _line_elements(spark, sf_dir)
     spans = rows.select("doc_id", "pos", (ends - 1 - F.length("text")).alias("char_start"), (ends - 1).alias("char_end"))
-    stacked = elements.add_heading_stack(elements.classify(rows), levels=3)
+    stacked = elements.add_heading_stack(elements.classify(rows))
     mapped = stacked.drop("text").join(spans, ["doc_id", "pos"])
     chunks = splitter.split_documents(texts(spark, sf_dir)).drop("text")
     traced = provenance.add_provenance(chunks, mapped)

@@ -36,8 +36,7 @@ def test_markdown_matches_its_map(titled):
     assert row["markdown"].startswith("---\na: x\nb: 1\n---\n\nIntro\n\nFirst paragraph.\n\nBackground")
     assert row["markdown"].endswith("End\n")
     assert [row["markdown"][e["char_start"] : e["char_end"]] for e in row["elements"]][-2:] == ["Methods\nsubtitle", "End"]
-    mapped = elements.element_map(titled)
-    assert elements.uncovered(mapped).count() == 0
+    assert elements.uncovered(elements.format_documents(titled)).count() == 0
 
 
 def test_plain_text_headings(spark):
@@ -121,3 +120,30 @@ def test_phrases_equal_the_walk(spark, rests, first):
     rows = [("rest" if r else "note", m, None if r else "C4", 1.0, None, None) for m, r in measures]
     got = music.phrases(piece(spark, rows)).orderBy("phrase_num").collect()
     assert [(r["start_measure"], r["end_measure"], r["boundary_type"]) for r in got] == walked(measures)
+
+
+def test_heading_stack_of_any_depth(spark):
+    depths = [0, 3, 8, 6, 8, 0, 10]
+    rows = [(1, i, f"h{i}", "Title", 1, d) for i, d in enumerate(depths)] + [(1, 99, "body", "NarrativeText", 2, 0), (2, 0, "alone", "NarrativeText", 1, 0)]
+    frame = spark.createDataFrame(rows, "doc_id int, pos int, text string, category string, page_number int, category_depth int")
+    got = {(r["doc_id"], r["pos"]): r["heading_stack"] for r in elements.element_map(frame).collect()}
+    assert [got[1, i] for i in (*range(7), 99)] == [
+        ["h0"], ["h0", "h1"], ["h0", "h1", "h2"], ["h0", "h1", "h3"], ["h0", "h1", "h3", "h4"], ["h5"], ["h5", "h6"], ["h5", "h6"],
+    ]
+    assert got[2, 0] == []
+
+
+def test_front_matter_from_the_document_table(spark):
+    frame = spark.createDataFrame(
+        [("a", 0, "One", "NarrativeText", 1, 0), ("a", 1, "Two", "NarrativeText", 1, 0), ("b", 0, "  ", "NarrativeText", 1, 0)],
+        "doc_id string, pos int, text string, category string, page_number int, category_depth int",
+    )
+    docs = spark.createDataFrame([("a", "x.pdf"), ("b", "y.pdf"), ("c", "z.pdf")], "doc_id string, source string")
+    formatted = elements.format_documents(frame, {"source": F.col("source")}, docs)
+    got = {r["doc_id"]: r["markdown"] for r in formatted.collect()}
+    assert got["a"].startswith("---\nsource: x.pdf\n---\n\n") and got["a"].endswith("\n\nOne\n\nTwo\n")
+    assert got["b"] == "---\nsource: y.pdf\n---\n\n" and got["c"] == "---\nsource: z.pdf\n---\n\n"
+    assert elements.uncovered(formatted, F.lit(len("---\nsource: x.pdf\n---\n\n"))).count() == 0
+    assert elements.uncovered(elements.format_documents(frame)).count() == 0
+    broken = elements.format_documents(frame).withColumn("markdown", F.regexp_replace("markdown", "One\n", "One"))
+    assert [r["doc_id"] for r in elements.uncovered(broken).collect()] == ["a"]
