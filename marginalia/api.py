@@ -59,11 +59,15 @@ def search(
     """Cited results for queries(query_id, text), best first per query.
 
     ``mode`` is dense, bm25 or hybrid; hybrid without a stored BM25 index runs
-    dense only and flags its rows. ``scorer`` reranks the pool.
+    dense only and flags its rows, bm25 without one is an error. ``scorer``
+    reranks the pool. Rows are told apart by their position in the index, so
+    an updated chunk never meets its deleted predecessor.
     """
     if mode not in ("dense", "bm25", "hybrid"):
         raise ValueError("mode must be dense, bm25 or hybrid")
     vectors = store.read_vectors(spark, f"{root}/vectors/{agent}", agent, check=False)
+    if "deleted_utc" in vectors.columns:
+        vectors = vectors.filter(F.col("deleted_utc").isNull())
     wanted = hybrid.pool_size(top_k, pool if mode == "hybrid" else 1, rerank_pool if scorer else 0)
     keys = vectors.select("embedding_index", "chunk_id", "doc_id")
 
@@ -77,18 +81,29 @@ def search(
         if index is None:
             return None
         found = bm25.search_bm25(index, queries, k)
-        return join_hits(index.docs.select("bm25_index", "chunk_id", "doc_id"), found, ["bm25_index"])
+        named = index.docs.select(F.col("bm25_index").alias("embedding_index"), "chunk_id", "doc_id")
+        alive = keys.select("embedding_index")
+        hits = join_hits(named, found.withColumnRenamed("bm25_index", "embedding_index"), ["embedding_index"])
+        return hits.join(alive, "embedding_index", "left_semi")
 
     if mode == "dense":
-        ranked = dense_channel(wanted).select("query_id", "rank", "chunk_id", "doc_id", "distance")
+        ranked = dense_channel(wanted).select("query_id", "rank", "embedding_index", "chunk_id", "doc_id", "distance")
     elif mode == "bm25":
-        ranked = lexical_channel(wanted).select("query_id", "rank", "chunk_id", "doc_id", "score")
+        lexical = lexical_channel(wanted)
+        if lexical is None:
+            raise store.StoreError(f"agent {agent} has no BM25 index")
+        ranked = lexical.select("query_id", "rank", "embedding_index", "chunk_id", "doc_id", "score")
     else:
         near, lexical = dense_channel(wanted), lexical_channel(wanted)
-        ranked = hybrid.dense_only(near, wanted, k_rrf) if lexical is None else hybrid.fuse(near, lexical, wanted, k_rrf)
+        row = "embedding_index"
+        ranked = (
+            hybrid.dense_only(near, wanted, k_rrf, key=row)
+            if lexical is None
+            else hybrid.fuse(near, lexical, wanted, k_rrf, key=row)
+        )
     # Ranking above runs on keys; bodies are fetched for ranked chunks only.
-    bodies = vectors.select("chunk_id", "source", "text")
-    hits = join_hits(bodies, ranked, ["chunk_id"])
+    bodies = vectors.select("embedding_index", "source", "text")
+    hits = join_hits(bodies, ranked, ["embedding_index"])
     if scorer is not None:
         pairs = hits.join(queries.select("query_id", F.col("text").alias("query")), "query_id")
         hits = models.rerank(pairs, scorer, top_k).drop("query")

@@ -31,33 +31,42 @@ def fuse(
     top_k: int,
     k_rrf: int = K_RRF,
     tombstones: DataFrame | None = None,
+    key: str = "chunk_id",
 ) -> DataFrame:
     """Fuse two ranked pools per query.
 
     dense:   query_id, chunk_id, doc_id, rank, distance
     lexical: query_id, chunk_id, doc_id, rank
-    tombstones: chunk_id of rows deleted in either channel.
+    tombstones: keys of rows deleted in either channel.
+    ``key`` names the column that tells rows apart: the row position where an
+    updated chunk keeps its id, so that deleting the old row spares the new one.
 
     Both pools are bounded by queries times pool size, so the outer join stays
     small however large the indexes are.
     """
     left = dense.select(
         "query_id",
-        "chunk_id",
+        key,
+        F.col("chunk_id").alias("dense_chunk"),
         F.col("doc_id").alias("dense_doc"),
         F.col("rank").alias("dense_rank"),
         F.col("distance").alias("dense_distance"),
     )
     right = lexical.select(
-        "query_id", "chunk_id", F.col("doc_id").alias("lexical_doc"), F.col("rank").alias("bm25_rank")
+        "query_id",
+        key,
+        F.col("chunk_id").alias("lexical_chunk"),
+        F.col("doc_id").alias("lexical_doc"),
+        F.col("rank").alias("bm25_rank"),
     )
     if tombstones is not None:
-        dead = tombstones.select("chunk_id")
-        left = left.join(dead, "chunk_id", "left_anti")
-        right = right.join(dead, "chunk_id", "left_anti")
-    merged = left.join(right, ["query_id", "chunk_id"], "full_outer").select(
+        dead = tombstones.select(key)
+        left = left.join(dead, key, "left_anti")
+        right = right.join(dead, key, "left_anti")
+    merged = left.join(right, ["query_id", key], "full_outer").select(
         "query_id",
-        "chunk_id",
+        *([] if key == "chunk_id" else [key]),
+        F.coalesce("dense_chunk", "lexical_chunk").alias("chunk_id"),
         F.coalesce("dense_doc", "lexical_doc").alias("doc_id"),
         "dense_rank",
         "bm25_rank",
@@ -67,14 +76,18 @@ def fuse(
         ).alias("rrf_score"),
         F.lit(False).alias("hybrid_degraded"),
     )
-    return top_k_per_group(merged, ["query_id"], [F.col("rrf_score").desc(), F.col("chunk_id")], top_k)
+    order = [F.col("rrf_score").desc(), F.col("chunk_id"), F.col(key)]
+    return top_k_per_group(merged, ["query_id"], order, top_k)
 
 
-def dense_only(dense: DataFrame, top_k: int, k_rrf: int = K_RRF, tombstones: DataFrame | None = None) -> DataFrame:
+def dense_only(
+    dense: DataFrame, top_k: int, k_rrf: int = K_RRF, tombstones: DataFrame | None = None, key: str = "chunk_id"
+) -> DataFrame:
     """Same shape without a lexical index; every row is flagged as degraded."""
-    alive = dense if tombstones is None else dense.join(tombstones.select("chunk_id"), "chunk_id", "left_anti")
+    alive = dense if tombstones is None else dense.join(tombstones.select(key), key, "left_anti")
     rows = alive.select(
         "query_id",
+        *([] if key == "chunk_id" else [key]),
         "chunk_id",
         "doc_id",
         F.col("rank").alias("dense_rank"),
@@ -83,7 +96,7 @@ def dense_only(dense: DataFrame, top_k: int, k_rrf: int = K_RRF, tombstones: Dat
         F.round(rrf_term(F.col("rank"), k_rrf), SCORE_DIGITS).alias("rrf_score"),
         F.lit(True).alias("hybrid_degraded"),
     )
-    return top_k_per_group(rows, ["query_id"], [F.col("rrf_score").desc(), F.col("chunk_id")], top_k)
+    return top_k_per_group(rows, ["query_id"], [F.col("rrf_score").desc(), F.col("chunk_id"), F.col(key)], top_k)
 
 
 def cross_channel_drops(
