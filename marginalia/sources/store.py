@@ -65,7 +65,11 @@ def read_manifest_json(spark: SparkSession, path: str) -> DataFrame:
     """Entries of a manifest file; entries without the required fields fail."""
     reader = spark.read.schema(MANIFEST).option("multiLine", True).option("mode", "FAILFAST")
     raw = reader.json(_visible(spark, path))
-    entries = raw.select(F.inline("docs"))
+    listed = F.when(F.col("docs").isNotNull(), F.col("docs")).otherwise(F.raise_error(F.lit("manifest without docs")))
+    return _complete(raw.select(F.inline(listed)))
+
+
+def _complete(entries: DataFrame) -> DataFrame:
     complete = F.col("doc_id").isNotNull() & F.col("slug").isNotNull() & F.col("orig_name").isNotNull()
     checked = F.when(complete, F.col("doc_id")).otherwise(
         F.raise_error(F.lit("manifest entry without doc_id, slug or orig_name"))
@@ -74,10 +78,18 @@ def read_manifest_json(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_manifest(manifest: DataFrame, path: str) -> None:
-    """Entries as JSON lines in manifest order; NULL fields are left out."""
+    """Entries as JSON lines in manifest order; NULL fields are left out.
+
+    One entry per line, so that no task writes the whole manifest; read it back
+    with ``read_manifest``."""
     manifest.orderBy("slug", "doc_id").write.mode("error").json(path)
 
 
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """Entries that ``write_manifest`` wrote, with the same checks as a manifest file."""
+    return _complete(spark.read.schema(MANIFEST_ENTRY).option("mode", "FAILFAST").json(path))
+
+
 def _versions(spark: SparkSession, root: str) -> int | None:
     try:
         return spark.read.parquet(f"{root}/versions").agg(F.max("version")).first()[0]
@@ -96,7 +108,17 @@ def current(spark: SparkSession, root: str) -> str:
 def _publish(spark: SparkSession, root: str, write) -> str:
     version = (_versions(spark, root) or 0) + 1
     folder = f"{root}/v={version}"
-    write(folder)
+    # The folder of a version belongs to the writer that makes it; a second one gets an error.
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    claim = hadoop.Path(f"{root}/claims/v={version}")
+    store = claim.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.createNewFile(claim):
+        raise StoreError(f"version {version} of {root} is being written by another writer")
+    try:
+        write(folder)
+    except BaseException:
+        store.delete(claim, False)
+        raise
     spark.createDataFrame([(version,)], "version int").coalesce(1).write.mode("append").parquet(f"{root}/versions")
     return folder
 

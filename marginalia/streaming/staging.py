@@ -42,11 +42,16 @@ def staged_files(spark: SparkSession, root: str) -> DataFrame:
 
 
 def documents_log(spark: SparkSession, corpus: str) -> DataFrame:
-    """All document rows ever written, with their batch."""
-    try:
-        return spark.read.schema(DOCUMENT_SCHEMA).parquet(f"{corpus}/documents")
-    except AnalysisException:
+    """All document rows ever written, with their batch; OCR passes have a log of their own."""
+    logs = []
+    for name in ("documents", "documents_ocr"):
+        try:
+            logs.append(spark.read.schema(DOCUMENT_SCHEMA).parquet(f"{corpus}/{name}"))
+        except AnalysisException:
+            continue
+    if not logs:
         return spark.createDataFrame([], DOCUMENT_SCHEMA)
+    return logs[0] if len(logs) == 1 else logs[0].unionByName(logs[1])
 
 
 def current_documents(spark: SparkSession, corpus: str) -> DataFrame:
@@ -72,7 +77,7 @@ def ingest_batch(files: DataFrame, batch: int, corpus: str, ocr_mode: str = "off
     )
     chosen = routes.filter(F.col("route").isin("parse", "direct")).select("path", "collection", "slug")
     documents = parsed.join(chosen, "path").select(
-        hashing.short_id(hashing.sha1(F.col("markdown"))).alias("doc_id"),
+        hashing.sha1(F.col("markdown")).alias("doc_id"),
         "slug",
         F.col("name").alias("source"),
         "collection",
@@ -99,10 +104,18 @@ def run_staging(
 
 
 def retry_ocr(spark: SparkSession, corpus: str, batch: int, ocr) -> None:
-    """Second pass over files that waited for OCR; junk without a PDF head is
-    left in the routes log as it is. A rerun starts the batch's folder anew."""
-    waiting = spark.read.parquet(f"{corpus}/routes").filter("route = 'ocr'").select("path").distinct()
-    mode = "overwrite"
+    """Second pass over files that waited for OCR and have no text yet; junk
+    without a PDF head is left in the routes log as it is. The pass has its own
+    log, so no stream batch can meet its folder. A rerun goes on after the
+    blocks of files that are already written."""
+    done = documents_log(spark, corpus).filter("status = 'success'").select("collection", F.col("source").alias("name"))
+    waiting = (
+        spark.read.parquet(f"{corpus}/routes")
+        .filter("route = 'ocr'")
+        .join(done, ["collection", "name"], "left_anti")
+        .select("path")
+        .distinct()
+    )
     for block in query_blocks(waiting, PATH_BLOCK):
         files = spark.read.format("binaryFile").load([row["path"] for row in block])
         measured = files.filter(routing.is_pdf(F.col("content"))).select(
@@ -112,7 +125,7 @@ def retry_ocr(spark: SparkSession, corpus: str, batch: int, ocr) -> None:
             "markdown", text.normalize_markdown(text.join_blocks(F.col("elements")))
         )
         parsed.select(
-            hashing.short_id(hashing.sha1(F.col("markdown"))).alias("doc_id"),
+            hashing.sha1(F.col("markdown")).alias("doc_id"),
             routing.staged_slug(F.col("name")).alias("slug"),
             F.col("name").alias("source"),
             F.element_at(F.split("path", "/"), -2).alias("collection"),
@@ -121,5 +134,4 @@ def retry_ocr(spark: SparkSession, corpus: str, batch: int, ocr) -> None:
             "markdown",
             "status",
             "error",
-        ).write.mode(mode).parquet(f"{corpus}/documents/batch={batch}")
-        mode = "append"
+        ).write.mode("append").parquet(f"{corpus}/documents_ocr/batch={batch}")

@@ -92,6 +92,13 @@ def test_manifest_json(spark, tmp_path):
         store.read_manifest_json(spark, str(good)).collect()
     store.write_manifest(spark.createDataFrame([("1", "b"), ("2", "a")], "doc_id string, slug string"), str(tmp_path / "out"))
     assert [r["slug"] for r in spark.read.json(str(tmp_path / "out")).collect()] == ["a", "b"]
+    with pytest.raises(Exception, match="orig_name"):
+        store.read_manifest(spark, str(tmp_path / "out")).collect()
+    with pytest.raises(Exception, match="without docs"):
+        store.read_manifest_json(spark, str(tmp_path / "out")).collect()
+    whole = spark.createDataFrame([("1", "b", "b.pdf", 3), ("2", "a", "a.pdf", 4)], "doc_id string, slug string, orig_name string, chunk_count int")
+    store.write_manifest(whole, str(tmp_path / "again"))
+    assert [(r["slug"], r["chunk_count"]) for r in store.read_manifest(spark, str(tmp_path / "again")).collect()] == [("a", 4), ("b", 3)]
 
 
 VECTORS = "agent string, embedding_index long, chunk_id string, doc_id string, embedding array<float>"

@@ -37,7 +37,9 @@ def test_staging_and_indexing(spark, tmp_path):
     live = indexing.live_vectors(spark, corpus).orderBy("embedding_index").collect()
     assert [(r["slug"], r["embedding_index"]) for r in live] == [("first-paper", 0), ("second", 1)]
 
-    staging.retry_ocr(spark, corpus, 100, lambda content: ["text from the scan"])
+    for batch in (100, 100, 2):  # a finished file is not read again, and no batch of the stream is touched
+        staging.retry_ocr(spark, corpus, batch, lambda content: ["text from the scan"])
+    assert staging.documents_log(spark, corpus).filter("source = 'scan.pdf' AND status = 'success'").count() == 1
     current = {r["slug"]: r["markdown"] for r in staging.current_documents(spark, corpus).collect()}
     assert current["scan"] == "text from the scan\n"
 
