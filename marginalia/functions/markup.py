@@ -21,7 +21,8 @@ HIDDEN = (
     r"(?is)<script\b[^>]*>.*?</script\s*>",
     r"(?is)<style\b[^>]*>.*?</style\s*>",
 )
-TAG = r"<[!/?a-zA-Z][^>]*>"
+# A tag ends at the first ">" outside quotes; one with an open quote at its first ">".
+TAG = r"""<[!/?a-zA-Z][^>"']*+(?:"[^"]*"[^>"']*+|'[^']*'[^>"']*+)*+>|<[!/?a-zA-Z][^>]*>"""
 
 
 def _decode(nodes: pd.Series) -> pd.Series:

@@ -245,12 +245,14 @@ def characteristics(elements: DataFrame) -> DataFrame:
 
 
 def describe(elements: DataFrame, harmony: DataFrame | None = None) -> DataFrame:
-    """Sentence used to embed a piece as text.
+    """Sentence used to embed a piece as text; the first time signature counts.
 
     ``harmony`` (doc_id, tonic, mode, chords array) comes from a pluggable
     analysis; without it the defaults C major and the tonic chord stand in.
     """
-    base = summarize(elements).select("doc_id", "time_signature")
+    signed = F.col("element_type") == "time_sig"
+    first = F.min_by(F.when(signed, F.coalesce("time_signature", F.lit("4/4"))), F.when(signed, F.col("pos")))
+    base = elements.groupBy("doc_id").agg(first.alias("time_signature"))
     base = base.join(rhythm(elements), "doc_id", "left").join(characteristics(elements), "doc_id", "left")
     if harmony is not None:
         base = base.join(harmony, "doc_id", "left")

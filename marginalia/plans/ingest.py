@@ -19,7 +19,7 @@ WITH v AS (
   SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '<x>', 'g'), '(?is)<script\\b[^>]*>.*?</script\\s*>', '<x>', 'g'),
     '(?is)<style\\b[^>]*>.*?</style\\s*>', '<x>', 'g') AS h FROM pages
 ), n AS (
-  SELECT page_id, list_filter(list_transform(string_split_regex(h, '<[!/?a-zA-Z][^>]*>'), lambda t:
+  SELECT page_id, list_filter(list_transform(string_split_regex(h, '<[!/?a-zA-Z][^>"'']*(?:"[^"]*"[^>"'']*|''[^'']*''[^>"'']*)*>|<[!/?a-zA-Z][^>]*>'), lambda t:
     regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&apos;', ''''),
       '&nbsp;', chr(160)), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '^[\\s\\x{A0}]+|[\\s\\x{A0}]+$', '', 'g')), lambda t: t <> '') AS b FROM v
 )

@@ -351,10 +351,11 @@ def music_characteristics(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "music_description",
     f"""
-WITH {MUSIC_SQL}, {RHYTHM_SQL}, {CHARACTER_SQL}
-SELECT s.doc_id, 'Music phrase in C major, ' || coalesce(ts, '4/4') || ' time signature. Harmonic progression: I. Rhythmic pattern: '
+WITH {MUSIC_SQL}, {RHYTHM_SQL}, {CHARACTER_SQL},
+opened AS (SELECT doc_id, arg_min(ts, pos) FILTER (et = 'time_sig') AS first_ts FROM el GROUP BY doc_id)
+SELECT s.doc_id, 'Music phrase in C major, ' || coalesce(first_ts, '4/4') || ' time signature. Harmonic progression: I. Rhythmic pattern: '
   || coalesce(rhythm, 'no rhythmic content') || '. Musical characteristics: ' || coalesce(characteristics, 'simple melody') || '.' AS description
-FROM summ s LEFT JOIN rhythm USING (doc_id) LEFT JOIN traits USING (doc_id)
+FROM summ s JOIN opened USING (doc_id) LEFT JOIN rhythm USING (doc_id) LEFT JOIN traits USING (doc_id)
 """,
 )
 def music_description(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,7 +51,7 @@ def citations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _hits(spark: SparkSession, sf_dir: str, k: int = CONTEXT_K) -> DataFrame:
     """Cited results: ranking runs without texts; only hits fetch their body."""
-    found = bm25.search_bm25(rel.bm25_index(spark, sf_dir, materialize=True), rel.benchmark_queries(spark, sf_dir), k)
+    found = bm25.search_bm25(rel.bm25_index(spark, sf_dir, materialize=True), rel.benchmark_queries(spark, sf_dir), k, digits=rel.ORDER_DIGITS)
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("bm25_index"), "source", "lang", "text")
     joined = join_hits(docs, found, ["bm25_index"])
     name = F.concat("source", F.lit("_"), "lang", F.lit(".pdf"))
@@ -71,7 +71,7 @@ def _hits(spark: SparkSession, sf_dir: str, k: int = CONTEXT_K) -> DataFrame:
 HIT_SQL = f"""
 {rel.BM25_SCORE_SQL},
 ranked AS (
-  SELECT query_id, doc_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM scored QUALIFY rank <= 5
+  SELECT query_id, doc_id, score, row_number() OVER (PARTITION BY query_id ORDER BY order_score DESC, doc_id) AS rank FROM scored QUALIFY rank <= 5
 ),
 hits AS (
   SELECT r.*, d.source || '_' || d.lang || '.pdf' AS src, d.text,
@@ -180,7 +180,7 @@ FROM hits h LEFT JOIN labels l ON l.doc_id = h.doc_id
 def hit_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hits keep their place when the lookup misses; the id is empty then."""
     found = checkpointed(
-        bm25.search_bm25(rel.bm25_index(spark, sf_dir, materialize=True), rel.benchmark_queries(spark, sf_dir), CONTEXT_K)
+        bm25.search_bm25(rel.bm25_index(spark, sf_dir, materialize=True), rel.benchmark_queries(spark, sf_dir), CONTEXT_K, digits=rel.ORDER_DIGITS)
     )
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("bm25_index"), "quality")
     known = join_hits(labels, found.select("bm25_index").distinct(), ["bm25_index"])
@@ -235,12 +235,16 @@ def tool_call_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Fixed value: rounds after which an agent loop ends.
+MAX_ROUNDS = 5
+
+
 @query(
     "conversation_log",
     """
 SELECT conv_id, count(*) AS n_messages, count(*) FILTER (role = 'assistant') AS iterations,
        coalesce(arg_max(text, turn) FILTER (role = 'assistant'), '') AS final_answer,
-       CASE WHEN count(*) FILTER (role = 'assistant') >= 3 THEN 'max_iterations'
+       CASE WHEN count(*) FILTER (role = 'assistant') >= 5 THEN 'max_iterations'
             WHEN arg_max(role, turn) = 'assistant' THEN 'answered' ELSE 'open' END AS outcome FROM conversations GROUP BY conv_id
 """,
 )
@@ -254,7 +258,7 @@ def conversation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max_by("role", "turn").alias("last_role"),
     )
     outcome = (
-        F.when(F.col("iterations") >= 3, "max_iterations")
+        F.when(F.col("iterations") >= MAX_ROUNDS, "max_iterations")
         .when(F.col("last_role") == "assistant", "answered")
         .otherwise("open")
     )

@@ -8,11 +8,13 @@ are passed in as callables.
 from __future__ import annotations
 
 import io
+import posixpath
 import shutil
 import subprocess
 import zipfile
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
+from urllib.parse import unquote
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -55,15 +57,29 @@ def html_nodes(html: str) -> list[str]:
     return parser.nodes
 
 
+def _epub_parts(book: zipfile.ZipFile) -> list[str]:
+    """Content documents in the order of the package's items; of a book without
+    a package in archive order."""
+    held = set(book.namelist())
+    try:
+        container = ElementTree.fromstring(book.read("META-INF/container.xml"))
+        package = next(e.get("full-path") for e in container.iter() if e.tag.endswith("}rootfile"))
+        items = [e for e in ElementTree.fromstring(book.read(package)).iter() if e.tag.endswith("}item")]
+    except (KeyError, StopIteration, ElementTree.ParseError):
+        return [name for name in book.namelist() if name.lower().endswith((".xhtml", ".html", ".htm"))]
+    folder = posixpath.dirname(package)
+    pages = [i.get("href") or "" for i in items if i.get("media-type") in ("application/xhtml+xml", "text/html")]
+    return [name for href in pages if (name := posixpath.normpath(posixpath.join(folder, unquote(href)))) in held]
+
+
 def epub_elements(content: bytes) -> list[str]:
-    """One element per non-empty content document, in archive order."""
+    """One element per non-empty content document, in the book's order."""
     out = []
     with zipfile.ZipFile(io.BytesIO(content)) as book:
-        for name in book.namelist():
-            if name.lower().endswith((".xhtml", ".html", ".htm")):
-                text = "\n\n".join(html_nodes(book.read(name).decode("utf-8", "ignore")))
-                if text:
-                    out.append(text)
+        for name in _epub_parts(book):
+            text = "\n\n".join(html_nodes(book.read(name).decode("utf-8", "ignore")))
+            if text:
+                out.append(text)
     if not out:
         raise ValueError("no text in EPUB")
     return out
