@@ -7,12 +7,12 @@ import types
 import uuid
 from collections.abc import Callable
 
-import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marginalia.session import apply_settings, shared_folder
 
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -73,29 +73,16 @@ def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
-def opened(uri: str) -> tuple[pafs.FileSystem, str]:
-    """File system and path of a shared place: a mount, HDFS or an object store."""
-    if "://" in uri or uri.startswith("file:"):
-        return pafs.FileSystem.from_uri(uri if "://" in uri else "file://" + uri.removeprefix("file:"))
-    return pafs.LocalFileSystem(), uri
-
-
-def publish(uri: str, chunks) -> int:
-    """Write chunks to a private name, then move the finished file into place.
+def bounded_sample(df: DataFrame, limit: int, draw: list[Column], total: int) -> DataFrame:
+    """The ``limit`` rows that come first by a hash of ``draw``, of ``total`` rows.
 
-    A repeated or speculative task replaces the file with equal bytes, so
-    readers never see a part of one. Returns the number of bytes.
+    About twice as many are let through by their hash before they meet in one
+    place, so what meets there does not grow with the table. Where very many
+    rows are equal in ``draw``, the sample may be smaller.
     """
-    store, path = opened(uri)
-    private = f"{path}.{uuid.uuid4().hex}.tmp"
-    size = 0
-    store.create_dir(path.rpartition("/")[0], recursive=True)
-    with store.open_output_stream(private) as out:
-        for chunk in chunks:
-            out.write(chunk)
-            size += len(chunk)
-    store.move(private, path)
-    return size
+    mark = F.pmod(F.xxhash64(*draw), F.lit(1 << 40))
+    some = df.filter(mark < F.lit(int(min(1.0, 2 * limit / max(total, 1)) * (1 << 40)))) if total > 2 * limit else df
+    return some.orderBy(mark, *draw).limit(limit)
 
 
 def of_worker(name: str, make: Callable[[], object]) -> object:

@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marginalia.llm.bytehash import RangeHasher
-from marginalia.llm.common import kept, new_folder, of_worker, opened, publish
+from marginalia.llm.common import kept, new_folder, of_worker
+from marginalia.sources.shared import opened, publish
 
 # Ids per word and bits per id, by selector; 0 is the escape.
 COUNTS = np.array([1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], np.int64)
@@ -267,7 +268,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, path in zip(batch.column("part").to_pylist(), batch.column("path").to_pylist()):
             store, inner = opened(path)
             start = 0
-            with store.open_input_stream(inner) as source:
+            with store.open_input_stream(inner, compression=None) as source:
                 for docs, lengths, ids in segments(source):
                     raw = memoryview(ids.astype("<u4").tobytes())
                     ends = np.cumsum(lengths)

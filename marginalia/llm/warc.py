@@ -16,7 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marginalia.llm.common import kept, new_folder, opened, publish, small_side
+from marginalia.llm.common import kept, new_folder, small_side
+from marginalia.sources.shared import opened, publish
 
 # Payloads below this are always stored; a revisit record would save nothing.
 REVISIT_BYTES = 1000

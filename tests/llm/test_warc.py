@@ -6,7 +6,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 
 from marginalia.llm import warc
-from marginalia.llm.common import opened
+from marginalia.sources.shared import opened
 
 
 @given(st.lists(st.lists(st.integers(0, 20))))
