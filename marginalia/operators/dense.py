@@ -17,9 +17,12 @@ from pyspark.sql import functions as F
 
 from marginalia.operators.topk import top_k_per_group
 
-# At most this many query vectors travel to the tasks at once; a longer query
-# table is answered block by block, one scan each.
+# Query vectors scored together in a task, and values of all query vectors that
+# travel to the tasks for one scan. Every scan works through all its blocks; only
+# a query table beyond PASS_CELLS (a quarter of a million vectors of 64 values)
+# takes another scan.
 QUERY_BLOCK = 1024
+PASS_CELLS = 16_000_000
 
 # Digits of reported scores; ranks follow the full values.
 DIGITS = 6
@@ -82,8 +85,26 @@ def nearest(matrix: np.ndarray, index: np.ndarray, block: np.ndarray, k: int) ->
         yield close[best], measured[best]
 
 
-def _local_search(ids: list[int], block: np.ndarray, k: int):
+def passes(blocks: Iterator[list], cells) -> Iterator[list[list]]:
+    """Blocks gathered for one scan each; ``cells`` measures a block."""
+    held, load = [], 0
+    for block in blocks:
+        if held and load + cells(block) > PASS_CELLS:
+            yield held
+            held, load = [], 0
+        held.append(block)
+        load += cells(block)
+    if held:
+        yield held
+
+
+def _local_search(shared, k: int):
+    """Task function; ``shared``: broadcast blocks of (ids, matrix)."""
+
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = shared.value
+        ids = [i for names, _ in blocks for i in names]
+        firsts = np.cumsum([0] + [len(names) for names, _ in blocks])
         kept: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = [
             (np.empty(0), np.empty(0, np.int64), np.empty(0, bool)) for _ in ids
         ]
@@ -91,19 +112,20 @@ def _local_search(ids: list[int], block: np.ndarray, k: int):
             if batch.num_rows == 0:
                 continue
             vectors = batch.column("embedding")
-            width = block.shape[1]
+            width = blocks[0][1].shape[1]
             flat = np.asarray(vectors.flatten().to_numpy(zero_copy_only=False), dtype=np.float64)
             if len(flat) != width * batch.num_rows:
                 raise ValueError(f"every indexed vector must have the query dimension {width}")
             matrix = flat.reshape(-1, width)
             index = batch.column("embedding_index").to_numpy(zero_copy_only=False)
             deleted = batch.column("deleted").to_numpy(zero_copy_only=False).astype(bool)
-            for j, (rows, measured) in enumerate(nearest(matrix, index, block, k)):
-                d = np.concatenate([kept[j][0], measured])
-                i = np.concatenate([kept[j][1], index[rows]])
-                t = np.concatenate([kept[j][2], deleted[rows]])
-                best = best_rows(d, i, k)
-                kept[j] = (d[best], i[best], t[best])
+            for first, (_, block) in zip(firsts, blocks):
+                for j, (rows, measured) in enumerate(nearest(matrix, index, block, k), start=first):
+                    d = np.concatenate([kept[j][0], measured])
+                    i = np.concatenate([kept[j][1], index[rows]])
+                    t = np.concatenate([kept[j][2], deleted[rows]])
+                    best = best_rows(d, i, k)
+                    kept[j] = (d[best], i[best], t[best])
         for query_id, (d, i, t) in zip(ids, kept):
             if len(d):
                 yield pa.RecordBatch.from_arrays(
@@ -160,11 +182,14 @@ def search_dense(
     order = [F.col("distance"), F.col("embedding_index")]
     answer = spark.createDataFrame([], LOCAL_SCHEMA)
     parts = []
-    for block in query_blocks(queries.select("query_id", "embedding")):
-        ids = [int(row["query_id"]) for row in block]
-        matrix = np.array([row["embedding"] for row in block], dtype=np.float64)
-        if fetch:
-            parts.append(source.mapInArrow(_local_search(ids, matrix, fetch), LOCAL_SCHEMA))
+    blocks = query_blocks(queries.select("query_id", "embedding"), QUERY_BLOCK)
+    for held in passes(blocks, lambda block: sum(len(row["embedding"]) for row in block)) if fetch else ():
+        packed = [
+            ([int(row["query_id"]) for row in block], np.array([row["embedding"] for row in block], dtype=np.float64))
+            for block in held
+        ]
+        shared = spark.sparkContext.broadcast(packed)
+        parts.append(source.mapInArrow(_local_search(shared, fetch), LOCAL_SCHEMA))
     for position, part in enumerate(parts):
         answer = part if position == 0 else answer.unionByName(part)
     pool = top_k_per_group(answer, ["query_id"], order, max(fetch, 1))

@@ -87,6 +87,24 @@ def test_dense_tells_apart_what_digits_do_not(spark):
     assert search_dense(vectors, queries, 1).first()["embedding_index"] == 1
 
 
+def scans(frame):
+    return frame._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow")
+
+
+def test_many_query_blocks_take_one_scan(spark, vector_rows, monkeypatch):
+    monkeypatch.setattr(dense_module, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(bm25, "QUERY_BLOCK", 1)
+    vectors = spark.createDataFrame(vector_rows, "embedding_index long, embedding array<float>")
+    asked = spark.createDataFrame([(q, vector_rows[q][1]) for q in range(20)], "query_id long, embedding array<double>")
+    found = search_dense(vectors, asked, 4)
+    assert scans(found) == 1 and found.count() == 80
+    words = spark.createDataFrame([(q, t) for q, t in enumerate(["cat", "dog sky", "bird", "the"])], "query_id long, text string")
+    listed = bm25.search_bm25(index_of(spark, BODIES), words, 2)
+    assert scans(listed) == 1 and listed.count() == 8
+    monkeypatch.setattr(dense_module, "PASS_CELLS", 20)
+    assert sorted(map(tuple, search_dense(vectors, asked, 4).collect())) == sorted(map(tuple, found.collect()))
+
+
 def test_dense_leaves_out_deleted_rows(spark, vector_rows):
     dead = set(range(0, 300, 3))
     vectors = spark.createDataFrame(vector_rows, "embedding_index long, embedding array<float>").withColumn(
