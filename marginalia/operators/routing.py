@@ -47,7 +47,9 @@ def route(files: DataFrame, corpus: DataFrame) -> DataFrame:
         .withColumn("slug", staged_slug(F.col("name")))
         .filter(~F.col("collection").startswith("."))
     )
-    known = corpus.select("slug").distinct().withColumn("_known", F.lit(True))
+    # Of the whole corpus only the slugs of this batch count: the small side of a semi-join.
+    here = staged.select("slug").distinct()
+    known = corpus.select("slug").join(here, "slug", "left_semi").distinct().withColumn("_known", F.lit(True))
     target = (
         F.when(F.col("_known"), "originals")
         .when((F.col("extension") == "pdf") & ~enough_text(F.col("text_length"), F.col("length")), "ocr")

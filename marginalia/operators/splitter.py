@@ -113,6 +113,10 @@ def located(text: str, spans: list[tuple[int, int]], overlap: int) -> list[tuple
     return out
 
 
+# Characters of source text after which a task hands its chunks on.
+CHARS_AT_ONCE = 4_000_000
+
+
 def split_documents(docs: DataFrame, config: ChunkConfig = ChunkConfig(), text: str = "text") -> DataFrame:
     """One row per chunk: the other columns of ``docs``, chunk_index (1-based),
     text, char_start, char_end."""
@@ -128,22 +132,26 @@ def split_documents(docs: DataFrame, config: ChunkConfig = ChunkConfig(), text:
         ]
     )
 
+    def packed(batch: pa.RecordBatch, rows: list[int], chunks: list[tuple[int, str, int, int]]) -> pa.RecordBatch:
+        take = pa.array(rows, pa.int32())
+        columns = [batch.column(i).take(take) for i in range(len(kept))]
+        kinds = (pa.int32(), pa.string(), pa.int32(), pa.int32())
+        columns += [pa.array([c[i] for c in chunks], kind) for i, kind in enumerate(kinds)]
+        return pa.RecordBatch.from_arrays(columns, names=[*kept, "chunk_index", "text", "char_start", "char_end"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            rows, chunks, held = [], [], 0
             for row, value in enumerate(batch.column(batch.num_columns - 1)):
                 body = value.as_py() or ""
                 places = located(body, chunk_spans(body, config), config.overlap)
-                n = len(places)
-                take = pa.array([row] * n, pa.int32())
-                columns = [batch.column(i).take(take) for i in range(len(kept))]
-                columns += [
-                    pa.array(range(1, n + 1), pa.int32()),
-                    pa.array([body[s:e] for s, e in places], pa.string()),
-                    pa.array([s for s, _ in places], pa.int32()),
-                    pa.array([e for _, e in places], pa.int32()),
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    columns, names=[*kept, "chunk_index", "text", "char_start", "char_end"]
-                )
+                rows += [row] * len(places)
+                chunks += [(n, body[s:e], s, e) for n, (s, e) in enumerate(places, start=1)]
+                held += len(body)
+                if held >= CHARS_AT_ONCE:
+                    yield packed(batch, rows, chunks)
+                    rows, chunks, held = [], [], 0
+            if rows:
+                yield packed(batch, rows, chunks)
 
     return source.mapInArrow(run, schema)

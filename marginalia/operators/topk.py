@@ -26,9 +26,11 @@ def top_k_per_group(
         raise ValueError("k must be at least 1")
     limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if k > limit:
+        # As many parts as shuffle tasks, so a hot group can use them all.
+        salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
         first = Window.partitionBy(*keys, "_salt").orderBy(*order)
         df = (
-            df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(64)))
+            df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
             .withColumn("_local", F.row_number().over(first))
             .filter(F.col("_local") <= k)
             .drop("_salt", "_local")

@@ -105,12 +105,16 @@ def _page(value: object, where: str) -> tuple[int, int] | tuple[None, None]:
     return ends[0], ends[1]
 
 
-def load_fixture(spark: SparkSession, path: str | Path) -> dict[str, DataFrame]:
-    """Checked fixture as relations: items, expected, expected_chunks, tags."""
+def load_fixture(spark: SparkSession, path: str | Path, agents: str | Path | None = None) -> dict[str, DataFrame]:
+    """Checked fixture as relations: items, expected, expected_chunks, tags.
+
+    ``agents`` names the agent folder; the fixture's agent must be in it."""
     raw = load_yaml(path)
     if not isinstance(raw, dict):
         raise ConfigError(f"{path}: needs a mapping")
-    _text(raw.get("agent"), f"{path}: agent")
+    agent = _text(raw.get("agent"), f"{path}: agent")
+    if agents is not None:
+        load_agent(agent, agents)
     if isinstance(raw.get("version"), bool) or raw.get("version") != FIXTURE_VERSION:
         raise ConfigError(f"{path}: version must be {FIXTURE_VERSION}")
     entries = raw.get("items")

@@ -16,7 +16,8 @@ from marginalia.functions import hashing, text
 from marginalia.operators import routing
 from marginalia.operators.dense import query_blocks
 from marginalia.operators.topk import last_per_key
-from marginalia.sources.files import DIRECT_SUFFIXES, PARSED_SUFFIXES
+from marginalia.session import checkpointed
+from marginalia.sources.files import DIRECT_SUFFIXES, PARSED_SUFFIXES, split_by_size
 from marginalia.sources.parsers import parse_files
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
@@ -66,8 +67,11 @@ def ingest_batch(files: DataFrame, batch: int, corpus: str, ocr_mode: str = "off
     measured = files.withColumn("suffix", text.file_suffix(F.col("path"))).withColumn(
         "name", F.element_at(F.split("path", "/"), -1)
     )
-    readable = measured.filter(F.col("suffix").isin(*PARSED_SUFFIXES, *DIRECT_SUFFIXES))
-    parsed = parse_files(readable, ocr_mode, ocr).withColumn("markdown", text.normalize_markdown(text.join_blocks(F.col("elements"))))
+    # The size test reaches the source, so contents beyond a Spark value's limit are never read.
+    small, large = split_by_size(measured.filter(F.col("suffix").isin(*PARSED_SUFFIXES, *DIRECT_SUFFIXES)))
+    read = parse_files(small, ocr_mode, ocr).withColumn("markdown", text.normalize_markdown(text.join_blocks(F.col("elements"))))
+    # Parsed (and OCRed) once, although the routes need it before the documents do.
+    parsed = checkpointed(read.select("path", "name", "file_sha1", "markdown", "status", "error"))
     lengths = parsed.select("path", F.coalesce(F.length("markdown"), F.lit(0)).alias("text_length"))
     sized = measured.select("path", "length").join(lengths, "path", "left").fillna(0, ["text_length"])
     earlier = documents_log(spark, corpus).filter((F.col("batch") < batch) & (F.col("status") == "success"))
@@ -87,7 +91,16 @@ def ingest_batch(files: DataFrame, batch: int, corpus: str, ocr_mode: str = "off
         "status",
         "error",
     )
-    documents.write.mode("overwrite").parquet(f"{corpus}/documents/batch={batch}")
+    failed = large.join(routes.select("path", "collection", "slug"), "path").select(
+        F.lit(None).cast("string").alias("doc_id"),
+        "slug",
+        F.col("name").alias("source"),
+        "collection",
+        *[F.lit(None).cast("string").alias(c) for c in ("file_sha1", "content_hash", "markdown")],
+        "status",
+        "error",
+    )
+    documents.unionByName(failed).write.mode("overwrite").parquet(f"{corpus}/documents/batch={batch}")
 
 
 def run_staging(

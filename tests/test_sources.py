@@ -187,6 +187,10 @@ def test_fixture_relations(spark, tmp_path):
     assert (rows["two"]["expected_page_start"], rows["two"]["expected_page_end"]) == (3, 3)
     assert tables["expected"].count() == 3 and tables["tags"].count() == 1
     assert tuple(tables["expected_chunks"].first()) == ("one", "a", 2)
+    with pytest.raises(configs.ConfigError):
+        configs.load_fixture(spark, path, tmp_path)
+    (tmp_path / f"{FIXTURE['agent']}.yaml").write_text(json.dumps({"name": FIXTURE["agent"]}))
+    assert configs.load_fixture(spark, path, tmp_path)["items"].count() == tables["items"].count()
 
 
 @pytest.mark.parametrize(
