@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marginalia.functions.citations import citation_prefix
-from marginalia.operators import agents, bm25, evaluation, hybrid, models, splitter
+from marginalia.operators import agents, bm25, elements, evaluation, hybrid, models, provenance, splitter
 from marginalia.operators.dense import search_dense
 from marginalia.operators.topk import join_hits, number_rows
 from marginalia.session import checkpointed
@@ -25,14 +25,26 @@ def index_agent(
     root: str,
     embedder: Callable,
     config: splitter.ChunkConfig = splitter.ChunkConfig(),
+    parsed: DataFrame | None = None,
 ) -> DataFrame:
-    """Split, number, embed and store one agent's slice in both indexes.
+    """Format, split, trace, number, embed and store one agent's slice in both indexes.
 
-    documents: doc_id, slug, source, text (already filtered for the agent).
-    Returns the stored chunk rows.
+    documents: doc_id, slug, source, text (already filtered for the agent; text
+    is not needed with ``parsed``). ``parsed`` has the elements a parser found:
+    doc_id, pos, text, category, page_number, category_depth; without it blank
+    lines part the text and hash marks make headings. Returns the stored chunk
+    rows with page_start, page_end and section_heading.
     """
-    chunks = splitter.split_documents(documents.select("doc_id", "slug", "source", "text"), config)
-    named = chunks.withColumn("chunk_id", F.format_string("%s-%04d", "doc_id", F.col("chunk_index").cast("long")))
+    rows = parsed if parsed is not None else elements.text_elements(documents.select("doc_id", "text"))
+    # The formatted texts of a slice: split and traced from one copy.
+    formatted = checkpointed(elements.format_documents(rows, documents=documents.select("doc_id")))
+    bodies = documents.select("doc_id", "slug", "source").join(formatted.select("doc_id", F.col("markdown").alias("text")), "doc_id")
+    chunks = splitter.split_documents(bodies, config)
+    spans = chunks.select("doc_id", "chunk_index", "char_start", "char_end")
+    traced = provenance.add_provenance(spans, formatted.select("doc_id", F.inline("elements"))).drop("char_start", "char_end")
+    named = chunks.join(traced, ["doc_id", "chunk_index"]).withColumn(
+        "chunk_id", F.format_string("%s-%04d", "doc_id", F.col("chunk_index").cast("long"))
+    )
     embedded = models.embed(named, embedder)
     numbered = checkpointed(number_rows(embedded, ["doc_id", "chunk_index"], "embedding_index")).withColumn(
         "agent", F.lit(agent)
@@ -102,13 +114,14 @@ def search(
             else hybrid.fuse(near, lexical, wanted, k_rrf, key=row)
         )
     # Ranking above runs on keys; bodies are fetched for ranked chunks only.
-    bodies = vectors.select("embedding_index", "source", "text")
+    place = {"page_start": "int", "page_end": "int", "section_heading": "string"}
+    known = [F.col(c) if c in vectors.columns else F.lit(None).cast(kind).alias(c) for c, kind in place.items()]
+    bodies = vectors.select("embedding_index", "source", "text", *known)
     hits = join_hits(bodies, ranked, ["embedding_index"])
     if scorer is not None:
         pairs = hits.join(queries.select("query_id", F.col("text").alias("query")), "query_id")
         hits = models.rerank(pairs, scorer, top_k).drop("query")
-    null = F.lit(None).cast("int")
-    cited = citation_prefix(F.col("source"), null, null, F.lit(None).cast("string"))
+    cited = citation_prefix(*map(F.col, ("source", *place)))
     return hits.filter(F.col("rank") <= top_k).withColumn("citation", cited)
 
 

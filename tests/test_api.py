@@ -46,6 +46,40 @@ def test_search_reranks(spark, corpus):
         api.search(spark, corpus, "mini", queries(spark), mode="other")
 
 
+def test_pages_and_sections_reach_the_citation(spark, tmp_path):
+    docs = spark.createDataFrame([("d1", "deep-paper", "deep.pdf"), ("d2", "empty", "empty.pdf")], "doc_id string, slug string, source string")
+    rows = [("d1", 0, "Methods", "Title", 3, 0), ("d1", 1, "Bootstrap", "Title", 3, 1), ("d1", 2, "resampling with replacement", "NarrativeText", 4, 0), ("d2", 0, " ", "NarrativeText", 1, 0)]
+    parsed = spark.createDataFrame(rows, "doc_id string, pos int, text string, category string, page_number int, category_depth int")
+    stored = api.index_agent(docs, "deep", str(tmp_path), models.digest_embedder(16), parsed=parsed)
+    assert [(r["page_start"], r["page_end"], r["section_heading"]) for r in stored.collect()] == [(3, 4, "Methods")]
+    asked = spark.createDataFrame([(1, "resampling")], "query_id long, text string")
+    for mode in ("dense", "bm25", "hybrid"):
+        found = api.search(spark, str(tmp_path), "deep", asked, 1, mode, embedder=models.digest_embedder(16)).collect()
+        assert [r["citation"] for r in found] == ["[deep, p.3–4, §Methods]"]
+
+
+def test_an_update_leaves_neither_old_text_nor_double_ranks(spark, tmp_path):
+    from marginalia.operators import bm25
+    from marginalia.sources import store
+
+    embed = models.digest_embedder(16)
+    texts = spark.createDataFrame([(0, "c-1", "old words", "2024-01-01"), (1, "c-1", "new words", None)], "embedding_index long, chunk_id string, text string, at string")
+    rows = models.embed(texts, embed).select(
+        "*", F.lit("d").alias("doc_id"), F.lit("s.pdf").alias("source"), F.lit("up").alias("agent"), F.to_timestamp("at").alias("deleted_utc")
+    )
+    store.write_vectors(rows, f"{tmp_path}/vectors/up")
+    store.write_bm25(
+        bm25.build_index(rows.select(F.col("embedding_index").alias("bm25_index"), "chunk_id", "doc_id", "text", "deleted_utc"), materialize=True), f"{tmp_path}/bm25/up"
+    )
+    asked = spark.createDataFrame([(1, "words")], "query_id long, text string")
+    for mode in ("dense", "bm25", "hybrid"):
+        found = api.search(spark, str(tmp_path), "up", asked, 3, mode, embedder=embed).collect()
+        assert [(r["rank"], r["text"]) for r in found] == [(1, "new words")]
+    with pytest.raises(store.StoreError):
+        store.write_vectors(rows, f"{tmp_path}/vectors/none")
+        api.search(spark, str(tmp_path), "none", asked, 1, "bm25", embedder=embed)
+
+
 def test_agents_are_listed(spark, corpus):
     assert [r["agent"] for r in api.list_agents(spark, corpus).collect()] == ["mini"]
 
