@@ -25,6 +25,9 @@ FILE_SCHEMA = "path string, modificationTime timestamp, length long, content bin
 # Paths handed to one read; a longer backlog is worked off block by block.
 PATH_BLOCK = 10_000
 
+# Numbers from here on belong to OCR passes, those below to batches of the stream.
+OCR_BATCHES = 1_000_000_000_000
+
 DOCUMENT_SCHEMA = (
     "doc_id string, slug string, source string, collection string, file_sha1 string, content_hash string, "
     "markdown string, status string, error string, batch long"
@@ -43,16 +46,11 @@ def staged_files(spark: SparkSession, root: str) -> DataFrame:
 
 
 def documents_log(spark: SparkSession, corpus: str) -> DataFrame:
-    """All document rows ever written, with their batch; OCR passes have a log of their own."""
-    logs = []
-    for name in ("documents", "documents_ocr"):
-        try:
-            logs.append(spark.read.schema(DOCUMENT_SCHEMA).parquet(f"{corpus}/{name}"))
-        except AnalysisException:
-            continue
-    if not logs:
+    """All document rows ever written, with their batch."""
+    try:
+        return spark.read.schema(DOCUMENT_SCHEMA).parquet(f"{corpus}/documents")
+    except AnalysisException:
         return spark.createDataFrame([], DOCUMENT_SCHEMA)
-    return logs[0] if len(logs) == 1 else logs[0].unionByName(logs[1])
 
 
 def current_documents(spark: SparkSession, corpus: str) -> DataFrame:
@@ -118,9 +116,9 @@ def run_staging(
 
 def retry_ocr(spark: SparkSession, corpus: str, batch: int, ocr) -> None:
     """Second pass over files that waited for OCR and have no text yet; junk
-    without a PDF head is left in the routes log as it is. The pass has its own
-    log, so no stream batch can meet its folder. A rerun goes on after the
-    blocks of files that are already written."""
+    without a PDF head is left in the routes log as it is. Passes are numbered
+    from OCR_BATCHES on, so no stream batch can meet their folders. A rerun
+    goes on after the blocks of files that are already written."""
     done = documents_log(spark, corpus).filter("status = 'success'").select("collection", F.col("source").alias("name"))
     waiting = (
         spark.read.parquet(f"{corpus}/routes")
@@ -147,4 +145,4 @@ def retry_ocr(spark: SparkSession, corpus: str, batch: int, ocr) -> None:
             "markdown",
             "status",
             "error",
-        ).write.mode("append").parquet(f"{corpus}/documents_ocr/batch={batch}")
+        ).write.mode("append").parquet(f"{corpus}/documents/batch={OCR_BATCHES + batch}")

@@ -43,6 +43,9 @@ def test_staging_and_indexing(spark, tmp_path):
     current = {r["slug"]: r["markdown"] for r in staging.current_documents(spark, corpus).collect()}
     assert current["scan"] == "text from the scan\n"
 
+    indexing.run_indexing(spark, corpus, str(tmp_path / "cp2"), models.digest_embedder(8)).awaitTermination()
+    assert [r["slug"] for r in indexing.live_vectors(spark, corpus).orderBy("embedding_index").collect()] == ["first-paper", "second", "scan"]
+
     agents = spark.createDataFrame([("lawyer", "law"), ("chef", "food")], "agent string, collection string")
     touched = indexing.affected_slices(staging.current_documents(spark, corpus), agents)
     assert [r["agent"] for r in touched.collect()] == ["lawyer"]
