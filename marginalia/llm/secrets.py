@@ -13,6 +13,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marginalia.llm.common import bounded_sample, kept
+
 KINDS = ("assign", "access", "hex", "markov")
 # The fixed forms. For access and hex the least length is part of the form,
 # which finds the same spans as dropping short matches afterwards.
@@ -105,13 +107,13 @@ def train(docs: DataFrame) -> MarkovPair:
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     spans = docs.select(F.explode(base_spans(text)).alias("_span"))
-    by_hash = [F.xxhash64("token"), F.col("token")]
-    random = spans.select(F.col("_span.value").alias("token")).orderBy(*by_hash).limit(RANDOM_ROWS).select(F.lit(1).alias("label"), "token")
-    draw = F.xxhash64(F.col("doc_id").cast("string")) if "doc_id" in docs.columns else F.xxhash64("text")
-    some = docs.select(text.alias("text"), draw.alias("_draw")).orderBy("_draw", F.xxhash64("text")).limit(WORD_DOCS)
+    values = kept(spans.select(F.col("_span.value").alias("token"), F.monotonically_increasing_id().alias("_row")), "secret-values")
+    random = bounded_sample(values, RANDOM_ROWS, [F.col("token"), F.col("_row")], values.count()).select(F.lit(1).alias("label"), "token")
+    draw = [F.col("doc_id").cast("string"), F.col("text")] if "doc_id" in docs.columns else [F.col("text")]
+    some = bounded_sample(docs, WORD_DOCS, draw, docs.count()).select(text.alias("text"))
     plain = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.col("text"), ASSIGN, " "), ACCESS, " "), HEX, " ")
     words = some.select(F.explode(F.regexp_extract_all(plain, F.lit(WORD), F.lit(0))).alias("token"))
-    words = words.orderBy(*by_hash).limit(WORD_ROWS).select(F.lit(0).alias("label"), "token")
+    words = words.orderBy(F.xxhash64("token"), "token").limit(WORD_ROWS).select(F.lit(0).alias("label"), "token")
     states = random.unionByName(words).select("label", states_of(F.col("token")).alias("s"))
     pairs = F.arrays_zip(F.slice("s", F.lit(1), F.size("s") - 1).alias("a"), F.slice("s", F.lit(2), F.size("s") - 1).alias("b"))
     rows = states.select("label", F.explode(pairs).alias("p")).groupBy("label", "p.a", "p.b").count().collect()
