@@ -10,7 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marginalia.llm.common import ascii_lower, kept
+from marginalia.llm.common import ascii_lower, bounded_sample, kept
 
 # (verdict, host, path): fits the host and its subdomains where the path starts with the rule's.
 RULES = (
@@ -160,10 +160,10 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> UrlModel:
     if blocked in (0.0, rows):
         return UrlModel(None, tables, 0.5, "block" if blocked else "allow")
     model = UrlModel(None, tables, blocked / rows)
-    order = [F.xxhash64("_url"), F.col("_url")]
+    draw = [F.col("_url")] + [F.col(c) for c in ("page_id",) if c in labelled.columns]
     sample = None
-    for label in (0.0, 1.0):
-        part = labelled.filter(F.col("label") == label).orderBy(*order).limit(sample_rows)
+    for label, total in ((0.0, rows - blocked), (1.0, blocked)):
+        part = bounded_sample(labelled.filter(F.col("label") == label), sample_rows, draw, int(total))
         sample = part if sample is None else sample.unionByName(part)
     sample = kept(model.with_odds(with_features(sample), F.col("label")).select("label", *FEATURES), "url-sample")
     ready = VectorAssembler(inputCols=FEATURES, outputCol="_features").transform(sample)
@@ -188,7 +188,7 @@ def filter_urls(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULE
     rows = rows.withColumn("_rule", matching_rule(F.col("host"), F.col("path"), rules))
     if model is None:
         known = rows.filter(F.col("_rule").isNotNull())
-        model = fit(known.select("_url", "host", "path", (F.col("_rule.verdict") == "block").cast("double").alias("label")))
+        model = fit(known.select("page_id", "_url", "host", "path", (F.col("_rule.verdict") == "block").cast("double").alias("label")))
     return model.judge(rows).select(
         "page_id", "host", "path", F.col("_rule.rule").alias("rule"), F.coalesce("_rule.verdict", "_judged").alias("verdict"), "score"
     )
