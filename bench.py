@@ -39,6 +39,11 @@ HEADLINE = (
     "phrase_segments",
     "context_format",
     "tool_call_parse",
+    "rerank_pool",
+    "chunk_trace",
+    "bm25_append_stats",
+    "music_description",
+    "tool_results",
 )
 
 
