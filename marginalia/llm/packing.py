@@ -135,7 +135,7 @@ def _pack_cells(capacity: int):
 def cluster_of(text):
     """Stand-in for a duplicate cluster: texts that are equal but for case (A-Z) and white space; NULL for none."""
     plain = F.trim(F.regexp_replace(ascii_lower(text), r"[\x20\x09-\x0D]+", " "))
-    return F.hex(F.unhex(F.md5(F.encode(plain, "UTF-8"))))
+    return F.md5(F.encode(plain, "UTF-8"))
 
 
 def word_count(text):
