@@ -5,8 +5,9 @@ with itself, cut down by bounds that follow from the set sizes. Only the columns
 of each document's prefix are multiplied: two sets that are alike enough share
 an n-gram among the first ones of both in any common order, and rare columns
 come first. Overlap counts of the columns choose one partner per document; the
-groups these pairs form need no further products inside. What is left between
-groups is multiplied in full. A pair survives if the parity bits of both sets
+groups these pairs form need no further products inside. Members of different
+groups then meet in each column, and what is left between groups is multiplied
+in full. A pair survives if the parity bits of both sets
 allow the overlap its sizes require, and is then counted exactly.
 """
 
@@ -22,10 +23,17 @@ from pyspark.sql import functions as F
 from marginalia.llm.bytehash import RangeHasher, mixed
 from marginalia.llm.common import kept, small_side
 
-BYTES_AT_ONCE = 4 << 20
+# Texts worked on at once, at most, by bytes and by rows.
+BYTES_AT_ONCE, ROWS_AT_ONCE = 1 << 20, 1000
 # Columns counted as frequent: how many at most, and from how many documents on.
 FREQUENT, FREQUENT_ROWS, FREQUENT_IN_TASK = 1 << 20, 4, 3
-COUNTED_AT_ONCE = 4 << 20
+COUNTED_AT_ONCE = 2 << 20
+# Rows up to which the rows of a column are paired by a join; the pairs then are
+# at most half as many times the rows. Longer columns are paired inside tasks,
+# BLOCK_ROWS rows against the others.
+PAIRED_ROWS, BLOCK_ROWS = 64, 2048
+# Rounds in which the groups left in a column meet its largest group.
+MEETINGS = 2
 # Rows of one column that meet one centre; a longer column is cut into that many more chunks.
 CHUNK_ROWS = 4096
 
@@ -80,6 +88,10 @@ class Shingler:
 
     def of_column(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """One set per row; NULL has the empty set."""
+        for first in range(0, len(texts), ROWS_AT_ONCE):
+            yield from self._of_rows(texts.slice(first, ROWS_AT_ONCE))
+
+    def _of_rows(self, texts: pa.Array) -> Iterator[np.ndarray]:
         texts = texts.cast(pa.large_string()).fill_null("")
         at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
         buffer = texts.buffers()[2]
@@ -102,7 +114,7 @@ def parity(grams: np.ndarray) -> bytes:
 
     Cells that differ between two sets hold an element that only one of them has.
     """
-    size = max(64, 1 << (len(grams) - 1).bit_length())
+    size = max(64, 1 << (2 * len(grams) - 1).bit_length())
     cells = np.bincount((grams & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
     return np.packbits(cells.astype(np.uint8), bitorder="little").tobytes()
 
@@ -207,6 +219,63 @@ def _possible(percent: int):
     return run
 
 
+def _blocks(percent: int):
+    """Pairs of a column's rows that parity allows, block by block; only those leave the task."""
+
+    def folded(matrix: np.ndarray, width: int) -> np.ndarray:
+        while matrix.shape[1] > width:
+            half = matrix.shape[1] // 2
+            matrix = matrix[:, :half] ^ matrix[:, half:]
+        return matrix
+
+    class Block:
+        """Left rows by the width of their parity bits; narrower forms are made when first needed."""
+
+        def __init__(self, rows: list[tuple[int, int, int, bytes]]):
+            self.parts, self.narrow = [], {}
+            for width in sorted({len(r[3]) for r in rows}):
+                some = [r for r in rows if len(r[3]) == width]
+                sig, n, root = (np.array([r[i] for r in some], np.int64) for i in range(3))
+                self.parts.append((sig, n, root, np.frombuffer(b"".join(r[3] for r in some), np.uint8).reshape(len(some), width)))
+
+        def partners(self, sig: int, n: int, root: int, bits: bytes) -> np.ndarray:
+            own = np.frombuffer(bits, np.uint8)[None, :]
+            out = [np.empty(0, np.int64)]
+            for i, (other, m, other_root, matrix) in enumerate(self.parts):
+                fit = np.flatnonzero((other_root != root) & (100 * m >= percent * n) & (100 * n >= percent * m))
+                if len(fit) == 0:
+                    continue
+                width = min(own.shape[1], matrix.shape[1])
+                if (i, width) not in self.narrow:
+                    self.narrow[i, width] = folded(matrix, width)
+                apart = np.bitwise_count(self.narrow[i, width][fit] ^ folded(own, width)).sum(axis=1, dtype=np.int64)
+                need = -(-percent * (n + m[fit]) // (100 + percent))
+                out.append(other[fit[apart <= n + m[fit] - 2 * need]])
+            return np.concatenate(out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows, block = None, [], None
+        for batch in batches:
+            found_a, found_b = [], []
+            columns = (batch.column(c).to_pylist() for c in ("shingle", "block", "right", "sig", "n", "root", "parity"))
+            for shingle, part, right, sig, n, root, bits in zip(*columns):
+                if (shingle, part) != key:
+                    key, rows, block = (shingle, part), [], None
+                if not right:
+                    rows.append((sig, n, root, bits))
+                    continue
+                if block is None:
+                    block = Block(rows)
+                partners = block.partners(sig, n, root, bits)
+                found_a.append(np.full(len(partners), sig, np.int64))
+                found_b.append(partners)
+            if found_a:
+                a, b = np.concatenate(found_a), np.concatenate(found_b)
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    return run
+
+
 def _alike(size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(size)
@@ -255,7 +324,7 @@ class NGramJoin:
         self.nodes = kept(
             self.rows.filter(F.col("n") > 0)
             .groupBy("sig", "n")
-            .agg(F.min(F.struct("doc_id", "text_hash")).alias("holder"), F.min("doc_id").alias("least"), F.first("parity").alias("parity")),
+            .agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")).alias("holder"), F.min("doc_id").alias("least"), F.first("parity").alias("parity")),
             "nodes",
         )
 
@@ -304,22 +373,72 @@ class NGramJoin:
         )
         best = overlaps.groupBy("sig").agg(F.max(F.struct("overlap", "centre")).alias("best"))
         first = self.verified(best.select(F.col("sig").alias("a"), F.col("best.centre").alias("b")))
-        roots = components(first).select(F.col("node").alias("sig"), "root")
-        rooted = columns.select("shingle", "sig", "n").distinct().join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
-        rooted = kept(rooted, "rooted")
-        mixed_columns = rooted.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter(F.col("low") != F.col("high"))
-        between = kept(rooted.join(mixed_columns.select("shingle"), "shingle", "left_semi"), "between")
-        other = between.select("shingle", F.col("sig").alias("b"), F.col("n").alias("m"), F.col("root").alias("root_b"))
+        links = first
+        members = kept(columns.select("shingle", "sig", "n").distinct(), "members")
+        for turn in range(MEETINGS):
+            links = links.unionByName(self.verified(self.meetings(self.between(members, links), turn)))
+        between = self.between(members, links)
+        groups = between.groupBy("shingle", "root").agg(F.count(F.lit(1)).alias("rows"))
+        sizes = kept(groups.groupBy("shingle").agg(F.sum("rows").alias("all"), F.max(F.struct("rows", "root")).alias("largest")), "column-sizes")
+        rest = self.short_columns(between, sizes).unionByName(self.long_columns(between, sizes)).distinct()
+        return links.unionByName(self.verified(rest))
+
+    def short_columns(self, between: DataFrame, sizes: DataFrame) -> DataFrame:
+        """All pairs of different groups in columns of few rows."""
+        rows = between.join(sizes.filter(F.col("all") <= PAIRED_ROWS).select("shingle"), "shingle", "left_semi")
+        other = rows.select("shingle", F.col("sig").alias("b"), F.col("n").alias("m"), F.col("root").alias("root_b"))
         bounds = (F.col("root") < F.col("root_b")) & (F.col("n") * 100 >= F.col("m") * self.percent) & (F.col("m") * 100 >= F.col("n") * self.percent)
-        rest = between.join(other, (between["shingle"] == other["shingle"]) & bounds).select(F.col("sig").alias("a"), "b").distinct()
-        return first.unionByName(self.verified(rest))
+        pairs = rows.join(other, (rows["shingle"] == other["shingle"]) & bounds)
+        return pairs.select(F.least("sig", "b").alias("a"), F.greatest("sig", "b").alias("b"))
+
+    def long_columns(self, between: DataFrame, sizes: DataFrame) -> DataFrame:
+        """Pairs of different groups in the other columns that parity allows.
+
+        A column's largest group is cut into blocks, and the rows of the other
+        groups pass by each of them; then those rows are cut into blocks and
+        pass by each other. Rows of one group never meet.
+        """
+        long = sizes.filter(F.col("all") > PAIRED_ROWS)
+        rows = between.join(long, "shingle").join(self.nodes.select("sig", "n", "parity"), ["sig", "n"])
+        main = F.col("root") == F.col("largest.root")
+        main_blocks = F.ceil(F.col("largest.rows") / BLOCK_ROWS).cast("int")
+        rest_blocks = F.ceil((F.col("all") - F.col("largest.rows")) / BLOCK_ROWS).cast("int")
+        draw = F.xxhash64("sig", "shingle")
+        place = lambda block, right: F.struct(block.cast("int").alias("block"), F.lit(right).alias("right"))
+        left = F.when(main, F.pmod(draw, main_blocks)).otherwise(main_blocks + F.pmod(draw, rest_blocks))
+        passing = F.transform(F.sequence(F.lit(0), main_blocks + rest_blocks - 1), lambda i: place(i, True))
+        places = F.when(main, F.array(place(left, False))).otherwise(F.concat(F.array(place(left, False)), passing))
+        met = rows.select("shingle", "sig", "n", "root", "parity", F.explode(places).alias("at")).select("*", "at.*").drop("at")
+        dealt = met.repartition("shingle", "block").sortWithinPartitions("shingle", "block", "right")
+        return dealt.mapInArrow(_blocks(self.percent), "a long, b long")
+
+    def between(self, members: DataFrame, links: DataFrame) -> DataFrame:
+        """Rows of the columns that still hold several groups, with their group's root."""
+        roots = components(links).select(F.col("node").alias("sig"), "root")
+        rooted = kept(members.join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig")), "rooted")
+        several = rooted.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter(F.col("low") != F.col("high"))
+        return kept(rooted.join(several.select("shingle"), "shingle", "left_semi"), "between")
+
+    def meetings(self, between: DataFrame, turn: int) -> DataFrame:
+        """One pair per smaller group and column: a member of each, drawn anew in each column.
+
+        A text that is alike to some members of a large group, but not to its
+        centre, meets many of them this way at linear cost.
+        """
+        draw = F.xxhash64("sig", "shingle", F.lit(turn))
+        groups = between.groupBy("shingle", "root").agg(F.count(F.lit(1)).alias("rows"), F.min(F.struct(draw.alias("draw"), "sig", "n")).alias("one"))
+        largest = groups.groupBy("shingle").agg(F.max(F.struct("rows", "root", "one")).alias("top"))
+        met = groups.join(largest, "shingle").filter(F.col("root") != F.col("top.root"))
+        n, m = F.col("one.n"), F.col("top.one.n")
+        fits = (n * 100 >= m * self.percent) & (m * 100 >= n * self.percent)
+        return met.filter(fits).select(F.col("one.sig").alias("a"), F.col("top.one.sig").alias("b")).distinct()
 
     def groups(self) -> DataFrame:
-        """(sig, component): the smallest doc_id of each node's group."""
+        """(sig, root, component): each node's group and the smallest doc_id in it."""
         roots = components(self.links()).select(F.col("node").alias("sig"), "root")
         rooted = self.nodes.select("sig", "least").join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
         least = rooted.groupBy("root").agg(F.min("least").alias("component"))
-        return rooted.join(least, "root").select("sig", "component")
+        return rooted.join(least, "root").select("sig", "root", "component")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -339,13 +458,27 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
 
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """One row of each group of near duplicates, that with the smallest doc_id; rows without words all stay."""
+    """One row of each group of near duplicates; rows without words all stay.
+
+    The row with the smallest doc_id stays, one without a doc_id only if no row
+    of its group has any. All columns stay as they are.
+    """
     join = NGramJoin(docs, size, percent)
-    holder = join.nodes.select("sig", F.col("holder.doc_id").alias("_id"), F.col("holder.text_hash").alias("_hash"))
-    chosen = holder.join(join.groups(), "sig").groupBy("component").agg(F.min(F.struct("_id", "_hash")).alias("_kept"))
-    keepers = kept(chosen.select("_kept._id", "_kept._hash"), "keepers")
+    grouped = join.nodes.select("sig", "holder").join(join.groups().select("sig", "root"), "sig")
+    holders = grouped.groupBy("root").agg(F.min("holder").alias("stays"))
+    stays = kept(grouped.join(holders, "root").select("sig", "stays"), "stays")
+    rows = join.rows.filter(F.col("n") > 0).join(stays, "sig")
+    own = F.col("doc_id").eqNullSafe(F.col("stays.doc_id")) & (F.col("text_hash") == F.col("stays.text_hash"))
+    keys = [F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")]
+    # Few rows leave, so these are looked up; most texts are never shuffled.
+    leave = kept(rows.filter(~own).select(*keys).distinct(), "leave")
+    again = kept(rows.filter(own).groupBy(*keys).count().filter("count > 1").drop("count"), "repeated")
     marked = docs.withColumn("_text_hash", F.xxhash64("text"))
     here = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash"))
-    stay = marked.join(small_side(keepers), here, "left_semi").dropDuplicates(["doc_id", "_text_hash"])
-    wordless = marked.filter(F.coalesce(F.regexp_replace("text", r"[\x20\x09-\x0D]+", ""), F.lit("")) == "")
-    return stay.select(*docs.columns).unionByName(wordless.select(*docs.columns))
+    left = marked.join(small_side(leave), here, "left_anti")
+    if not again.isEmpty():
+        # Rows that repeat both id and text: one of each stays.
+        repeated = small_side(again)
+        once = left.join(repeated, here, "left_semi").dropDuplicates(["doc_id", "_text_hash"])
+        left = left.join(repeated, here, "left_anti").unionByName(once)
+    return left.select(*docs.columns)

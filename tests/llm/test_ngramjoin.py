@@ -80,6 +80,17 @@ def test_chunked_columns(frame, monkeypatch):
     assert run(frame(docs, "doc_id long, text string"), 3, 60) == brute(docs, 3, 60)
 
 
+def test_long_columns(frame, monkeypatch):
+    # All columns are paired inside tasks, in small blocks; sizes differ widely at 40 percent.
+    monkeypatch.setattr(ngramjoin, "PAIRED_ROWS", 1)
+    monkeypatch.setattr(ngramjoin, "BLOCK_ROWS", 4)
+    monkeypatch.setattr(ngramjoin, "MEETINGS", 0)
+    docs = cases(12, 120)
+    df = frame(docs, "doc_id long, text string")
+    assert run(df, 4, 85) == brute(docs, 4, 85)
+    assert run(df, 3, 40) == brute(docs, 3, 40)
+
+
 def test_chain_of_links(frame):
     # Each text drops the first word of the one before: neighbours link, the ends do not.
     words = [f"x{i}" for i in range(140)]
@@ -101,6 +112,8 @@ def test_one_of_each(frame):
     wordless = [d for d, n, c in brute(docs, 5, 80) if not n]
     kept = [r.doc_id for r in got.collect()]
     assert sorted(map(str, kept)) == sorted(map(str, [*groups, *wordless]))
+    nameless = frame([(None, "one two three four five"), (None, "other words stand in here"), (None, "one two three four five")], "doc_id long, text string")
+    assert ngramjoin.one_of_each(nameless).count() == 2
 
 
 def test_components(spark):
