@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marginalia.llm.common import kept, small_side
 from marginalia.operators.topk import top_k_per_group
 
 GRAMS = (1, 2, 3)
@@ -150,9 +151,15 @@ def train(labelled: DataFrame) -> LanguageModel:
     first of them. Without any row the model knows no language.
     """
     rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
-        F.col("lang").cast("string").alias("lang"), "text", F.xxhash64(F.col("doc_id").cast("string")).alias("_draw"), F.xxhash64("text").alias("_tie")
+        F.col("lang").cast("string").alias("lang"), "text", F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 40)).alias("_draw"), F.xxhash64("text").alias("_tie")
+    )
+    # About twice the rows wanted pass by their hash, so what meets per language is bounded.
+    share = F.least(F.lit(1.0), F.lit(2.0 * ROWS_PER_LANGUAGE) / F.count(F.lit(1)))
+    # The share of each language is written and counted first: as a small side it lets the texts stay where they are.
+    shares = small_side(kept(rows.groupBy("lang").agg((share * (1 << 40)).alias("_upto")), "shares"))
+    drawn = top_k_per_group(
+        rows.join(shares, "lang").filter(F.col("_draw") < F.col("_upto")).drop("_upto"), ["lang"], [F.col("_draw"), F.col("_tie")], ROWS_PER_LANGUAGE
     )
-    drawn = top_k_per_group(rows, ["lang"], [F.col("_draw"), F.col("_tie")], ROWS_PER_LANGUAGE)
     first = drawn.orderBy("rank", "lang", "_draw", "_tie").limit(ROWS).select("lang", "text", "rank")
     sample = sorted((r["rank"], r["lang"], r["cells"]) for r in first.mapInArrow(_sets, "lang string, rank int, cells binary").collect())
     languages = sorted({lang for _, lang, _ in sample})
