@@ -1,78 +1,114 @@
 """Shards of equal row counts that keep linked documents together.
 
-Balanced label propagation: documents start in shards drawn by a hash of their
-id, and in each round parts of a link group move to the shard that holds most
-of their neighbours and still has room. Unlinked documents have no edges to
-cut, so they fill up what is left and make the counts exact.
+Groups of equal texts are packed whole: largest first, each into the shard with
+the least room that still takes it. Only how many groups there are of each
+size is needed for that, which is a short list whatever the number of rows.
+Groups larger than a shard, and groups that no shard has room for any more,
+are cut at single rows. Unlinked documents have no edges to cut, so they fill
+up what is left and make the counts exact.
 """
 
 from __future__ import annotations
 
+import json
+from bisect import bisect_left, insort
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marginalia.llm.common import kept
+from marginalia.llm.common import kept, small_side
 from marginalia.operators.topk import number_rows
 
-# A link group is moved in this many parts, so that no key holds a whole large group.
+# The rows of a link group meet their label in this many parts, so that no key holds a whole large group.
 PARTS = 64
-ROUNDS = 24
-LEVELS = 64
 MAX_SHARDS = 1024
 
 
-def literal(values: list) -> Column:
-    return F.array(*[F.lit(v) for v in values])
+def pack_groups(groups: dict[int, int], quotas: list[int]) -> tuple[dict[int, list[tuple[int, int]]], list[list[tuple[int, int]]]]:
+    """Labels of groups, given how many there are of each size; together they fit the quotas.
+
+    Result: per size, runs of (groups, label), and the pieces (shard, rows) of
+    every cut group. A label below the number of shards is the shard of whole
+    groups; the others number the cut groups. A group larger than all quotas
+    fills empty shards, and its rest is packed like a group. A size finds no
+    room only when every room is below it, so fewer groups or rests than there
+    are shards are cut beyond that.
+    """
+    shards, room = len(quotas), list(quotas)
+    runs: dict[int, list[tuple[int, int]]] = {n: [] for n in groups}
+    pieces: list[list[tuple[int, int]]] = []
+
+    def new_cut(n: int) -> int:
+        runs[n].append((1, shards + len(pieces)))
+        pieces.append([])
+        return len(pieces) - 1
+
+    items = []  # rows, number of groups, and of a rest its cut group
+    for n in sorted(groups, reverse=True):
+        if n <= max(quotas):
+            items.append((n, groups[n], None))
+            continue
+        for _ in range(groups[n]):
+            cut, left = new_cut(n), n
+            while empty := [(q, s) for s, q in enumerate(quotas) if 0 < q <= left and room[s] == q]:
+                q, s = max(empty)
+                pieces[cut].append((s, q))
+                room[s] = 0
+                left -= q
+            if left:
+                items.append((left, 1, cut))
+    items.sort(key=lambda item: -item[0])
+    # While shards filled to their mean and one largest group more have room for all, no shard is filled further.
+    free = [(r, s) for s, r in enumerate(room) if r]
+    even = -(-sum(n * count for n, count, _ in items) // len(free)) + items[0][0] if items else 0
+    free = sorted((min(r, even), s) for r, s in free)
+    homeless = []
+    for n, count, cut in items:
+        while count and (at := bisect_left(free, (n, -1))) < len(free):
+            r, s = free.pop(at)
+            taken = min(count, r // n)
+            count -= taken
+            if cut is None:
+                runs[n].append((taken, s))
+            else:
+                pieces[cut].append((s, n))
+            if r > taken * n:
+                insort(free, (r - taken * n, s))
+        homeless += [(n, cut)] * count
+    for n, cut in homeless:
+        cut = new_cut(n) if cut is None else cut
+        while n:
+            # The least room that takes what is left, or else the largest.
+            r, s = free.pop(min(bisect_left(free, (n, -1)), len(free) - 1))
+            pieces[cut].append((s, min(n, r)))
+            if r > n:
+                insort(free, (r - n, s))
+            n -= min(n, r)
+    return runs, pieces
 
 
-def propagate(nodes: DataFrame, shards: int, quota: int, rounds: int = ROUNDS) -> DataFrame:
-    """Shards of all linked parts: link, part, n (rows), shard.
+def label_groups(nodes: DataFrame, quotas: list[int]) -> tuple[DataFrame, list[int], list[list[tuple[int, int]]]]:
+    """Labels of all linked parts (link, part, label), rows of whole groups per shard, pieces of cut groups.
 
-    A group is a clique of equal links; its votes per shard are sums, so no
-    edge is ever written out. One round costs joins of these narrow sums.
+    The groups are numbered by size, and each run of a size takes the next of them.
     """
-    sums = nodes.filter(F.col("link").isNotNull()).groupBy("link", "part").agg(F.count(F.lit(1)).alias("n"))
-    total = sums.groupBy("link").agg(F.sum("n").alias("_rows")).filter(F.col("_rows") > 1).select("link")
-    units = kept(sums.join(total, "link", "left_semi").withColumn("shard", (F.col("part") % shards).cast("int")), "units")
-    for _ in range(rounds):
-        load = {r["shard"]: r["n"] for r in units.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
-        room = [max(0, quota - load.get(s, 0)) for s in range(shards)]
-        votes = units.groupBy("link", "shard").agg(F.sum("n").alias("votes"))
-        # The open shard with most neighbours; of equal ones a shard drawn per group.
-        open_ = F.element_at(literal(room), F.col("shard") + 1) > 0
-        votes = votes.withColumns({"open": open_, "draw": F.xxhash64("link", "shard")})
-        best = (
-            votes.groupBy("link")
-            .agg(F.max(F.when(F.col("open"), F.struct("votes", "draw", "shard"))).alias("_best"), F.count(F.lit(1)).alias("_spread"))
-            .filter((F.col("_spread") > 1) & F.col("_best").isNotNull())
-        )
-        equal = (F.col("_best.votes") == F.col("votes")) & (~F.col("open") | (F.col("_best.draw") > F.col("draw")))
-        wishes = (
-            units.join(best, "link")
-            .withColumn("target", F.col("_best.shard"))
-            .join(votes, ["link", "shard"])
-            .filter((F.col("target") != F.col("shard")) & ((F.col("_best.votes") > F.col("votes")) | equal))
-            .select("link", "part", "target", "n", F.least(F.lit(LEVELS - 1), F.log2("_best.votes").cast("int")).alias("level"))
-        )
-        wishes = kept(wishes, "wishes")
-        asked = {(r["target"], r["level"]): r["n"] for r in wishes.groupBy("target", "level").agg(F.sum("n").alias("n")).collect()}
-        if not asked:
-            break
-        # Quotas: larger neighbourhoods first; of the level that no longer fits whole, a share.
-        share = [0.0] * (shards * LEVELS)
-        for target in range(shards):
-            left = room[target]
-            for level in reversed(range(LEVELS)):
-                n = asked.get((target, level), 0)
-                if n and left > 0:
-                    share[target * LEVELS + level] = min(1.0, left / n)
-                    left -= n
-        draw = F.pmod(F.xxhash64("link", "part"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-        admitted = wishes.filter(draw < F.element_at(literal(share), F.col("target") * LEVELS + F.col("level") + 1)).select("link", "part", "target")
-        units = kept(
-            units.join(admitted, ["link", "part"], "left").select("link", "part", "n", F.coalesce("target", "shard").alias("shard")), "units"
-        )
-    return units
+    sums = kept(nodes.filter(F.col("link").isNotNull()).groupBy("link", "part").agg(F.count(F.lit(1)).alias("n")), "sums")
+    groups = kept(sums.groupBy("link").agg(F.sum("n").alias("n")).filter(F.col("n") > 1), "groups")
+    runs, pieces = pack_groups({r["n"]: r["count"] for r in groups.groupBy("n").count().collect()}, quotas)
+    whole, plan, first = [0] * len(quotas), [], 0
+    for n in sorted(runs):
+        ends = list(accumulate((count for count, _ in runs[n]), initial=first))
+        plan.append({"n": n, "ends": ends[1:], "labels": [label for _, label in runs[n]]})
+        first = ends[-1]
+        for count, label in runs[n]:
+            if label < len(quotas):
+                whole[label] += n * count
+    rows = F.from_json(F.lit(json.dumps(plan)), "array<struct<n: long, ends: array<long>, labels: array<int>>>")
+    sizes = kept(nodes.sparkSession.range(0, 1, 1, 1).select(F.inline(rows)), "sizes")
+    label = F.element_at("labels", F.size(F.filter("ends", lambda end: end <= F.col("_at"))) + 1)
+    labelled = number_rows(groups, ["n", "link"], "_at").join(small_side(sizes), "n").select("link", label.alias("label"))
+    return sums.join(labelled, "link").select("link", "part", "label"), whole, pieces
 
 
 def shard_rows(docs: DataFrame, shards: int = 16) -> DataFrame:
@@ -81,12 +117,13 @@ def shard_rows(docs: DataFrame, shards: int = 16) -> DataFrame:
     ``docs``: doc_id, text; other columns are ignored. Rows with equal texts are
     linked; a NULL text is linked with nothing, has size 1 and checksum 0. A
     NULL or repeated doc_id is placed like any other. A group larger than a
-    shard fills whole shards and part of one more. Result: doc_id, size,
-    text_crc32, law, shard, slot (gapless per shard), grown_shard (NULL).
+    shard fills whole shards, and its rest is packed like a smaller group. Of
+    the groups and rests that fit a shard fewer than ``shards`` are cut, none
+    while there is room for each whole. Result: doc_id, size, text_crc32, law,
+    shard, slot (gapless per shard), grown_shard (NULL).
     """
     if not 1 <= shards <= MAX_SHARDS:
         raise ValueError(f"1 to {MAX_SHARDS} shards")
-    parts = -(-PARTS // shards) * shards
     raw = F.encode("text", "UTF-8")
     nodes = kept(
         docs.select(
@@ -94,53 +131,39 @@ def shard_rows(docs: DataFrame, shards: int = 16) -> DataFrame:
             (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
             F.coalesce(F.crc32(raw), F.lit(0)).cast("long").alias("text_crc32"),
             F.unhex(F.md5(raw)).alias("link"),
-            F.pmod(F.xxhash64("doc_id", F.coalesce(F.octet_length("text"), F.lit(0))), F.lit(parts)).cast("int").alias("part"),
+            F.pmod(F.xxhash64("doc_id", F.coalesce(F.octet_length("text"), F.lit(0))), F.lit(PARTS)).cast("int").alias("part"),
         ),
         "nodes",
     )
     total = nodes.count()
-    units = propagate(nodes, shards, total // shards)
-    # Linked rows come first in a shard, so that the rows beyond the quota are unlinked ones.
+    quotas = [total // shards + (s < total % shards) for s in range(shards)]
+    units, whole, pieces = label_groups(nodes, quotas)
+    single = F.lit(shards + len(pieces))
     placed = kept(
-        nodes.join(units.select("link", "part", "shard"), ["link", "part"], "left").select(
-            "doc_id",
-            "size",
-            "text_crc32",
-            "link",
-            F.coalesce("shard", (F.col("part") % shards).cast("int")).alias("shard"),
-            F.col("shard").isNull().alias("single"),
-        ),
-        "placed",
+        nodes.join(units, ["link", "part"], "left").select("doc_id", "size", "text_crc32", "link", F.coalesce("label", single).alias("label")), "placed"
     )
-    counts = {r["shard"]: r["n"] for r in placed.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
-    have = [counts.get(s, 0) for s in range(shards)]
-    # The shards with most rows get the larger quotas.
-    larger = sorted(range(shards), key=lambda s: (-have[s], s))[: total % shards]
-    quota = [total // shards + (s in larger) for s in range(shards)]
-    first = [sum(have[:s]) for s in range(shards)]
-    over = [max(0, h - q) for h, q in zip(have, quota)]
-    over_first = [sum(over[:s]) for s in range(shards)]
-    numbered = number_rows(placed, ["shard", "single", "link", "doc_id"], "_row")
-
-    def of(values: list) -> Column:
-        return F.element_at(literal([int(v) for v in values]), F.col("shard") + 1).cast("long")
-
-    place = F.col("_row") - of(first)
-    surplus = of(over_first) + place - of(quota)
-    moved, begin = [], 0
-    for s in range(shards):
-        gap = max(0, quota[s] - have[s])
-        if gap:
-            fits = (surplus >= begin) & (surplus < begin + gap)
-            moved.append(F.when(fits, F.struct(F.lit(s).alias("shard"), (surplus - begin + have[s]).alias("slot"))))
-            begin += gap
-    stays = F.when(place < of(quota), F.struct(F.col("shard").alias("shard"), place.alias("slot")))
-    return numbered.withColumn("_at", F.coalesce(stays, *moved)).select(
+    # Rows in the order of their labels: where each stretch of them goes.
+    used, spans, end = [0] * shards, [], 0
+
+    def put(shard: int, rows: int) -> None:
+        nonlocal end
+        spans.append((end + rows, shard, used[shard] - end))
+        used[shard] += rows
+        end += rows
+
+    for shard, rows in [*enumerate(whole), *(piece for cut in pieces for piece in cut)]:
+        put(shard, rows)
+    for shard, quota in enumerate(quotas):
+        put(shard, quota - used[shard])
+    numbered = number_rows(placed, ["label", "link", "doc_id"], "_row")
+    ends, shard_of, shift = (F.array(*(F.lit(v).cast("long") for v in values)) for values in zip(*spans))
+    numbered = numbered.withColumn("_span", F.size(F.filter(ends, lambda e: e <= F.col("_row"))) + 1)
+    return numbered.select(
         "doc_id",
         "size",
         "text_crc32",
         F.lit("rows").alias("law"),
-        F.col("_at.shard").cast("int").alias("shard"),
-        F.col("_at.slot").cast("long").alias("slot"),
+        F.element_at(shard_of, F.col("_span")).cast("int").alias("shard"),
+        (F.col("_row") + F.element_at(shift, F.col("_span"))).alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
     )

@@ -69,3 +69,30 @@ def test_given_documents(spark, small):
     rows = QUERIES["op6_sharding"](spark, small).collect()
     laws(rows, 16, docs)
     assert cuts(rows, docs) == 0
+
+
+def cut_groups(rows, docs, quota):
+    """Texts whose rows fit one shard but lie in several, and the pieces of each larger text."""
+    text = dict(docs)
+    per = defaultdict(Counter)
+    for r in rows:
+        per[text[r.doc_id]][r.shard] += 1
+    fits = [t for t, c in per.items() if sum(c.values()) <= quota and len(c) > 1]
+    return fits, {t: len(c) for t, c in per.items() if sum(c.values()) > quota}
+
+
+def test_a_third_in_one_group_beside_others(frame):
+    names = ["hot"] * 2133 + [f"large {i % 10}" for i in range(2000)] + [f"small {i % 100}" for i in range(1000)]
+    docs = [(i, names[i] if i < len(names) else f"text {i}") for i in range(6400)]
+    rows = sharding.shard_rows(frame(docs, "doc_id long, text string"), 16).collect()
+    laws(rows, 16, docs)
+    # Shards of 400: five full ones and a part of one more for the hot text.
+    assert cut_groups(rows, docs, 400) == ([], {"hot": 6})
+
+
+def test_nearly_all_rows_linked(frame):
+    docs = [(i, f"copy {i // 7}" if i < 3199 else f"text {i}") for i in range(3205)]
+    rows = sharding.shard_rows(frame(docs, "doc_id long, text string"), 16).collect()
+    laws(rows, 16, docs)
+    # 457 groups of seven in shards of 200 or 201 rows: 28 fit whole, so nine of them must be cut.
+    assert len(cut_groups(rows, docs, 200)[0]) == 457 - 16 * 28
