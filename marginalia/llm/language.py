@@ -202,6 +202,11 @@ def identify(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame:
 
 
 def known_language(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose text has a language; all their columns stay as they are."""
+    """The rows of ``docs`` whose text has a language; all their columns stay as they are.
+
+    With nothing to learn from, every text with a letter stays.
+    """
     model = train(docs.filter(~held_out(F.col("doc_id"))))
+    if not model.languages:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     return docs.filter(predicted(F.col("text"), model, docs)["lang"] != UNKNOWN)

@@ -44,6 +44,14 @@ def test_nothing_to_learn(frame, spark):
     assert language.identify(spark.createDataFrame([], "doc_id long, text string, lang string")).count() == 0
 
 
+def test_nothing_to_learn_drops_no_language(frame):
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 3 == 1)
+    for lang, doc_id in ((None, 1), ("aa", held)):
+        docs = [(doc_id, t, lang) for t in ("words", "Ж 1", "\n中\n", "12 34 !", "", None)]
+        got = language.known_language(frame(docs, "doc_id long, text string, lang string")).collect()
+        assert sorted(r.text for r in got) == sorted(["words", "Ж 1", "\n中\n"])
+
+
 def test_kernel_is_the_presence_kernel():
     random.seed(12)
     texts = [text(lang, 5) for lang in SOUNDS for _ in range(4)]
