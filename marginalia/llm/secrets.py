@@ -103,17 +103,18 @@ def train(docs: DataFrame) -> MarkovPair:
 
     Random: the values that fixed forms find in all documents, RANDOM_ROWS of
     them by hash at most. Ordinary: the words of WORD_DOCS documents by hash of doc_id,
-    fixed forms taken out, WORD_ROWS of them at most.
+    fixed forms taken out, WORD_ROWS of their occurrences at most by hash of token,
+    document and place.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     spans = docs.select(F.explode(base_spans(text)).alias("_span"))
     values = kept(spans.select(F.col("_span.value").alias("token"), F.monotonically_increasing_id().alias("_row")), "secret-values")
     random = bounded_sample(values, RANDOM_ROWS, [F.col("token"), F.col("_row")], values.count()).select(F.lit(1).alias("label"), "token")
     draw = [F.col("doc_id").cast("string"), F.col("text")] if "doc_id" in docs.columns else [F.col("text")]
-    some = bounded_sample(docs, WORD_DOCS, draw, docs.count()).select(text.alias("text"))
+    some = kept(bounded_sample(docs, WORD_DOCS, draw, docs.count()).select(text.alias("text"), F.xxhash64(*draw).alias("_doc")), "word-documents")
     plain = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.col("text"), ASSIGN, " "), ACCESS, " "), HEX, " ")
-    words = some.select(F.explode(F.regexp_extract_all(plain, F.lit(WORD), F.lit(0))).alias("token"))
-    words = words.orderBy(F.xxhash64("token"), "token").limit(WORD_ROWS).select(F.lit(0).alias("label"), "token")
+    words = some.select("_doc", F.posexplode(F.regexp_extract_all(plain, F.lit(WORD), F.lit(0))).alias("_at", "token"))
+    words = bounded_sample(words, WORD_ROWS, [F.col("token"), F.col("_doc"), F.col("_at")], words.count()).select(F.lit(0).alias("label"), "token")
     states = random.unionByName(words).select("label", states_of(F.col("token")).alias("s"))
     pairs = F.arrays_zip(F.slice("s", F.lit(1), F.size("s") - 1).alias("a"), F.slice("s", F.lit(2), F.size("s") - 1).alias("b"))
     rows = states.select("label", F.explode(pairs).alias("p")).groupBy("label", "p.a", "p.b").count().collect()

@@ -72,6 +72,15 @@ def test_markov_models_find_random_tokens(frame):
         assert abs(s - model.ratio(t)) < 1e-3
 
 
+def test_sample_of_word_occurrences(frame, monkeypatch):
+    monkeypatch.setattr(secrets, "WORD_ROWS", 400)
+    key, _ = corpus()
+    words = [c * 2 + "".join(random.choices("aeiou", k=3)) + "_" + c + "ion" for c in "bcdfghjklmnpqrstvwxz"]
+    docs = [(i, " ".join(words * 10) + f" token={key()}") for i in range(20)]
+    model = secrets.train(frame(docs, "doc_id long, text string"))
+    assert [w for w in words if model.ratio(w) >= 0] == []
+
+
 def test_untrained_and_empty(frame, spark):
     assert secrets.report(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     rows = secrets.report(frame([(1, "Zq81kLmX0pQw7RtY55aa plain")], "doc_id long, text string")).collect()
