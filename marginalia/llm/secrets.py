@@ -9,6 +9,7 @@ token whose log-likelihood ratio reaches the threshold is a span as well.
 from __future__ import annotations
 
 import math
+import random as chance
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +33,8 @@ SMOOTHING = 0.5
 THRESHOLD = 12.0
 # Bounds of the labelled samples.
 RANDOM_ROWS, WORD_DOCS, WORD_ROWS = 5_000, 2_000, 50_000
+# Generated strings of the random class, so that it never depends on the table alone.
+MADE_ROWS, MADE_LENGTH, MADE_SEED = 1_000, 24, 17
 
 SPAN = "struct<start:int,kind:int,end:int,value:string>"
 
@@ -98,11 +101,21 @@ def states_of(token: Column) -> Column:
     return F.concat(F.array(F.lit(0)), F.transform(chars, lambda c: F.element_at(codes, F.ascii(c) + 1)))
 
 
+def made_counts() -> dict[tuple[int, int, int], int]:
+    """Transitions of the generated random strings over the alphabet."""
+    draw, counts = chance.Random(MADE_SEED), {}
+    for _ in range(MADE_ROWS):
+        states = [0, *(draw.randrange(1, STATES) for _ in range(MADE_LENGTH))]
+        for a, b in zip(states, states[1:]):
+            counts[1, a, b] = counts.get((1, a, b), 0) + 1
+    return counts
+
+
 def train(docs: DataFrame) -> MarkovPair:
     """Count transitions of labelled tokens.
 
-    Random: the values that fixed forms find in all documents, RANDOM_ROWS of
-    them by hash at most. Ordinary: the words of WORD_DOCS documents by hash of doc_id,
+    Random: MADE_ROWS generated strings, and the values that fixed forms find
+    in all documents, RANDOM_ROWS of them by hash at most. Ordinary: the words of WORD_DOCS documents by hash of doc_id,
     fixed forms taken out, WORD_ROWS of their occurrences at most by hash of token,
     document and place.
     """
@@ -118,7 +131,11 @@ def train(docs: DataFrame) -> MarkovPair:
     states = random.unionByName(words).select("label", states_of(F.col("token")).alias("s"))
     pairs = F.arrays_zip(F.slice("s", F.lit(1), F.size("s") - 1).alias("a"), F.slice("s", F.lit(2), F.size("s") - 1).alias("b"))
     rows = states.select("label", F.explode(pairs).alias("p")).groupBy("label", "p.a", "p.b").count().collect()
-    return MarkovPair({(r["label"], r["a"], r["b"]): r["count"] for r in rows})
+    counts = made_counts()
+    for r in rows:
+        key = (r["label"], r["a"], r["b"])
+        counts[key] = counts.get(key, 0) + r["count"]
+    return MarkovPair(counts)
 
 
 def scan(docs: DataFrame, model: MarkovPair | None = None, base: str = "base_spans", spans: str = "spans") -> DataFrame:
@@ -126,8 +143,8 @@ def scan(docs: DataFrame, model: MarkovPair | None = None, base: str = "base_spa
 
     A span is struct(start, kind, end, value): code points, end exclusive, kind
     a position in KINDS. Tokens that touch a base span add nothing. A NULL text
-    is empty. Without samples of both classes no token is added. Columns of
-    these names in ``docs`` are replaced.
+    is empty. Without an ordinary word to learn from no token is added. Columns
+    of these names in ``docs`` are replaced.
     """
     model = model or train(docs)
     text = F.coalesce(F.col("text"), F.lit(""))

@@ -81,6 +81,16 @@ def test_sample_of_word_occurrences(frame, monkeypatch):
     assert [w for w in words if model.ratio(w) >= 0] == []
 
 
+def test_random_tokens_without_any_fixed_form(frame):
+    key, docs = corpus()
+    docs = [(i, t.split(" token=")[0]) for i, t in docs]
+    model = secrets.train(frame(docs, "doc_id long, text string"))
+    loose = [(1000 + i, f"the value {key()} stands for getUserAddressdocumentation") for i in range(50)]
+    rows = secrets.report(frame(docs + loose, "doc_id long, text string"), model).collect()
+    assert sum(r.spans == "markov:10:34" for r in rows) >= 48
+    assert all(r.spans == "" for r in rows if r.doc_id < 1000)
+
+
 def test_untrained_and_empty(frame, spark):
     assert secrets.report(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     rows = secrets.report(frame([(1, "Zq81kLmX0pQw7RtY55aa plain")], "doc_id long, text string")).collect()
