@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginalia.llm import decontaminate, language, ngramjoin, packing, secrets, sharding, tokens, topk, urls, warc
+from marginalia.llm import (
+    decontaminate,
+    dedup,
+    language,
+    ngramjoin,
+    packing,
+    secrets,
+    sharding,
+    subvectors,
+    tokens,
+    topk,
+    urls,
+    warc,
+    whitening,
+)
 from marginalia.llm.common import CHECK_SQL, QUERIES, query, table
 
 __all__ = ["CHECK_SQL", "QUERIES"]
@@ -161,3 +175,63 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in bins of 4,096 words without two pieces of one source or of equal texts."""
     return packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+
+
+@query(
+    "op13_exact_dedup",
+    """
+    WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents)
+    SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+           doc_id = max(doc_id) OVER w AS kept, text_sha256
+    FROM d WINDOW w AS (PARTITION BY text_sha256)
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of equal texts the row with the largest doc_id stays."""
+    return dedup.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def _rounds_sql(rounds: int) -> str:
+    """Each round of the clustering: c<i> are the centroids after round i, m<i> the members before it."""
+    members = """
+    m{i} AS MATERIALIZED (
+        SELECT k, min(distance * 8 + c) // 8 AS distance, min(distance * 8 + c) % 8 AS c
+        FROM (SELECT k, c, CAST(list_sum(list_transform(list_zip(v.q, p.q), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS distance
+              FROM v, c{i} p) GROUP BY k
+    )"""
+    moved = """,
+    c{j} AS MATERIALIZED (
+        SELECT p.c, coalesce(f.q, p.q) AS q FROM c{i} p LEFT JOIN (
+            SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY place) AS q FROM (
+                SELECT c, place, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM (
+                    SELECT c, unnest(range(64)) AS place, unnest(q) AS x FROM m{i} JOIN v USING (k)) GROUP BY c, place
+            ) GROUP BY c) f ON f.c = p.c
+    )"""
+    steps = ["," + members.format(i=i) + moved.format(i=i, j=i + 1) for i in range(rounds)]
+    return "".join(steps) + "," + members.format(i=rounds)
+
+
+@query(
+    "op11_centroid_clustering",
+    f"""
+    WITH v AS MATERIALIZED (
+        SELECT row_number() OVER () AS k, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+        FROM embeddings
+        WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), c0 AS MATERIALIZED (
+        SELECT row_number() OVER (ORDER BY h, q) - 1 AS c, q FROM (SELECT sha256('3:' || vec_id) AS h, q FROM v) ORDER BY h, q LIMIT 8
+    ){_rounds_sql(10)}
+    SELECT vec_id, CAST(c AS INTEGER) AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+           CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(p.q, ',')) AS centroid_sha256
+    FROM m10 JOIN v USING (k) JOIN c10 p USING (c)
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten rounds of exact k-means over dictionaries of subvectors."""
+    return subvectors.cluster_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@query("op12_embedding_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the eight leading components, whitened."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
