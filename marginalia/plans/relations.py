@@ -71,22 +71,23 @@ tok AS (
 )"""
 
 BM25_STATS_SQL = (
-    TOKEN_SQL
+    TOKEN_SQL.replace("tok AS (", "tok AS MATERIALIZED (")
     + """,
-figures AS (
+figures AS MATERIALIZED (
   SELECT count(*) AS n, sum(len(tokens))::DOUBLE / count(*) AS avgdl FROM tok
 ),
-post AS (
+post AS MATERIALIZED (
   SELECT doc_id, dl, term, count(*) AS tf FROM (
     SELECT doc_id, len(tokens) AS dl, unnest(tokens) AS term FROM tok
   ) GROUP BY doc_id, dl, term
 ),
-rawidf AS (
-  SELECT term, count(*) AS df, ln((SELECT n FROM figures) - count(*) + 0.5) - ln(count(*) + 0.5) AS raw
-  FROM post GROUP BY term
+freq AS MATERIALIZED (SELECT term, count(*) AS df FROM post GROUP BY term),
+rawidf AS MATERIALIZED (
+  SELECT term, df, ln(n - df + 0.5) - ln(df + 0.5) AS raw FROM freq, figures
 ),
-terms AS (
-  SELECT term, df, CASE WHEN raw < 0 THEN 0.25 * (SELECT avg(raw) FROM rawidf) ELSE raw END AS idf FROM rawidf
+mean AS MATERIALIZED (SELECT avg(raw) AS avg_idf FROM rawidf),
+terms AS MATERIALIZED (
+  SELECT term, df, CASE WHEN raw < 0 THEN 0.25 * avg_idf ELSE raw END AS idf FROM rawidf, mean
 )"""
 )
 

@@ -171,8 +171,8 @@ def bm25_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     "bm25_meta",
     f"""
 WITH {rel.BM25_STATS_SQL}
-SELECT n AS n_docs, round(avgdl, 6) AS avgdl, round((SELECT avg(raw) FROM rawidf), 6) AS avg_idf,
-       'whitespace_lowercase_v1' AS tokenizer, 1::BIGINT AS version FROM figures
+SELECT n AS n_docs, round(avgdl, 6) AS avgdl, round(avg_idf, 6) AS avg_idf,
+       'whitespace_lowercase_v1' AS tokenizer, 1::BIGINT AS version FROM figures, mean
 """,
 )
 def bm25_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,8 +199,7 @@ def bm25_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     "bm25_append_stats",
     f"""
 WITH {rel.BM25_STATS_SQL}
-SELECT term, df, round(idf, 6) AS idf, (SELECT n FROM figures) AS n_docs,
-       (SELECT round(avgdl, 6) FROM figures) AS avgdl FROM terms
+SELECT term, df, round(idf, 6) AS idf, n AS n_docs, round(avgdl, 6) AS avgdl FROM terms, figures
 """,
 )
 def bm25_append_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
