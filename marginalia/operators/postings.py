@@ -113,18 +113,20 @@ def block_rows(docs: DataFrame) -> DataFrame:
     """
     parts = docs.select("bm25_index", "tokens").mapInArrow(_count, PART_SCHEMA)
     joined = [F.flatten(F.collect_list(c)).alias(c) for c in ("positions", "tfs", "dls", "peak_tfs", "peak_dls")]
+    # The aggregate is content with the coarser exchange, which also decides the files.
     return (
-        parts.withColumn("slot", slot_of(F.col("term")))
-        .groupBy("slot", F.shiftright("segment", STRETCH_BITS).alias("_stretch"), "term", "segment")
+        parts.withColumns({"slot": slot_of(F.col("term")), "_stretch": F.shiftright("segment", STRETCH_BITS)})
+        .repartition("slot", "_stretch")
+        .groupBy("slot", "_stretch", "term", "segment")
         .agg(F.sum("n").alias("n"), F.sum("total").alias("total"), *joined)
         .select(*[c.split()[0] for c in BLOCK_SCHEMA.split(", ")])
     )
 
 
 def write_blocks(blocks: DataFrame, folder: str) -> None:
-    stretch = F.shiftright("segment", STRETCH_BITS)
-    placed = blocks.repartition("slot", stretch).sortWithinPartitions("slot", "term", "segment")
-    placed.write.option("parquet.block.size", GROUP_BYTES).partitionBy("slot").parquet(folder)
+    """Write rows of ``block_rows``, or of stored blocks; neither is shuffled again."""
+    placed = blocks.select(*[c.split()[0] for c in BLOCK_SCHEMA.split(", ")]).sortWithinPartitions("slot", "term", "segment")
+    placed.write.mode("overwrite").option("parquet.block.size", GROUP_BYTES).partitionBy("slot").parquet(folder)
 
 
 def flat_postings(blocks: DataFrame) -> DataFrame:
@@ -293,7 +295,7 @@ def search_pass(
     """
     spark = blocks.sparkSession
     vocabulary = sorted({t for _, terms in queries for t, _ in terms})
-    wanted = blocks.filter(F.col("slot").isin(_slots(spark, vocabulary)) & F.col("term").isin(vocabulary))
+    wanted = blocks.filter(F.col("slot").isin(slots_of(spark, vocabulary)) & F.col("term").isin(vocabulary))
     columns = ["segment", "term", "positions", "tfs", "dls", "peak_tfs", "peak_dls"]
     every = blocks.filter((F.col("slot") == ALL_CHUNKS_SLOT) & (F.col("term") == ""))
     parts = [wanted.select(*columns)]
@@ -325,7 +327,7 @@ def search_pass(
     return met.repartition("segment").sortWithinPartitions("segment").mapInArrow(_search(shared), LOCAL_SCHEMA)
 
 
-def _slots(spark, vocabulary: list[str]) -> list[int]:
+def slots_of(spark, vocabulary: list[str]) -> list[int]:
     """Slots of the terms, by the same hash as the stored rows."""
     if not vocabulary:
         return []

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,8 @@ from marginalia.operators.dense import centroids, search_dense
 from marginalia.operators.topk import join_hits
 from marginalia.plans import relations as rel
 from marginalia.plans.registry import query, table, texts
+from marginalia.session import shared_folder
+from marginalia.sources import store
 
 TOP_K = 10
 POOL = 50
@@ -279,6 +283,29 @@ def bm25_tombstoned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bm25.search_bm25(bm25.build_index(chunks, materialize=True), rel.benchmark_queries(spark, sf_dir), TOP_K, exact=False, digits=rel.ORDER_DIGITS)
 
 
+@query(
+    "bm25_after_updates",
+    f"""
+WITH {rel.BM25_SCORE_SQL}
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY order_score DESC, doc_id) AS rank,
+       doc_id AS bm25_index, score
+FROM scored JOIN documents USING (doc_id) WHERE source IS DISTINCT FROM 'src3'
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY order_score DESC, doc_id) <= 10
+""",
+)
+def bm25_after_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored index that grew: English documents first, the others as a second
+    part together with the deletion of one source, searched as last published."""
+    root = f"{shared_folder(spark)}/updates-{uuid.uuid4().hex}"
+    marked = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    chunks = rel.documents_as_chunks(spark, sf_dir).join(marked.withColumnRenamed("doc_id", "bm25_index"), "bm25_index")
+    english = F.coalesce(F.col("lang") == "en", F.lit(False))
+    store.write_bm25(bm25.build_index(chunks.filter(english).drop("lang", "source")), root)
+    dead = marked.filter("source = 'src3'").select(F.col("doc_id").alias("position"), F.to_timestamp(F.lit(rel.DELETED_AT)).alias("deleted_utc"))
+    store.append_bm25(spark, root, chunks.filter(~english).drop("lang", "source"), dead)
+    return bm25.search_bm25(store.read_bm25(spark, root), rel.benchmark_queries(spark, sf_dir), TOP_K, digits=rel.ORDER_DIGITS)
+
+
 def hybrid_pools(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Pools per benchmark item: BM25 over documents, and vectors near the mean
     of label (item modulo ten), where vector n stands for document n."""

@@ -13,8 +13,11 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
 from marginalia.functions import hashing
-from marginalia.operators import models, splitter
-from marginalia.operators.topk import number_rows
+from marginalia.functions.text import is_blank, tokenize
+from marginalia.operators import bm25, models, splitter
+from marginalia.operators.topk import last_per_key, number_rows
+from marginalia.session import checkpointed
+from marginalia.sources import store
 from marginalia.streaming.staging import DOCUMENT_SCHEMA, current_documents
 
 VECTOR_SCHEMA = (
@@ -49,10 +52,20 @@ def index_batch(documents: DataFrame, batch: int, corpus: str, embedder, config=
     placed.select(*names).write.mode("overwrite").parquet(f"{corpus}/vectors/batch={batch}")
 
 
-def run_indexing(spark: SparkSession, corpus: str, checkpoint: str, embedder) -> StreamingQuery:
+def run_indexing(
+    spark: SparkSession, corpus: str, checkpoint: str, embedder, agent_collections: DataFrame | None = None
+) -> StreamingQuery:
+    """Vectors of new documents; with ``agent_collections`` (agent, collection)
+    the stored indexes of the agents a batch touches grow as well."""
     documents = spark.readStream.schema(DOCUMENT_SCHEMA).parquet(f"{corpus}/documents")
+
+    def work(rows: DataFrame, number: int) -> None:
+        index_batch(rows, number, corpus, embedder)
+        if agent_collections is not None:
+            refresh_agents(rows, number, corpus, agent_collections)
+
     return (
-        documents.writeStream.foreachBatch(lambda rows, number: index_batch(rows, number, corpus, embedder))
+        documents.writeStream.foreachBatch(work)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -71,3 +84,102 @@ def live_vectors(spark: SparkSession, corpus: str) -> DataFrame:
 def affected_slices(documents: DataFrame, agent_collections: DataFrame) -> DataFrame:
     """Agents whose slice a batch of documents touches."""
     return documents.select("collection").distinct().join(agent_collections, "collection").select("agent").distinct()
+
+
+def refresh_agents(documents: DataFrame, batch: int, corpus: str, agent_collections: DataFrame) -> list[str]:
+    """Grow both stored indexes of each agent the batch touches; others stay as they are.
+
+    The number of agents is set by their configuration. A retried batch skips
+    what its first try has published already, by the stamp of the snapshots.
+    """
+    good = documents.filter("status = 'success'")
+    touched = sorted(row["agent"] for row in affected_slices(good, agent_collections).collect())
+    for agent in touched:
+        own = agent_collections.filter(F.col("agent") == agent).select("collection").distinct()
+        _refresh(good.join(own, "collection", "left_semi"), batch, corpus, agent)
+    return touched
+
+
+def _refresh(documents: DataFrame, batch: int, corpus: str, agent: str) -> None:
+    spark = documents.sparkSession
+    folder, lexical, pair = (f"{corpus}/agents/{kind}/{agent}" for kind in ("vectors", "bm25", "pairs"))
+    heads = documents.select("slug", "doc_id").distinct()
+    held = store.snapshot(spark, folder)
+    if held is None or held.figures["stamp"] < batch:
+        fresh = vectors_log(spark, corpus).filter(F.col("batch") == batch).join(heads, ["slug", "doc_id"], "left_semi")
+        first, lost = 0, None
+        if held is not None:
+            stored = store.read_vectors(spark, folder, agent, check=False).select("embedding_index", "slug", "doc_id")
+            first = stored.agg(F.max("embedding_index")).first()[0] + 1
+            alive = store.without(stored, store.deleted_rows(spark, folder), "embedding_index")
+            # The same content again adds nothing; other content under a slug replaces what it had.
+            fresh = fresh.join(alive.select("slug", "doc_id"), ["slug", "doc_id"], "left_anti")
+            replaced = alive.join(heads.select("slug"), "slug", "left_semi").join(heads, ["slug", "doc_id"], "left_anti")
+            lost = checkpointed(replaced.select(F.col("embedding_index").alias("position"), F.current_timestamp().alias("deleted_utc")))
+        keys = number_rows(fresh.select(F.col("embedding_index").alias("log_index")), ["log_index"], "embedding_index", first)
+        rows = fresh.withColumnRenamed("embedding_index", "log_index").join(keys, "log_index").drop("log_index", "batch")
+        rows = rows.withColumn("agent", F.lit(agent))
+        if held is None:
+            store.write_vectors(rows, folder, batch)
+        else:
+            store.append_vectors(spark, folder, rows, lost, batch)
+    held = store.snapshot(spark, folder)
+    known = store.snapshot(spark, lexical)
+    if held is None or (known is not None and known.figures["stamp"] >= batch):
+        return
+    # What the first store took for this batch is what the second one gets.
+    added = store.part_rows(spark, folder, held.version).filter(F.col("agent") == agent)
+    chunks = added.select(F.col("embedding_index").alias("bm25_index"), "chunk_id", "doc_id", "text")
+    if known is None:
+        store.write_bm25(bm25.build_index(chunks), lexical, batch)
+    else:
+        store.append_bm25(spark, lexical, chunks, store.part_deletions(spark, folder, held.version), batch)
+    store.publish_pair(spark, pair, folder, lexical)
+
+
+TERM_COUNTS = "agent string, term string, df long, tokens long, batch long"
+
+
+def run_term_counts(
+    spark: SparkSession, corpus: str, checkpoint: str, agent_collections: DataFrame, config=splitter.ChunkConfig()
+) -> StreamingQuery:
+    """BM25 frequencies as streaming state keyed by (agent, term).
+
+    The state store holds the counts; a batch writes only the keys it changed.
+    The empty term counts an agent's chunks and their tokens. A document whose
+    slug and content were seen before is not counted again; superseded ones go
+    on counting, as deleted chunks do in a stored index.
+    """
+    documents = spark.readStream.schema(DOCUMENT_SCHEMA).parquet(f"{corpus}/documents")
+    fresh = documents.filter("status = 'success'").dropDuplicates(["slug", "doc_id"])
+    chunks = splitter.split_documents(fresh.select("doc_id", "collection", F.col("markdown").alias("text")), config)
+    tokens = chunks.filter(~is_blank(F.col("text"))).select("collection", tokenize(F.col("text")).alias("tokens"))
+    named = tokens.join(F.broadcast(agent_collections.select("agent", "collection").distinct()), "collection")
+    words = F.concat(F.array(F.lit("")), F.array_distinct("tokens"))
+    counts = (
+        named.select("agent", F.explode(words).alias("term"), F.size("tokens").alias("size"))
+        .groupBy("agent", "term")
+        .agg(F.count(F.lit(1)).alias("df"), F.sum(F.when(F.col("term") == "", F.col("size")).otherwise(0)).alias("tokens"))
+    )
+
+    def write(rows: DataFrame, number: int) -> None:
+        rows.select("agent", "term", "df", "tokens").write.mode("overwrite").parquet(f"{corpus}/terms/batch={number}")
+
+    return (
+        counts.writeStream.outputMode("update")
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def term_counts(spark: SparkSession, corpus: str) -> tuple[DataFrame, DataFrame]:
+    """(agent, term, df) and (agent, n_docs, avgdl): the last state of every key."""
+    try:
+        log = spark.read.schema(TERM_COUNTS).parquet(f"{corpus}/terms")
+    except AnalysisException:
+        log = spark.createDataFrame([], TERM_COUNTS)
+    last = last_per_key(log, ["agent", "term"], [F.col("batch")])
+    figures = last.filter("term = ''").select("agent", F.col("df").alias("n_docs"), (F.col("tokens") / F.col("df")).alias("avgdl"))
+    return last.filter("term <> ''").select("agent", "term", "df"), figures

@@ -7,6 +7,8 @@ when retried, so a lost driver or executor never doubles a document.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -19,6 +21,7 @@ from marginalia.operators.topk import last_per_key
 from marginalia.session import checkpointed
 from marginalia.sources.files import DIRECT_SUFFIXES, PARSED_SUFFIXES, split_by_size
 from marginalia.sources.parsers import parse_files
+from marginalia.streaming.settled import SettledFiles
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
@@ -101,13 +104,36 @@ def ingest_batch(files: DataFrame, batch: int, corpus: str, ocr_mode: str = "off
     documents.unionByName(failed).write.mode("overwrite").parquet(f"{corpus}/documents/batch={batch}")
 
 
+def settled_files(spark: SparkSession, root: str, plans: str, settle: float) -> DataFrame:
+    """Names of files at collection/file that nothing has changed for ``settle`` seconds, as a stream."""
+    spark.dataSource.register(SettledFiles)
+    return spark.readStream.format("settled_files").option("plans", plans).option("settle", str(settle)).load(root)
+
+
+def with_contents(names: DataFrame) -> DataFrame:
+    """The named files as the binary source reads them, block by block of names."""
+    spark = names.sparkSession
+    parts = [spark.read.format("binaryFile").load([row["path"] for row in block]) for block in query_blocks(names.select("path"), PATH_BLOCK)]
+    if not parts:
+        return spark.createDataFrame([], FILE_SCHEMA)
+    return reduce(DataFrame.unionAll, parts)
+
+
 def run_staging(
-    spark: SparkSession, staging: str, corpus: str, checkpoint: str, ocr_mode: str = "off", ocr=None
+    spark: SparkSession, staging: str, corpus: str, checkpoint: str, ocr_mode: str = "off", ocr=None, settle: float | None = None
 ) -> StreamingQuery:
-    """Work off what is staged now, then stop; schedule it or loop as needed."""
+    """Work off what is staged now, then stop; schedule it or loop as needed.
+
+    ``settle`` leaves files alone until nothing has changed them for so many
+    seconds and takes only those at collection/file; without it every file
+    below the folder is taken as the binary source lists it.
+    """
+    if settle is None:
+        files, contents = staged_files(spark, staging), lambda batch: batch
+    else:
+        files, contents = settled_files(spark, staging, f"{corpus}/plans", settle), with_contents
     return (
-        staged_files(spark, staging)
-        .writeStream.foreachBatch(lambda batch, number: ingest_batch(batch, number, corpus, ocr_mode, ocr))
+        files.writeStream.foreachBatch(lambda batch, number: ingest_batch(contents(batch), number, corpus, ocr_mode, ocr))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
