@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -96,3 +97,40 @@ def test_nearly_all_rows_linked(frame):
     laws(rows, 16, docs)
     # 457 groups of seven in shards of 200 or 201 rows: 28 fit whole, so nine of them must be cut.
     assert len(cut_groups(rows, docs, 200)[0]) == 457 - 16 * 28
+
+
+def test_rounds_move_documents_to_their_neighbours(spark, frame):
+    names = ["hot"] * 900 + [f"group {i % 40}" for i in range(800)] + [f"pair {i % 200}" for i in range(400)]
+    part = random.Random(1).randrange
+    rows = [(bytearray(name.encode().ljust(16)), part(64)) for name in names]
+    rows += [(None, part(64)) for _ in range(300)]
+    nodes = frame(rows, "link binary, part int")
+    units, whole, pieces, cuts = sharding.label_groups(nodes, [300] * 8)
+    # Edges cut before the first round and after each: they only fall.
+    assert len(cuts) > 2 and all(a >= b for a, b in zip(cuts, cuts[1:])) and cuts[0] > 5000 and cuts[-1] == 0
+    labels = defaultdict(set)
+    for r in units.collect():
+        labels[bytes(r["link"])].add(r["label"])
+    assert all(len(v) == 1 for v in labels.values()) and len(labels) == 241
+    assert [sum(n for _, n in own) for own in pieces] == [900] and len(pieces[0]) == 3
+    assert sum(whole) == 1200 and max(whole) <= 300
+
+
+def test_the_rounds_are_joins(spark, frame, monkeypatch):
+    plans = []
+    real = sharding.kept
+
+    def noted(df, kind):
+        plans.append((kind, df._jdf.queryExecution().optimizedPlan().toString()))
+        return real(df, kind)
+
+    monkeypatch.setattr(sharding, "kept", noted)
+    groups = frame([(bytearray([i]), 4) for i in range(6)], "link binary, n long")
+    votes = frame([(bytearray([i]), s, 2) for i in range(6) for s in (i % 3, (i + 1) % 3)], "link binary, shard int, votes long")
+    outcome = sharding.propagate(groups, votes, [8, 8, 8])
+    assert sorted(Counter(r["shard"] for r in outcome.settled.collect()).items()) == [(0, 2), (1, 2), (2, 2)]
+    assert outcome.cut_edges[0] == 24 and outcome.cut_edges[-1] == 0 and not outcome.homeless
+    assert all("Join" in plan and "ArrowEval" not in plan for kind, plan in plans if kind == "wishes")
+    # Who moved has gone where neighbours were, as long as there was room.
+    first = {bytes(r["link"])[0]: r["shard"] for r in outcome.settled.collect()}
+    assert sum(first[i] in (i % 3, (i + 1) % 3) for i in range(6)) >= 4
