@@ -17,6 +17,7 @@ rows. Unlinked documents fill up what is left and make the counts exact.
 
 from __future__ import annotations
 
+import json
 from bisect import bisect_left, insort
 from dataclasses import dataclass
 
@@ -53,8 +54,12 @@ def _admitted(wishes: dict[tuple[int, int], int], room: list[int]) -> dict[tuple
 
 
 def _cells(spark, rows: list[tuple], schema: str) -> DataFrame:
-    """A side of at most shards x sizes rows, all of which the driver has just counted."""
-    return F.broadcast(spark.createDataFrame(rows, schema))
+    """A side of at most shards x sizes rows, all of which the driver has just counted; keys travel as hex text."""
+    names = [c.split()[0] for c in schema.split(", ")]
+    text = json.dumps([dict(zip(names, (v.hex() if isinstance(v, bytes) else v for v in row))) for row in rows])
+    held = F.from_json(F.lit(text), f"array<struct<{schema.replace('binary', 'string').replace(' ', ': ').replace(',:', ',')}>>")
+    cells = spark.range(0, 1, 1, 1).select(F.inline(held))
+    return F.broadcast(cells.withColumn("link", F.unhex("link")) if "link" in names else cells)
 
 
 def propagate(groups: DataFrame, votes: DataFrame, room: list[int]) -> Propagated:
@@ -141,7 +146,7 @@ def label_groups(nodes: DataFrame, quotas: list[int]) -> tuple[DataFrame, list[i
             room[s] = 0
             left -= q
         cut[bytes(row["link"])] = (own, left)
-    large = _cells(spark, [(bytearray(k), left) for k, (_, left) in cut.items()], "link binary, rest long")
+    large = _cells(spark, [(k, left) for k, (_, left) in cut.items()], "link binary, rest long")
     asked = groups.join(large, "link", "left").select("link", F.coalesce("rest", "n").alias("n")).filter("n > 0")
     outcome = propagate(asked, votes, room)
     for row in outcome.settled.join(large, "link", "left_semi").collect():
@@ -156,7 +161,7 @@ def label_groups(nodes: DataFrame, quotas: list[int]) -> tuple[DataFrame, list[i
             if r > n:
                 insort(free, (r - n, s))
             n -= min(n, r)
-    names = _cells(spark, [(bytearray(k), shards + i) for i, k in enumerate(cut)], "link binary, cut int")
+    names = _cells(spark, [(k, shards + i) for i, k in enumerate(cut)], "link binary, cut int")
     single = outcome.settled.join(names, "link", "left_anti")
     whole = [0] * shards
     for row in single.groupBy("shard").agg(F.sum("n").alias("n")).collect():

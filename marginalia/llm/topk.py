@@ -18,14 +18,20 @@ from pyspark.sql import functions as F
 
 from marginalia.operators.topk import top_k_per_group
 
+# A group has at most so many rows, and fewer where vectors are wide: a task holds two matrices of it.
 GROUP_ROWS = 1 << 17
+GROUP_CELLS = 1 << 23
 BUCKET_ROWS = 1024
 QUERY_ROWS = 256
 # Above this local cosine threshold single coordinates rule out enough rows.
 COORDINATE_FROM = 0.6
 FOCUS = 5
-# Products stay exact in doubles while squared lengths are below this.
+# Products stay exact in doubles while squared lengths are below this; rows
+# and queries beyond are answered in whole numbers, without pruning.
 EXACT = float(1 << 53)
+# Sums of products below this fit 64 bits; beyond, Python integers take over.
+NARROW = float(1 << 62)
+LOW, HIGH = -(1 << 63), (1 << 63) - 1
 
 LOCAL_SCHEMA = "_query long, query_id long, vec_id long, score long"
 
@@ -36,16 +42,26 @@ def quantized(vector: str, scale: int = 256):
     return F.when(~bad, F.transform(vector, lambda x: F.floor(F.lit(scale) * x.cast("double"))))
 
 
+def whole_products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Exact products of whole-number rows, held to the range of a long."""
+    bound = np.abs(left).max(initial=0) * float(np.abs(right).max(initial=0)) * left.shape[1]
+    if bound < NARROW:
+        return left @ right.T
+    return np.clip(left.astype(object) @ right.astype(object).T, LOW, HIGH).astype(np.int64)
+
+
 class Group:
-    """The vectors of one group in buckets of falling length."""
+    """The vectors of one group in buckets of falling length, very long ones apart."""
 
     def __init__(self, ids: np.ndarray, rows: list[np.ndarray], width: int):
-        matrix = np.zeros((len(ids), width))
+        whole = np.zeros((len(ids), width), np.int64)
         for i, row in enumerate(rows):
-            matrix[i, : len(row)] = row
+            whole[i, : len(row)] = row
+        matrix = whole.astype(np.float64)
         squares = np.einsum("ij,ij->i", matrix, matrix)
-        if len(squares) and squares.max() >= EXACT:
-            raise ValueError("vectors are too long for exact integer products")
+        far = squares >= EXACT
+        self.far_ids, self.far = ids[far], whole[far]
+        ids, matrix, squares = ids[~far], matrix[~far], squares[~far]
         order = np.lexsort((ids, -squares))
         self.ids, self.matrix, self.norms = ids[order], matrix[order], np.sqrt(squares[order])
         self.buckets = []
@@ -55,31 +71,40 @@ class Group:
             unit = self.matrix[a:b] / np.where(norms > 0, norms, 1.0)[:, None]
             self.buckets.append((a, b, norms[0], np.ascontiguousarray(unit.T)))
 
-    def search(self, own: np.ndarray, block: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Per query of the block: the best ids and scores of this group."""
+    def search(self, own: np.ndarray, whole: np.ndarray, far: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Per query of the block: the best ids and scores of this group. ``far`` marks very long queries."""
+        block = np.where(far[:, None], 0, whole).astype(np.float64)
         norms = np.sqrt(np.einsum("ij,ij->i", block, block))
-        best = [(np.empty(0), np.empty(0, np.int64)) for _ in own]
+        best = [(np.empty(0, np.int64), np.empty(0, np.int64)) for _ in own]
         least = np.full(len(own), -np.inf)
 
         def offer(j: int, scores: np.ndarray, ids: np.ndarray) -> None:
             fit = (scores >= least[j]) & (ids != own[j])
             if not fit.any():
                 return
-            scores, ids = scores[fit], ids[fit]
+            # Scores that came as doubles are whole numbers below 2**53.
+            scores, ids = scores[fit].astype(np.int64), ids[fit]
             if len(scores) > 4 * k:
                 # Ties with the k-th score must stay for the order by id.
                 fit = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
                 scores, ids = scores[fit], ids[fit]
             scores = np.concatenate([best[j][0], scores])
             ids = np.concatenate([best[j][1], ids])
-            order = np.lexsort((ids, -scores))[:k]
+            # The complement falls as a score rises and exists for every long.
+            order = np.lexsort((ids, ~scores))[:k]
             best[j] = (scores[order], ids[order])
             if len(order) == k:
                 least[j] = scores[order[-1]]
 
+        if len(self.far):
+            for j, row in enumerate(whole_products(whole, self.far)):
+                offer(j, row, self.far_ids)
+        for j in np.flatnonzero(far):
+            for a, b, _, _ in self.buckets:
+                offer(j, whole_products(whole[j : j + 1], self.matrix[a:b].astype(np.int64))[0], self.ids[a:b])
         for a, b, longest, unit in self.buckets:
             bound = longest * norms
-            alive = least <= bound * (1 + 1e-9)
+            alive = ~far & (least <= bound * (1 + 1e-9))
             if not alive.any():
                 continue
             with np.errstate(divide="ignore", invalid="ignore"):
@@ -116,7 +141,7 @@ def _search(k: int):
             asks = batch.column("_query").to_numpy(zero_copy_only=False)
             own = batch.column("_id").to_numpy(zero_copy_only=False)
             ends = batch.column("_vector").offsets.to_numpy()
-            flat = batch.column("_vector").values.to_numpy(zero_copy_only=False).astype(np.float64)
+            flat = batch.column("_vector").values.to_numpy(zero_copy_only=False)
             a = 0
             while a < len(part):
                 b = a + int(np.searchsorted(part[a:], part[a], side="right"))
@@ -132,16 +157,14 @@ def _search(k: int):
                         group = Group(every, rows, max([0, *map(len, rows)]))
                         rows = []
                     span = range(first, min(first + QUERY_ROWS, b))
-                    block = np.zeros((len(span), group.matrix.shape[1]))
-                    full = np.zeros(len(span))
+                    block = np.zeros((len(span), group.matrix.shape[1]), np.int64)
+                    far = np.zeros(len(span), bool)
                     for j, i in enumerate(span):
                         vector = flat[ends[i] : ends[i + 1]]
-                        full[j] = vector @ vector
+                        far[j] = vector.astype(np.float64) @ vector.astype(np.float64) >= EXACT
                         cut = vector[: block.shape[1]]
                         block[j, : len(cut)] = cut
-                    if full.max() >= EXACT:
-                        raise ValueError("queries are too long for exact integer products")
-                    out = [(asks[span[j]], own[span[j]], i, s) for j, s, i in group.search(own[span], block, k)]
+                    out = [(asks[span[j]], own[span[j]], i, s) for j, s, i in group.search(own[span], block, far, k)]
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(np.concatenate([np.full(len(i), q, np.int64) for q, _, i, _ in out])),
@@ -164,10 +187,12 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "v
     NULL id or vector take no part. Vectors of unlike lengths are compared over
     the components both have. A repeated candidate row counts each time; a
     repeated query row is answered each time. Ties go to the smaller id.
+    Very long vectors are compared exactly in whole numbers; a product beyond
+    the range of a long counts as its end.
     Result: query_id, rank, vec_id, score; queries without candidates are absent.
 
-    Each candidate is shuffled once. Queries are copied to every group of
-    GROUP_ROWS candidates, and a group streams past them in blocks, so memory
+    Each candidate is shuffled once. Queries are copied to every group of at
+    most GROUP_ROWS candidates and about GROUP_CELLS components, and a group streams past them in blocks, so memory
     is one group and one block whatever the number of either.
     """
     if k < 1:
@@ -179,7 +204,8 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "v
             F.col("_id").isNotNull() & F.col("_vector").isNotNull() & ~F.exists("_vector", lambda x: x.isNull())
         )
 
-    groups = max(context.defaultParallelism, -(-vectors.count() // GROUP_ROWS))
+    sizes = vectors.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.greatest(F.size(vector_col), F.lit(0)).cast("long")).alias("cells")).first()
+    groups = max(context.defaultParallelism, -(-sizes["rows"] // GROUP_ROWS), -(-(sizes["cells"] or 0) // GROUP_CELLS))
     rows = narrow(vectors).select(
         F.pmod(F.monotonically_increasing_id(), F.lit(groups)).alias("_group"), F.lit(-1).cast("long").alias("_query"), "_id", "_vector"
     )

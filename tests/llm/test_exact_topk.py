@@ -73,3 +73,19 @@ def test_many_groups(frame, monkeypatch):
     df = frame(rows, "vec_id long, embedding array<long>")
     got = topk.exact_top_k(df, df.filter("vec_id % 50 = 0"), 3).collect()
     assert sorted(map(tuple, got)) == brute(rows, [r for r in rows if r[0] % 50 == 0], 3)
+
+
+def test_very_long_vectors_are_exact(frame):
+    rng = np.random.default_rng(8)
+    rows = [(i, [int(v) for v in rng.normal(0, 50, 4)]) for i in range(200)]
+    # 1e6 quantised by 256, lengths next to each other beyond 2**53, and products beyond a long.
+    rows += [(1000, [256_000_000, 1, 0, 0]), (1001, [256_000_000, 0, 0, 1]), (1050, [256_000_001, 3, 1, 0]), (1100, [-256_000_000, 7, 7, 7])]
+    rows += [(1150, [1 << 40, 1, 1, 1]), (1200, [-(1 << 40), 5, 1, 1]), (1250, [(1 << 62), 0, 0, 3])]
+    df = frame(rows, "vec_id long, embedding array<long>")
+    queries = [r for r in rows if r[0] % 50 == 0]
+    got = sorted(map(tuple, topk.exact_top_k(df, df.filter("vec_id % 50 = 0"), 5).collect()))
+    want = []
+    for q, x in queries:
+        scored = sorted((-max(topk.LOW, min(topk.HIGH, sum(a * b for a, b in zip(x, y)))), i) for i, y in rows if i != q)
+        want += [(q, rank + 1, i, -s) for rank, (s, i) in enumerate(scored[:5])]
+    assert got == sorted(want)
