@@ -55,18 +55,74 @@ def _escaped(char: Column) -> Column:
     )
 
 
-def yaml_text(value: Column) -> Column:
-    """A string as a one-line YAML scalar: plain, single or double quoted.
+# The emitter breaks a line at the first chance beyond this column, and indents what follows.
+WIDTH = 80
+INDENT = 2
 
-    Nothing is folded: long scalars stay on one line, and a text with line
-    breaks is double quoted."""
-    double = F.concat(F.lit('"'), F.array_join(F.transform(F.split(value, ""), _escaped), ""), F.lit('"'))
-    single = F.concat(F.lit("'"), F.replace(value, F.lit("'"), F.lit("''")), F.lit("'"))
+
+def _column(column: int | Column) -> Column:
+    return F.lit(column) if isinstance(column, int) else column
+
+
+def _folded(value: Column, column: int | Column, indent: int) -> Column:
+    """Break at single spaces where the line is past the width already; the reader turns a break into a space."""
+    begin = F.struct(F.lit("").alias("out"), _column(column).alias("column"))
+
+    def add(state: Column, piece: Column) -> Column:
+        broken = (piece == " ") & (state["column"] > WIDTH)
+        out = F.when(broken, F.lit("\n" + " " * indent)).otherwise(piece)
+        return F.struct(
+            F.concat(state["out"], out).alias("out"), F.when(broken, F.lit(indent)).otherwise(state["column"] + F.length(piece)).alias("column")
+        )
+
+    pieces = F.regexp_extract_all(value, F.lit("([^ ]+ +$|[^ ]+| +)"), F.lit(1))
+    return F.aggregate(pieces, begin, add, lambda state: state["out"])
+
+
+def _folded_double(value: Column, column: int | Column, indent: int) -> Column:
+    """Inside double quotes a backslash ends a broken line, and another one keeps a space that follows."""
+    chars = F.split(value, "")
+    # One row per character: itself, as it is written, and what follows (NULL for the last).
+    pairs = F.arrays_zip(chars.alias("char"), F.slice(chars, F.lit(2), F.length(value)).alias("next"))
+    steps = F.transform(
+        pairs, lambda pair, at: F.struct(pair["char"].alias("char"), _escaped(pair["char"]).alias("code"), pair["next"].alias("next"), at.alias("at"))
+    )
+    begin = F.struct(F.lit("").alias("out"), F.lit(0).alias("open"), (_column(column) + 1).alias("column"))
+
+    def add(state: Column, step: Column) -> Column:
+        char, code = step["char"], step["code"]
+        special = code != char
+        # Characters since the last escape or break are not counted into the column yet.
+        reached = state["column"] + state["open"] + F.when(special, F.length(code)).otherwise(0)
+        chance = (step["at"] > 0) & step["next"].isNotNull() & ((char == " ") | special | (state["open"] == 0))
+        # After an escape the emitter's width counts one less.
+        broken = chance & (reached - F.when(special, 1).otherwise(0) > WIDTH)
+        kept = F.when(F.when(special, step["next"]).otherwise(char) == " ", F.lit("\\")).otherwise(F.lit(""))
+        line = F.concat(F.lit("\\\n" + " " * indent), kept)
+        out = F.when(broken & special, F.concat(code, line)).when(broken, F.concat(line, code)).otherwise(code)
+        return F.struct(
+            F.concat(state["out"], out).alias("out"),
+            F.when(special, 0).when(broken, 1).otherwise(state["open"] + 1).alias("open"),
+            F.when(broken, F.lit(indent) + F.length(kept)).when(special, reached).otherwise(state["column"]).alias("column"),
+        )
+
+    return F.aggregate(steps, begin, add, lambda state: state["out"])
+
+
+def yaml_text(value: Column, column: int | Column = 0, indent: int = INDENT) -> Column:
+    """A string as a YAML scalar: plain, single or double quoted.
+
+    Long scalars are folded as an emitter of width 80 does that starts at
+    ``column``; lines after the first are indented. A text with line breaks is
+    double quoted."""
+    double = F.concat(F.lit('"'), _folded_double(value, column, indent), F.lit('"'))
+    doubled = F.replace(value, F.lit("'"), F.lit("''"))
+    single = F.concat(F.lit("'"), _folded(doubled, column + 1, indent), F.lit("'"))
     return (
         F.when(value.isNull(), "null")
         .when(value.rlike(r"[^\x20-\x7E]"), double)
         .when(value.rlike(NOT_TEXT) | value.rlike(NEEDS_QUOTES), single)
-        .otherwise(value)
+        .otherwise(_folded(value, column, indent))
     )
 
 
@@ -129,7 +185,9 @@ def _unescaped(piece: Column) -> Column:
 
 
 def unquote(value: Column) -> Column:
-    """Text of a plain or quoted scalar as written by :func:`yaml_text`."""
+    """Text of a plain or quoted scalar as written by :func:`yaml_text`, folded or not."""
+    whole = F.regexp_replace(F.regexp_replace(value, r"\\\n +\\(?= )", ""), r"\\\n +", "")
+    value = F.when(value.startswith('"'), whole).otherwise(F.regexp_replace(value, r"\n +", " "))
     inner = F.regexp_extract(value, r"^(?:'|\")(.*)(?:'|\")$", 1)
     pieces = F.regexp_extract_all(
         inner, F.lit(r"\\U[0-9A-F]{8}|\\u[0-9A-F]{4}|\\x[0-9A-F]{2}|\\.|[^\\]+"), F.lit(0)
@@ -145,7 +203,7 @@ def unquote(value: Column) -> Column:
 def _mapping(name: str, entries: Column) -> Column:
     """Block mapping of a map column, in the map's own order."""
     lines = F.transform(
-        F.map_entries(entries), lambda e: F.concat(F.lit("  "), e["key"], F.lit(": "), yaml_text(e["value"]))
+        F.map_entries(entries), lambda e: F.concat(F.lit("  "), e["key"], F.lit(": "), yaml_text(e["value"], F.length(e["key"]) + 4, 2 * INDENT))
     )
     listed = F.concat(F.lit(f"{name}:\n"), F.array_join(lines, "\n"))
     return F.when(F.size(lines) > 0, listed).otherwise(f"{name}: {{}}")
@@ -166,15 +224,15 @@ def render_meta(
     empty list and an empty agent are not written."""
     stamp = F.date_format(created_utc, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
     lines = [
-        _line("doc_id", yaml_text(doc_id)),
-        _line("slug", yaml_text(slug)),
-        _line("orig_name", yaml_text(orig_name)),
-        _line("created_utc", yaml_text(stamp)),
+        _line("doc_id", yaml_text(doc_id, 8)),
+        _line("slug", yaml_text(slug, 6)),
+        _line("orig_name", yaml_text(orig_name, 11)),
+        _line("created_utc", yaml_text(stamp, 13)),
     ]
     if collections is not None:
-        kept = F.transform(valid_collections(collections), lambda c: F.concat(F.lit("- "), yaml_text(c)))
+        kept = F.transform(valid_collections(collections), lambda c: F.concat(F.lit("- "), yaml_text(c, 2)))
         lines.append(F.when(F.size(kept) > 0, F.concat(F.lit("collections:\n"), F.array_join(kept, "\n"))))
     if source_agent is not None:
-        lines.append(F.when(source_agent != "", _line("source_agent", yaml_text(source_agent))))
+        lines.append(F.when(source_agent != "", _line("source_agent", yaml_text(source_agent, 14))))
     lines += [_mapping("tooling", tooling), _mapping("params", params), _mapping("hashes", hashes)]
     return F.concat(F.concat_ws("\n", *lines), F.lit("\n"))

@@ -157,3 +157,47 @@ def test_tool_call_shapes(spark):
 def test_display_names(spark):
     values = ["corp-dev-friendly", "ceo", "ip-counsel", "QA-lead"]
     assert apply(spark, text.display_name, values) == ["Corp Dev Friendly", "CEO", "IP Counsel", "QA Lead"]
+
+
+LONG = [
+    "plain words " * 20 + "end",
+    "it's: quoted " + "and long, quite long indeed " * 8,
+    "caf\u00e9 " * 30 + "end",
+    "\u4e2d\u6587" * 40,
+    "a" * 100 + " " + "b" * 100 + "  two spaces " + "c" * 90 + " d",
+    "line\nbreak " * 15,
+    "tab\there " + "x" * 80 + " \u00e9 yy " + "z" * 70 + "\u00e9 q",
+    " leading " + "w" * 90 + " trailing ",
+]
+
+
+def test_long_yaml_scalars_are_folded(spark):
+    got = apply(spark, yaml_text.yaml_text, LONG)
+    assert apply(spark, yaml_text.unquote, got) == LONG
+    words = "plain words plain words plain words plain words plain words plain words plain words"
+    assert got[0].split("\n")[:2] == [words, "  " + words]
+    assert got[2].split("\n")[0] == '"' + "caf\\xE9 " * 10 + "caf\\xE9\\"
+
+
+def test_folded_scalars_equal_the_library(spark):
+    import random
+
+    yaml = pytest.importorskip("yaml")
+    rng = random.Random(7)
+    letters = ["word", "a", "longer-word", "it's", "caf\u00e9", "x" * 30, " ", "\u00fc", "q: r", "\U0001f600"]
+    values = LONG + [" ".join(rng.choices(letters, k=rng.randrange(1, 60))) for _ in range(150)]
+
+    def dumped(value):
+        out = yaml.safe_dump(value, default_flow_style=True, allow_unicode=False).strip()
+        return out[:-3].strip() if out.endswith("...") else out
+
+    values = [v for v in values if "\n" not in v]
+    assert apply(spark, yaml_text.yaml_text, values) == [dumped(v) for v in values]
+    mapped = spark.createDataFrame([(v,) for v in values], "v string").select(
+        yaml_text.render_meta(F.col("v"), F.lit("s"), F.col("v"), F.lit("2024-01-01").cast("timestamp"), F.create_map(F.lit("some_key"), F.col("v")), *[F.create_map(F.lit("k"), F.lit("x"))] * 2)
+    )
+    for v, (text,) in zip(values, mapped.collect()):
+        stamp = "2024-01-01T00:00:00+00:00"
+        inner = {"some_key": v}
+        want = {"doc_id": v, "slug": "s", "orig_name": v, "created_utc": stamp, "tooling": inner, "params": {"k": "x"}, "hashes": {"k": "x"}}
+        assert text == yaml.safe_dump(want, default_flow_style=False, sort_keys=False, allow_unicode=False)
