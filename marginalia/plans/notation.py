@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marginalia.functions import formulas as fx
 from marginalia.functions.text import tokenize
-from marginalia.operators import formulas, music
+from marginalia.operators import formulas, harmony, music
 from marginalia.plans.registry import query, table, texts
 from marginalia.plans.relations import TOKEN_SQL
 
@@ -348,19 +348,97 @@ def music_characteristics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return music.characteristics(_music(spark, sf_dir))
 
 
+def _profile_rows() -> str:
+    return ", ".join(f"('{mode}', {place}, {i}, {x})" for place, (mode, rates) in enumerate(harmony.PROFILES.items()) for i, x in enumerate(rates))
+
+
+# Three voices: every third element of a document sounds after the last one of its voice.
+KEYS_SQL = f"""
+mn AS (
+  SELECT *, coalesce(sum(d) OVER (PARTITION BY doc_id, pos % 3 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b
+  FROM el WHERE et IN ('note', 'rest')
+),
+hn AS (
+  SELECT doc_id, ((CASE letter WHEN 'C' THEN 0 WHEN 'D' THEN 2 WHEN 'E' THEN 4 WHEN 'F' THEN 5 WHEN 'G' THEN 7 WHEN 'A' THEN 9 ELSE 11 END)
+         + CASE acc WHEN '#' THEN 1 WHEN 'b' THEN -1 ELSE 0 END + 12) % 12 AS pc, b, b + d AS e FROM mn WHERE et = 'note'
+),
+rated(mode, mp, degree, x) AS (VALUES {_profile_rows()}),
+centred AS (SELECT *, x::DOUBLE - avg(x::DOUBLE) OVER (PARTITION BY mode) AS c FROM rated),
+profile AS (SELECT *, c / sqrt(sum(c * c) OVER (PARTITION BY mode)) AS r FROM centred),
+keys24 AS (SELECT mode, t AS tonic, 12 * mp + t AS place, (t + degree) % 12 AS pc, r FROM profile, range(12) u(t)),
+wt AS (SELECT doc_id, pc, sum(e - b) AS w FROM hn GROUP BY doc_id, pc),
+ln AS (SELECT doc_id, sqrt(greatest(0, sum(w * w) - sum(w) * sum(w) / 12)) AS l FROM wt GROUP BY doc_id),
+fits AS (
+  SELECT doc_id, mode, tonic, place, CASE WHEN l > 1e-9 THEN round(sum(w * r) / l, 9) ELSE 0 END AS fit
+  FROM wt JOIN keys24 USING (pc) JOIN ln USING (doc_id) GROUP BY doc_id, mode, tonic, place, l
+),
+keyed AS (
+  SELECT doc_id, mode, tonic, fit, CASE mode WHEN 'major' THEN {list(harmony.TONICS["major"])} ELSE {list(harmony.TONICS["minor"])} END[tonic + 1] AS name
+  FROM fits QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY fit DESC, place) = 1
+)"""
+
+CHORDS_SQL = f"""
+cut AS (SELECT DISTINCT doc_id, unnest([b, e]) AS s FROM hn),
+stretch AS (SELECT doc_id, s, lead(s) OVER (PARTITION BY doc_id ORDER BY s) AS t FROM cut),
+son AS (
+  SELECT x.doc_id, s, list_sort(list_distinct(list(pc))) AS cl FROM stretch x JOIN hn ON hn.doc_id = x.doc_id AND hn.b <= s AND hn.e > s
+  WHERE t IS NOT NULL GROUP BY x.doc_id, s
+),
+tri AS (
+  SELECT list_sort([r, (r + p) % 12, (r + q) % 12]) AS cl, min(r) AS root, mark, up
+  FROM range(12) u(r), (VALUES (4, 7, '', true), (3, 7, '', false), (3, 6, 'o', false), (4, 8, '+', true)) y(p, q, mark, up) GROUP BY cl, mark, up
+),
+figured AS (
+  SELECT doc_id, s, CASE WHEN up THEN deg ELSE lower(deg) END || mark AS num FROM (
+    SELECT son.doc_id, s, up, mark,
+           CASE mode WHEN 'major' THEN {list(harmony.DEGREES["major"])} ELSE {list(harmony.DEGREES["minor"])} END[(root - tonic + 12) % 12 + 1] AS deg
+    FROM son JOIN tri ON list_transform(son.cl, lambda z: z::BIGINT) = tri.cl JOIN keyed ON keyed.doc_id = son.doc_id)
+),
+changed AS (SELECT *, lag(num) OVER (PARTITION BY doc_id ORDER BY s) AS last FROM figured),
+kept AS (SELECT doc_id, num, row_number() OVER (PARTITION BY doc_id ORDER BY s) AS n FROM changed WHERE num IS DISTINCT FROM last),
+chords AS (SELECT doc_id, string_agg(num, ' - ' ORDER BY n) AS progression FROM kept WHERE n <= 8 GROUP BY doc_id)"""
+
+
+def _voices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notes of three voices with their onsets."""
+    voice = Window.partitionBy("doc_id", F.pmod("pos", F.lit(3))).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    sounding = _music(spark, sf_dir).filter(F.col("element_type").isin(*music.SOUNDING))
+    placed = sounding.withColumn("onset", F.coalesce(F.sum("duration").over(voice), F.lit(0.0)))
+    return placed.filter("element_type = 'note'").select("doc_id", "pitch", "onset", "duration")
+
+
+@query("music_keys", f"WITH {MUSIC_SQL}, {KEYS_SQL} SELECT doc_id, name AS tonic, mode, round(fit, 6) AS fit FROM keyed")
+def music_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of 24 keys the one whose profile agrees best with a document's pitch classes."""
+    return harmony.keys_of(_voices(spark, sf_dir)).withColumn("fit", F.round("fit", 6))
+
+
+@query(
+    "music_progressions",
+    f"WITH {MUSIC_SQL}, {KEYS_SQL}, {CHORDS_SQL} SELECT doc_id, coalesce(progression, 'I') AS progression FROM keyed LEFT JOIN chords USING (doc_id)",
+)
+def music_progressions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numerals of the triads that three voices form, in order."""
+    notes = _voices(spark, sf_dir)
+    found = harmony.progressions(notes, harmony.keys_of(notes))
+    return found.select("doc_id", F.array_join("chords", " - ").alias("progression"))
+
+
 @query(
     "music_description",
     f"""
-WITH {MUSIC_SQL}, {RHYTHM_SQL}, {CHARACTER_SQL},
+WITH {MUSIC_SQL}, {RHYTHM_SQL}, {CHARACTER_SQL}, {KEYS_SQL}, {CHORDS_SQL},
 opened AS (SELECT doc_id, arg_min(ts, pos) FILTER (et = 'time_sig') AS first_ts FROM el GROUP BY doc_id)
-SELECT s.doc_id, 'Music phrase in C major, ' || coalesce(first_ts, '4/4') || ' time signature. Harmonic progression: I. Rhythmic pattern: '
+SELECT s.doc_id, 'Music phrase in ' || coalesce(name, 'C') || ' ' || coalesce(mode, 'major') || ', ' || coalesce(first_ts, '4/4')
+  || ' time signature. Harmonic progression: ' || coalesce(progression, 'I') || '. Rhythmic pattern: '
   || coalesce(rhythm, 'no rhythmic content') || '. Musical characteristics: ' || coalesce(characteristics, 'simple melody') || '.' AS description
 FROM summ s JOIN opened USING (doc_id) LEFT JOIN rhythm USING (doc_id) LEFT JOIN traits USING (doc_id)
+LEFT JOIN keyed USING (doc_id) LEFT JOIN chords USING (doc_id)
 """,
 )
 def music_description(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sentence used to embed a piece; key and harmony keep their defaults."""
-    return music.describe(_music(spark, sf_dir))
+    """Sentence used to embed a piece, with the key and the chords of its voices."""
+    return music.describe(_music(spark, sf_dir), harmony.analysis(_voices(spark, sf_dir)))
 
 
 @query(
