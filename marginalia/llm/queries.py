@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,6 +73,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_token_ids")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text as Simple-8b coded token ids, read back from the files."""
+    # Only this query needs the vocabulary files.
+    import public_tokenizers
+
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return tokens.read_ids(tokens.write_ids(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
