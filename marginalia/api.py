@@ -12,14 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginalia.functions.citations import citation_prefix
-from marginalia.functions.text import is_blank
 from marginalia.functions import hashing
+from marginalia.functions.citations import citation_prefix
+from marginalia.functions.text import is_blank, join_blocks, normalize_markdown, slugify
 from marginalia.operators import agents, bm25, elements, evaluation, hybrid, models, provenance, splitter, staleness
 from marginalia.operators.dense import search_dense
-from marginalia.operators.topk import join_hits, number_rows
+from marginalia.operators.topk import first_per_key, join_hits, number_rows
 from marginalia.session import checkpointed
-from marginalia.sources import store
+from marginalia.sources import files, parsers, store
 
 
 # Parts of a stored index beyond which an update writes it anew.
@@ -147,6 +147,40 @@ def update_agent(
     return plan
 
 
+def ingest_files(
+    spark: SparkSession,
+    folder: str,
+    agent: str,
+    root: str,
+    embedder: Callable,
+    config: splitter.ChunkConfig = splitter.ChunkConfig(),
+    ocr_mode: str = "auto",
+    ocr: Callable | None = None,
+) -> DataFrame:
+    """Parse the files below ``folder`` and bring the agent's indexes up to date.
+
+    Returns path, status, error, doc_id, change and action: failed files keep
+    their error, files that are too large to be read are listed as failed, and
+    of files with one content the first path counts (the others are duplicates).
+    """
+    found = files.read_files(spark, folder, files.PARSED_SUFFIXES + files.DIRECT_SUFFIXES)
+    small, large = files.split_by_size(found)
+    read = parsers.parse_files(small, ocr_mode, ocr)
+    text = normalize_markdown(join_blocks(F.col("elements")))
+    # Parsed (and OCRed) once.
+    parsed = checkpointed(read.select("path", "name", "file_sha1", "typed", "status", "error", hashing.sha1(text).alias("doc_id")))
+    good = first_per_key(parsed.filter("status = 'success'"), ["doc_id"], [F.col("path")])
+    documents = good.select(
+        "doc_id", slugify(F.regexp_replace("name", r"\.[^.]*$", "")).alias("slug"), F.col("name").alias("source"), "file_sha1"
+    )
+    plan = update_agent(documents, agent, root, embedder, config, parsed=parsers.typed_elements(good))
+    chosen = good.select("path", "doc_id").join(plan, "doc_id", "left")
+    outcome = parsed.drop("doc_id").join(chosen, "path", "left").select("path", "status", "error", "doc_id", "change", "action")
+    done = outcome.withColumn("action", F.when((F.col("status") == "success") & F.col("doc_id").isNull(), "duplicate").otherwise(F.col("action")))
+    nothing = [F.lit(None).cast("string").alias(c) for c in ("doc_id", "change", "action")]
+    return done.unionByName(large.select("path", "status", "error", *nothing))
+
+
 def _worn(spark: SparkSession, vectors: str, compact_from: float) -> bool:
     held = store.snapshot(spark, vectors)
     total = store.read_vectors(spark, vectors, check=False).count()

@@ -14,15 +14,17 @@ from pyspark.sql.utils import AnalysisException
 
 from marginalia.functions import hashing
 from marginalia.functions.text import is_blank, tokenize
-from marginalia.operators import bm25, models, splitter
+from marginalia.operators import bm25, elements, models, provenance, splitter
 from marginalia.operators.topk import last_per_key, number_rows
 from marginalia.session import checkpointed
 from marginalia.sources import store
+from marginalia.sources.parsers import TYPED, typed_elements
 from marginalia.streaming.staging import DOCUMENT_SCHEMA, current_documents
 
 VECTOR_SCHEMA = (
     "embedding_index long, chunk_id string, doc_id string, slug string, collection string, file_sha1 string, "
-    "chunk_index int, char_start int, char_end int, content_hash string, text string, embedding array<float>, batch long"
+    "chunk_index int, char_start int, char_end int, content_hash string, page_start int, page_end int, section_heading string, "
+    "text string, embedding array<float>, batch long"
 )
 
 
@@ -36,10 +38,21 @@ def vectors_log(spark: SparkSession, corpus: str) -> DataFrame:
 def index_batch(documents: DataFrame, batch: int, corpus: str, embedder, config=splitter.ChunkConfig()) -> None:
     """Split and embed one micro-batch, numbered behind all earlier batches."""
     spark = documents.sparkSession
-    fresh = documents.filter("status = 'success'").select(
-        "doc_id", "slug", "collection", "file_sha1", F.col("markdown").alias("text")
+    good = documents.filter("status = 'success'")
+    known = F.col("typed") if "typed" in documents.columns else F.lit(None).cast(TYPED)
+    # Within a batch two files may have one content; blocks are told apart by slug as well.
+    fresh = good.select(F.concat_ws("/", "slug", "doc_id").alias("key"), "doc_id", "slug", "collection", "file_sha1", "markdown", known.alias("typed"))
+    named = fresh.select(F.col("key").alias("doc_id"), "typed", F.col("markdown").alias("text"))
+    rows = typed_elements(named.filter(F.size("typed") > 0)).unionByName(
+        elements.text_elements(named.filter(F.coalesce(F.size("typed"), F.lit(-1)) <= 0).select("doc_id", "text"))
     )
-    chunks = splitter.split_documents(fresh, config).select(
+    formatted = checkpointed(elements.format_documents(rows, documents=named.select("doc_id")))
+    bodies = fresh.drop("markdown", "typed").join(formatted.select(F.col("doc_id").alias("key"), F.col("markdown").alias("text")), "key")
+    pieces = splitter.split_documents(bodies, config)
+    spans = pieces.select(F.col("key").alias("doc_id"), "chunk_index", "char_start", "char_end")
+    traced = provenance.add_provenance(spans, formatted.select("doc_id", F.inline("elements")))
+    places = traced.select(F.col("doc_id").alias("key"), "chunk_index", "page_start", "page_end", "section_heading")
+    chunks = pieces.join(places, ["key", "chunk_index"]).select(
         "*",
         hashing.chunk_id(F.col("doc_id"), F.col("chunk_index")).alias("chunk_id"),
         hashing.chunk_hash(F.col("text"), skip_front_matter=False).alias("content_hash"),

@@ -20,7 +20,7 @@ from marginalia.operators.dense import query_blocks
 from marginalia.operators.topk import last_per_key
 from marginalia.session import checkpointed
 from marginalia.sources.files import DIRECT_SUFFIXES, PARSED_SUFFIXES, split_by_size
-from marginalia.sources.parsers import parse_files
+from marginalia.sources.parsers import TYPED, parse_files
 from marginalia.streaming.settled import SettledFiles
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
@@ -33,7 +33,7 @@ OCR_BATCHES = 1_000_000_000_000
 
 DOCUMENT_SCHEMA = (
     "doc_id string, slug string, source string, collection string, file_sha1 string, content_hash string, "
-    "markdown string, status string, error string, batch long"
+    f"markdown string, typed {TYPED}, status string, error string, batch long"
 )
 
 
@@ -72,7 +72,7 @@ def ingest_batch(files: DataFrame, batch: int, corpus: str, ocr_mode: str = "off
     small, large = split_by_size(measured.filter(F.col("suffix").isin(*PARSED_SUFFIXES, *DIRECT_SUFFIXES)))
     read = parse_files(small, ocr_mode, ocr).withColumn("markdown", text.normalize_markdown(text.join_blocks(F.col("elements"))))
     # Parsed (and OCRed) once, although the routes need it before the documents do.
-    parsed = checkpointed(read.select("path", "name", "file_sha1", "markdown", "status", "error"))
+    parsed = checkpointed(read.select("path", "name", "file_sha1", "markdown", "typed", "status", "error"))
     lengths = parsed.select("path", F.coalesce(F.length("markdown"), F.lit(0)).alias("text_length"))
     sized = measured.select("path", "length").join(lengths, "path", "left").fillna(0, ["text_length"])
     earlier = documents_log(spark, corpus).filter((F.col("batch") < batch) & (F.col("status") == "success"))
@@ -89,6 +89,7 @@ def ingest_batch(files: DataFrame, batch: int, corpus: str, ocr_mode: str = "off
         "file_sha1",
         hashing.content_hash(F.col("markdown")).alias("content_hash"),
         "markdown",
+        "typed",
         "status",
         "error",
     )
@@ -98,6 +99,7 @@ def ingest_batch(files: DataFrame, batch: int, corpus: str, ocr_mode: str = "off
         F.col("name").alias("source"),
         "collection",
         *[F.lit(None).cast("string").alias(c) for c in ("file_sha1", "content_hash", "markdown")],
+        F.lit(None).cast(TYPED).alias("typed"),
         "status",
         "error",
     )
@@ -169,6 +171,7 @@ def retry_ocr(spark: SparkSession, corpus: str, batch: int, ocr) -> None:
             "file_sha1",
             hashing.content_hash(F.col("markdown")).alias("content_hash"),
             "markdown",
+            "typed",
             "status",
             "error",
         ).write.mode("append").parquet(f"{corpus}/documents/batch={OCR_BATCHES + batch}")

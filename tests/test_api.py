@@ -111,3 +111,37 @@ def test_musicxml(spark):
     </part></score-partwise>"""
     elements = musicxml_elements(spark.createDataFrame([("p", xml)], "doc_id string, xml string"))
     assert music.to_abc(elements).first()["abc"] == "X:1\nT:Untitled\nM:3/4\nL:1/4\nK:G\n^Fz2|c/2|\n"
+
+
+def write_docx(path, paragraphs):
+    import zipfile
+
+    word = 'xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main"'
+    body = "".join(f'<w:p><w:pPr><w:pStyle w:val="{style}"/></w:pPr><w:r><w:t>{text}</w:t></w:r></w:p>' for style, text in paragraphs)
+    with zipfile.ZipFile(path, "w") as archive:
+        archive.writestr("word/document.xml", f"<w:document {word}><w:body>{body}</w:body></w:document>")
+
+
+def test_files_are_cited_by_page_and_section(spark, tmp_path):
+    folder, root = tmp_path / "in", str(tmp_path / "corpus")
+    folder.mkdir()
+    write_docx(folder / "Guide.docx", [("Heading1", "Methods"), ("Heading2", "Bootstrap"), ("Normal", "resampling with replacement")])
+    (folder / "scan.pdf").write_bytes(b"%PDF scan")
+    (folder / "copy.md").write_bytes(b"plain words\n")
+    (folder / "same.md").write_bytes(b"plain words\n")
+    (folder / "bad.epub").write_bytes(b"no archive")
+
+    def ocr(content):
+        return [("Results", "Title", 7, 0), ("coverage of intervals", "NarrativeText", 8, None)]
+
+    embed = models.digest_embedder(16)
+    outcome = {r["path"].rsplit("/", 1)[1]: r for r in api.ingest_files(spark, str(folder), "f", root, embed, ocr_mode="on", ocr=ocr).collect()}
+    assert {n: (r["status"], r["action"]) for n, r in outcome.items()} == {
+        "Guide.docx": ("success", "process"), "scan.pdf": ("success", "process"), "copy.md": ("success", "process"),
+        "same.md": ("success", "duplicate"), "bad.epub": ("failed", None),
+    }
+    asked = spark.createDataFrame([(1, "resampling"), (2, "coverage"), (3, "plain")], "query_id long, text string")
+    found = api.search(spark, root, "f", asked, 1, "bm25", embedder=embed).collect()
+    assert {r["query_id"]: r["citation"] for r in found} == {1: "[guide, §Methods]", 2: "[scan, p.7–8, §Results]", 3: "[copy]"}
+    again = api.ingest_files(spark, str(folder), "f", root, embed, ocr_mode="on", ocr=ocr).filter("status = 'success'")
+    assert {r["action"] for r in again.collect()} == {"skip", "duplicate"}
