@@ -101,3 +101,6 @@ def test_staging_from_settled_files(spark, tmp_path):
     put(root, "law/late.md", b"late\n")
     assert ingest() == ["first-paper", "late"] and ingest() == ["first-paper", "late"]
     assert staging.documents_log(spark, corpus).count() == 2
+    indexing.run_indexing(spark, corpus, str(tmp_path / "cp2"), models.digest_embedder(8)).awaitTermination()
+    log = {r["slug"]: (r["section_heading"], r["page_start"]) for r in indexing.vectors_log(spark, corpus).collect()}
+    assert log == {"first-paper": ("First", None), "late": (None, None)}
