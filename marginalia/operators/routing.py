@@ -13,6 +13,9 @@ DIRECT = ("md", "docx", "doc")
 MIN_TEXT_PER_MB = 1000
 PDF_MAGIC = "%PDF"
 
+# Every way a staged file can go, see ``route``.
+ROUTES = ("parse", "direct", "ocr", "originals", "skipped")
+
 
 def staged_slug(name: Column) -> Column:
     """Slug of a staged file: like other slugs, but a leading dot may be cut."""

@@ -7,9 +7,10 @@ when retried, so a lost driver or executor never doubles a document.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
@@ -28,6 +29,9 @@ FILE_SCHEMA = "path string, modificationTime timestamp, length long, content bin
 # Paths handed to one read; a longer backlog is worked off block by block.
 PATH_BLOCK = 10_000
 
+# Errors that a batch's report names.
+REPORTED_ERRORS = 20
+
 # Numbers from here on belong to OCR passes, those below to batches of the stream.
 OCR_BATCHES = 1_000_000_000_000
 
@@ -62,8 +66,17 @@ def current_documents(spark: SparkSession, corpus: str) -> DataFrame:
     return last_per_key(good, ["slug"], [F.col("batch"), F.col("doc_id")])
 
 
-def ingest_batch(files: DataFrame, batch: int, corpus: str, ocr_mode: str = "off", ocr=None) -> None:
-    """Route one micro-batch and append its documents and routes to the logs."""
+RUN_SCHEMA = "files long, routes map<string,long>, documents long, succeeded long, failed long, collisions long, errors array<string>, batch long"
+
+
+def ingest_batch(
+    files: DataFrame, batch: int, corpus: str, ocr_mode: str = "off", ocr=None, progress: Callable[[dict], None] | None = None
+) -> None:
+    """Route one micro-batch and append its documents, routes and figures to the logs.
+
+    The figures are observed while the logs are written, so they cost no other
+    pass; ``progress`` is called with them once the batch is done.
+    """
     spark = files.sparkSession
     measured = files.withColumn("suffix", text.file_suffix(F.col("path"))).withColumn(
         "name", F.element_at(F.split("path", "/"), -1)
@@ -77,9 +90,11 @@ def ingest_batch(files: DataFrame, batch: int, corpus: str, ocr_mode: str = "off
     sized = measured.select("path", "length").join(lengths, "path", "left").fillna(0, ["text_length"])
     earlier = documents_log(spark, corpus).filter((F.col("batch") < batch) & (F.col("status") == "success"))
     routes = routing.route(sized, earlier)
-    routes.select("path", "collection", "name", "slug", "route").write.mode("overwrite").parquet(
-        f"{corpus}/routes/batch={batch}"
-    )
+    routed, written = Observation(), Observation()
+    per_route = [F.count_if(F.col("route") == name).alias(name) for name in routing.ROUTES]
+    routes.select("path", "collection", "name", "slug", "route").observe(routed, F.count(F.lit(1)).alias("files"), *per_route).write.mode(
+        "overwrite"
+    ).parquet(f"{corpus}/routes/batch={batch}")
     chosen = routes.filter(F.col("route").isin("parse", "direct")).select("path", "collection", "slug")
     documents = parsed.join(chosen, "path").select(
         hashing.sha1(F.col("markdown")).alias("doc_id"),
@@ -103,7 +118,37 @@ def ingest_batch(files: DataFrame, batch: int, corpus: str, ocr_mode: str = "off
         "status",
         "error",
     )
-    documents.unionByName(failed).write.mode("overwrite").parquet(f"{corpus}/documents/batch={batch}")
+    good = F.col("status") == "success"
+    told = documents.unionByName(failed).observe(
+        written, F.count(F.lit(1)).alias("documents"), F.count_if(good).alias("succeeded"), F.count_if(~good).alias("failed")
+    )
+    told.write.mode("overwrite").parquet(f"{corpus}/documents/batch={batch}")
+    log = spark.read.schema(DOCUMENT_SCHEMA).parquet(f"{corpus}/documents/batch={batch}")
+    # Two files of one content share an id; a few errors stand for all in the report.
+    double = log.filter(good).groupBy("doc_id").count().filter("count > 1").count()
+    errors = [f"{row['source']}: {row['error']}" for row in log.filter(~good).orderBy("source").limit(REPORTED_ERRORS).collect()]
+    figures = {
+        "files": routed.get["files"],
+        "routes": {name: routed.get[name] for name in routing.ROUTES},
+        **{name: written.get[name] for name in ("documents", "succeeded", "failed")},
+        "collisions": double,
+        "errors": errors,
+    }
+    row = spark.createDataFrame([tuple(figures.values())], RUN_SCHEMA.removesuffix(", batch long"))
+    row.coalesce(1).write.mode("overwrite").parquet(f"{corpus}/runs/batch={batch}")
+    if progress is not None:
+        progress({**figures, "batch": batch})
+
+
+def run_totals(spark: SparkSession, corpus: str) -> DataFrame:
+    """One row: what all batches so far took, and the same as text."""
+    runs = spark.read.schema(RUN_SCHEMA).parquet(f"{corpus}/runs")
+    counts = ("files", "documents", "succeeded", "failed", "collisions")
+    routes = [F.coalesce(F.sum(F.col("routes")[name]), F.lit(0)).alias(name) for name in routing.ROUTES]
+    total = runs.agg(F.count(F.lit(1)).alias("batches"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts], *routes)
+    parts = [F.concat(F.col(name).cast("string"), F.lit(f" {name}")) for name in ("files", "succeeded", "failed", "collisions")]
+    ways = [F.when(F.col(name) > 0, F.concat(F.lit(f"{name} "), F.col(name).cast("string"))) for name in routing.ROUTES]
+    return total.withColumn("summary", F.concat(F.concat_ws(", ", *parts), F.lit(" ("), F.concat_ws(", ", *ways), F.lit(")")))
 
 
 def settled_files(spark: SparkSession, root: str, plans: str, settle: float) -> DataFrame:
@@ -122,20 +167,22 @@ def with_contents(names: DataFrame) -> DataFrame:
 
 
 def run_staging(
-    spark: SparkSession, staging: str, corpus: str, checkpoint: str, ocr_mode: str = "off", ocr=None, settle: float | None = None
+    spark: SparkSession, staging: str, corpus: str, checkpoint: str, ocr_mode: str = "off", ocr=None, settle: float | None = None,
+    progress: Callable[[dict], None] | None = None,
 ) -> StreamingQuery:
     """Work off what is staged now, then stop; schedule it or loop as needed.
 
     ``settle`` leaves files alone until nothing has changed them for so many
     seconds and takes only those at collection/file; without it every file
-    below the folder is taken as the binary source lists it.
+    below the folder is taken as the binary source lists it. ``progress`` gets
+    the figures of each finished batch.
     """
     if settle is None:
         files, contents = staged_files(spark, staging), lambda batch: batch
     else:
         files, contents = settled_files(spark, staging, f"{corpus}/plans", settle), with_contents
     return (
-        files.writeStream.foreachBatch(lambda batch, number: ingest_batch(contents(batch), number, corpus, ocr_mode, ocr))
+        files.writeStream.foreachBatch(lambda batch, number: ingest_batch(contents(batch), number, corpus, ocr_mode, ocr, progress))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
