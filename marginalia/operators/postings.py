@@ -285,6 +285,7 @@ def search_pass(
     b: float,
     k: int,
     digits: int | None,
+    slots: list[int] | None = None,
 ) -> DataFrame:
     """Best ``k`` of each task and query, zero scores included, for weighted queries.
 
@@ -295,7 +296,8 @@ def search_pass(
     """
     spark = blocks.sparkSession
     vocabulary = sorted({t for _, terms in queries for t, _ in terms})
-    wanted = blocks.filter(F.col("slot").isin(slots_of(spark, vocabulary)) & F.col("term").isin(vocabulary))
+    slots = slots_of(spark, vocabulary) if slots is None else slots
+    wanted = blocks.filter(F.col("slot").isin(slots) & among("term", vocabulary))
     columns = ["segment", "term", "positions", "tfs", "dls", "peak_tfs", "peak_dls"]
     every = blocks.filter((F.col("slot") == ALL_CHUNKS_SLOT) & (F.col("term") == ""))
     parts = [wanted.select(*columns)]
@@ -327,6 +329,14 @@ def search_pass(
     return met.repartition("segment").sortWithinPartitions("segment").mapInArrow(_search(shared), LOCAL_SCHEMA)
 
 
+def among(column: str, words: list[str]) -> Column:
+    """column IN (words) as one expression text: thousands of words are parsed at once."""
+    if not words:
+        return F.lit(False)
+    quoted = ("'" + w.replace("\\", "\\\\").replace("'", "\\'") + "'" for w in words)
+    return F.expr(f"{column} IN ({', '.join(quoted)})")
+
+
 def slots_of(spark, vocabulary: list[str]) -> list[int]:
     """Slots of the terms, by the same hash as the stored rows."""
     if not vocabulary:
