@@ -52,6 +52,19 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def free_name(taken: list[str], wanted: str) -> str:
+    """``wanted``, with underscores in front until no column of ``taken`` has that name in any case."""
+    held = {c.lower() for c in taken}
+    while wanted.lower() in held:
+        wanted = "_" + wanted
+    return wanted
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once per row, also where ``use`` takes it into a lambda."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def new_folder(spark: SparkSession, kind: str) -> str:
     """A fresh folder below the one the cluster shares."""
     return f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"

@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import math
 import random as chance
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marginalia.llm.common import bounded_sample, kept
+from marginalia.llm.common import bounded_sample, free_name, kept, let
 
 KINDS = ("assign", "access", "hex", "markov")
 # The fixed forms. For access and hex the least length is part of the form,
@@ -37,6 +38,54 @@ RANDOM_ROWS, WORD_DOCS, WORD_ROWS = 5_000, 2_000, 50_000
 MADE_ROWS, MADE_LENGTH, MADE_SEED = 1_000, 24, 17
 
 SPAN = "struct<start:int,kind:int,end:int,value:string>"
+# Code points of one piece of a text that is masked.
+PIECE = 4_096
+
+
+def in_blocks(items: Column, zero: Column, none: Column, total: Callable, join: Callable, step: Callable) -> Column:
+    """What a running state gives item by item, as one array.
+
+    ``step(state, item)`` returns the next state and the values to append. An
+    array that grows by one is copied every time, so the items are cut into
+    about as many blocks as a block has items: ``total(block)`` and ``join``
+    give the state each block starts from, and n items cost n^1.5 copies.
+    """
+
+    def cut(all_items: Column) -> Column:
+        width = F.greatest(F.ceil(F.sqrt(F.size(all_items).cast("double"))).cast("int"), F.lit(16))
+        firsts = F.sequence(F.lit(1), F.greatest(F.size(all_items), F.lit(1)), width)
+        return F.transform(firsts, lambda at: F.slice(all_items, at, width))
+
+    def states(blocks: Column) -> Column:
+        def more(held: Column, block: Column) -> Column:
+            now = join(F.element_at(held, -1), total(block))
+            return F.concat(held, F.array(now))
+
+        return F.aggregate(blocks, F.array(zero), more)
+
+    def walked(block: Column, state: Column) -> Column:
+        def one(held: Column, item: Column) -> Column:
+            now, out = step(held["state"], item)
+            return F.struct(now.alias("state"), F.concat(held["out"], out).alias("out"))
+
+        return F.aggregate(block, F.struct(state.alias("state"), none.alias("out")), one, lambda held: held["out"])
+
+    # One state more than blocks: the last one belongs to no block.
+    return let(let(items, cut), lambda blocks: F.flatten(F.zip_with(blocks, F.slice(states(blocks), F.lit(1), F.size(blocks)), walked)))
+
+
+def below(ordered: Column, value: Column) -> Column:
+    """How many values of an ascending array are smaller than ``value``, by halving."""
+    rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.size(ordered).cast("double") + 1)).cast("int"))
+
+    def halve(span: Column, _: Column) -> Column:
+        middle = F.floor((span["low"] + span["high"]) / 2).cast("int")
+        less = (span["low"] < span["high"]) & (F.get(ordered, middle) < value)
+        low = F.when(less, middle + 1).otherwise(span["low"])
+        return F.struct(low.alias("low"), F.when(less | (span["low"] >= span["high"]), span["high"]).otherwise(middle).alias("high"))
+
+    start = F.struct(F.lit(0).alias("low"), F.size(ordered).alias("high"))
+    return F.aggregate(rounds, start, halve, lambda span: span["low"])
 
 
 def found(text: Column, pattern: str, kind: int, likely: Column, value_group: int = 0, least: int = 0) -> Column:
@@ -46,16 +95,22 @@ def found(text: Column, pattern: str, kind: int, likely: Column, value_group: in
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(value_group)) if value_group else hits
     steps = F.arrays_zip(gaps.alias("gap"), hits.alias("hit"), values.alias("value"))
 
-    def step(state: Column, x: Column) -> Column:
-        start = state["at"] + F.length(x["gap"])
-        end = start + F.coalesce(F.length(x["hit"]), F.lit(0))
+    def length(x: Column) -> Column:
+        return F.length(x["gap"]) + F.coalesce(F.length(x["hit"]), F.lit(0))
+
+    none = F.array().cast(f"array<{SPAN}>")
+
+    def step(at: Column, x: Column) -> tuple[Column, Column]:
+        start, end = at + F.length(x["gap"]), at + length(x)
         one = F.array(F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), x["value"].alias("value")))
         wanted = F.length(x["value"]) >= least if least else x["hit"].isNotNull()
-        return F.struct(end.alias("at"), F.when(wanted, F.concat(state["out"], one)).otherwise(state["out"]).alias("out"))
+        return end, F.when(wanted, one).otherwise(none)
 
-    none = F.array().cast(f"array<{SPAN}>")
-    start = F.struct(F.lit(0).alias("at"), none.alias("out"))
-    return F.when(likely & text.rlike(pattern), F.aggregate(steps, start, step, lambda s: s["out"])).otherwise(none)
+    def total(block: Column) -> Column:
+        return F.aggregate(block, F.lit(0), lambda n, x: n + length(x))
+
+    spans = in_blocks(steps, F.lit(0), none, total, lambda a, b: a + b, step)
+    return F.when(likely & text.rlike(pattern), spans).otherwise(none)
 
 
 def base_spans(text: Column) -> Column:
@@ -153,11 +208,20 @@ def scan(docs: DataFrame, model: MarkovPair | None = None, base: str = "base_spa
         return df.withColumn(spans, F.col(base))
     tokens = found(text, TOKEN, 3, F.lit(True))
 
-    def wanted(m: Column) -> Column:
-        clear = ~F.exists(F.col(base), lambda b: (b["start"] < m["end"]) & (b["end"] > m["start"]))
-        return clear & (model.score(m["value"]) >= THRESHOLD)
+    # A span that begins before the token's end, but does not end by its start, touches it.
+    bounds = F.struct(
+        F.transform(base, lambda b: b["start"]).alias("starts"),
+        F.array_sort(F.transform(base, lambda b: b["end"])).alias("ends"),
+    )
+
+    def random_ones(edge: Column) -> Column:
+        def wanted(m: Column) -> Column:
+            clear = (F.size(edge["starts"]) == 0) | (below(edge["starts"], m["end"]) == below(edge["ends"], m["start"] + 1))
+            return clear & (model.score(m["value"]) >= THRESHOLD)
+
+        return F.filter(tokens, wanted)
 
-    return df.withColumn(spans, F.array_sort(F.concat(F.col(base), F.filter(tokens, wanted))))
+    return df.withColumn(spans, F.array_sort(F.concat(F.col(base), let(bounds, random_ones))))
 
 
 def described(spans: str) -> Column:
@@ -189,16 +253,30 @@ def masked(docs: DataFrame, mark: str = "[secret]", model: MarkovPair | None = N
     Spans that overlap are replaced as one. Rows without a span stay as they are.
     """
     names = docs.columns
-    base, spans = "_base_spans", "_all_spans"
+    base, spans = free_name(names, "_base_spans"), free_name(names, "_all_spans")
     df = scan(docs, model, base, spans)
     text = F.col("text")
+    none = F.array().cast("array<struct<first:int,after:int>>")
+
+    def step(at: Column, x: Column) -> tuple[Column, Column]:
+        gap = F.array(F.struct(at.alias("first"), x["start"].alias("after")))
+        return F.greatest(at, x["end"]), F.when(x["start"] >= at, gap).otherwise(none)
+
+    def total(block: Column) -> Column:
+        return F.aggregate(block, F.lit(0), lambda at, x: F.greatest(at, x["end"]))
+
+    # Text between the spans; the last gap goes on to the end.
+    last = F.struct(F.array_max(F.transform(spans, lambda x: x["end"])).alias("first"), F.length(text).alias("after"))
+    gaps = F.concat(in_blocks(F.col(spans), F.lit(0), none, total, F.greatest, step), F.array(last))
+    # Counting code points from the start of a long text for every gap would be quadratic.
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
 
-    def step(state: Column, x: Column) -> Column:
-        gap = F.when(x["start"] >= state["at"], F.concat(F.substring(text, state["at"] + 1, x["start"] - state["at"]), F.lit(mark))).otherwise(F.lit(""))
-        return F.struct(F.greatest(state["at"], x["end"]).alias("at"), F.concat(state["out"], gap).alias("out"))
+    def part(held: Column, gap: Column) -> Column:
+        first = F.floor(gap["first"] / PIECE).cast("int")
+        some = F.slice(held, first + 1, F.floor(gap["after"] / PIECE).cast("int") - first + 1)
+        return F.substring(F.array_join(some, ""), gap["first"] - first * PIECE + 1, gap["after"] - gap["first"])
 
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate(spans, start, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
+    clean = let(pieces, lambda held: F.array_join(F.transform(gaps, lambda gap: part(held, gap)), mark))
     df = df.withColumn("text", F.when(F.size(spans) > 0, clean).otherwise(text))
     if "n_chars" in names:
         df = df.withColumn("n_chars", F.when(F.size(spans) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))

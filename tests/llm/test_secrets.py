@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 from marginalia.llm import secrets
 from marginalia.llm.queries import QUERIES
@@ -104,6 +105,41 @@ def test_masked(frame):
     assert {r.doc_id: (r.text, r.n_chars) for r in got.collect()} == {1: ("é [secret] tail", 15), 2: ("clean", 5), 3: (None, None)}
 
 
+def test_masked_as_one_pass_over_the_spans(frame):
+    random.seed(8)
+    bits = ["token=", "0123456789abcdef", "AKIAABCDEFGHIJKLMN", " ", "é😀", "word", "secret: ", "\n"]
+    docs = [(i, "".join(random.choices(bits, k=random.choice([3, 40, 2000])))) for i in range(60)]
+    model = secrets.MarkovPair({})
+    taken = "doc_id long, text string, _all_spans int, _BASE_spans string"
+    got = secrets.masked(frame([(*d, 1, "x") for d in docs], taken), model=model)
+    assert got.columns == ["doc_id", "text", "_all_spans", "_BASE_spans"]
+    for (_, text), r in zip(docs, got.orderBy("doc_id").collect()):
+        at, out = 0, ""
+        for start, _, end in base(text):
+            out += text[at:start] + "[secret]" if start >= at else ""
+            at = max(at, end)
+        assert r.text == out + text[at:]
+
+
+def test_touching_tokens_by_halving(frame):
+    rows = frame([([1, 4, 4, 9], v, n) for v, n in [(0, 0), (1, 0), (2, 1), (4, 1), (5, 3), (9, 3), (10, 4)]] + [([], 3, 0)], "a array<int>, v int, n int")
+    assert all(r.got == r.n for r in rows.withColumn("got", secrets.below(rows.a, rows.v)).collect())
+
+
+def test_many_spans_in_one_text(frame):
+    key, docs = corpus()
+    model = secrets.train(frame(docs, "doc_id long, text string"))
+    text = " ".join(f"token={key()} é {key()}" for _ in range(15_000))
+    started = time.monotonic()
+    df = frame([(1, text)], "doc_id long, text string")
+    got = secrets.report(df, model).collect()
+    compare(got, [(1, text)])
+    assert got[0].spans.count("markov") > 10_000
+    clean = secrets.masked(df, model=model).first().text
+    assert clean.count("[secret]") == got[0].spans.count(":") // 2 and len(clean) < len(text)
+    assert time.monotonic() - started < 60
+
+
 def test_given_documents(spark, small):
     docs = [tuple(r) for r in spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()]
     got = QUERIES["op8_secrets"](spark, small)
