@@ -11,10 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marginalia.llm.common import BROADCAST_ROWS, ascii_lower, kept
+from marginalia.llm.common import BROADCAST_ROWS, ascii_lower, free_name, kept
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
+# Parts a frequent prefix word is cut into.
+SALTS = 64
 
 
 def words_of(text: Column) -> Column:
@@ -46,9 +48,36 @@ def windows_of(items: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
     return classes, cut.withColumn("window_id", text_key(F.array_join("words", " ")))
 
 
-def rarity(words: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """How often each word of the vocabulary occurs in all documents; absent ones are missing."""
-    return words.select(F.explode("words").alias("word")).join(vocabulary, "word").groupBy("word").agg(F.count(F.lit(1)).alias("rows"))
+def rarity(words: DataFrame, vocabulary: DataFrame, few: bool) -> DataFrame:
+    """How often each word of the vocabulary occurs in all documents; absent ones are missing.
+
+    A short vocabulary sorts words out inside the scan. Otherwise words are
+    counted first, in tasks and then by word, and only counts meet the vocabulary.
+    """
+    each = words.select(F.explode("words").alias("word"))
+    count = F.count(F.lit(1)).alias("rows")
+    if few:
+        return each.join(F.broadcast(vocabulary), "word").groupBy("word").agg(count)
+    return each.groupBy("word").agg(count).join(vocabulary, "word", "left_semi")
+
+
+def hot_keys(rows: DataFrame) -> DataFrame:
+    """Values of ``key`` that hold over a thousandth of all rows; these are less than a thousand."""
+    counted = kept(rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows")), "key-sizes")
+    total = counted.agg(F.sum("rows")).first()[0] or 0
+    return counted.filter(F.col("rows") * 1000 > total).select("key")
+
+
+def candidates(each: DataFrame, prefix: DataFrame, fits: Column) -> DataFrame:
+    """Places (key, n, start) where a window's prefix word and length fit, words of frequent prefixes salted."""
+    total = prefix.select("word", "rows").distinct().agg(F.sum("rows")).first()[0]
+    hot = kept(prefix.filter(F.col("rows") * 1000 > total).select("word").distinct(), "hot-words").withColumn("hot", F.lit(True))
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("key", "at"), F.lit(SALTS))).otherwise(F.lit(0))
+    left = each.join(F.broadcast(hot), "word", "left").withColumn("salt", salt.cast("int")).drop("hot")
+    copies = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    right = prefix.drop("rows").join(F.broadcast(hot), "word", "left").withColumn("salt", F.explode(copies)).drop("hot")
+    met = left.join(right, ["word", "salt"]).filter(fits)
+    return met.select("key", (F.col("at") - F.col("offset")).alias("start"), "size", "window_id", "window_words").dropDuplicates(["key", "start", "window_id"])
 
 
 def occurrences(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
@@ -59,7 +88,7 @@ def occurrences(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> tupl
     texts = docs.select(text_key(F.col("text")).alias("key"), words_of(F.col("text")).alias("words"))
     vocabulary = kept(cut.select(F.explode("words").alias("word")).distinct(), "vocabulary")
     few = vocabulary.count() <= BROADCAST_ROWS
-    counted = kept(rarity(texts, F.broadcast(vocabulary) if few else vocabulary), "rarity")
+    counted = kept(rarity(texts, vocabulary, few), "rarity")
     # The rarest word of each window and its place; a window with an absent word cannot occur.
     placed = windows.select("window_id", "words", F.posexplode("words").alias("offset", "word")).join(counted, "word", "left")
     prefix = kept(
@@ -69,7 +98,7 @@ def occurrences(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> tupl
             F.first("words").alias("window_words"),
         )
         .filter(F.col("rare.rows") > 0)
-        .select("window_id", F.col("rare.word").alias("word"), F.col("rare.offset").alias("offset"), "window_words", F.size("window_words").alias("size")),
+        .select("window_id", "rare.word", "rare.offset", "rare.rows", "window_words", F.size("window_words").alias("size")),
         "prefixes",
     )
     start = F.col("at") - F.col("offset")
@@ -81,8 +110,7 @@ def occurrences(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> tupl
         hits = each.join(F.broadcast(prefix), "word").filter(fits).withColumn("start", start).filter(same).select("key", "start", "size", "window_id")
     else:
         # Too many prefixes to hold: join narrow rows first, and fetch words only for texts with candidates.
-        likely = each.select("key", "n", "at", "word").join(prefix.select("word", "window_id", "offset", "size"), "word").filter(fits)
-        likely = likely.select("key", start.alias("start"), "window_id").distinct().join(prefix.select("window_id", "window_words", "size"), "window_id")
+        likely = candidates(each.select("key", "n", "at", "word"), prefix, fits)
         hits = likely.join(texts.dropDuplicates(["key"]), "key").filter(same).select("key", "start", "size", "window_id")
     found = kept(hits.distinct(), "hits")
     return found.join(cut.select("window_id", "item_class").distinct(), "window_id"), classes
@@ -122,7 +150,14 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     hit = kept(contamination(docs, items, window).withColumn("digest", F.sha2(F.array_join("items", ","), 256)).drop("items"), "contaminated")
     rows = docs.select("doc_id", text_key(F.col("text")).alias("key"), F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
     nothing = F.sha2(F.lit(""), 256)
-    return rows.join(hit, "key", "left").select(
+    if hit.count() <= BROADCAST_ROWS:
+        judged = rows.join(F.broadcast(hit), "key", "left")
+    else:
+        # Copies of one text, and texts without words, would meet in one task.
+        hot = F.broadcast(kept(hot_keys(rows.select("key")).join(hit, "key", "left"), "hot-texts"))
+        rest = rows.join(hot.select("key"), "key", "left_anti").join(hit, "key", "left")
+        judged = rows.join(hot, "key").unionByName(rest)
+    return judged.select(
         "doc_id",
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
@@ -134,5 +169,16 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
 
 def clean_documents(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` whose text holds no window of any item."""
-    hit = kept(contamination(docs, items, window).select(F.col("key").alias("_text_key")), "contaminated")
-    return docs.withColumn("_text_key", text_key(F.col("text"))).join(hit, "_text_key", "left_anti").select(*docs.columns)
+    hit = kept(contamination(docs, items, window).select("key"), "contaminated")
+    key = free_name(docs.columns, "_text_key")
+    marked = docs.withColumn(key, text_key(F.col("text")))
+    named = lambda keys: keys.withColumnRenamed("key", key)
+    if hit.count() <= BROADCAST_ROWS:
+        return marked.join(F.broadcast(named(hit)), key, "left_anti").select(*docs.columns)
+    # Hot texts are judged by short lists; what is left has no hot key.
+    hot = hot_keys(docs.select(text_key(F.col("text")).alias("key")))
+    clean = named(kept(hot.join(hit, "key", "left_anti"), "hot-clean"))
+    stained = named(kept(hot.join(hit, "key", "left_semi"), "hot-contaminated"))
+    easy = marked.join(F.broadcast(clean), key, "left_semi")
+    rest = marked.join(F.broadcast(clean.unionByName(stained)), key, "left_anti").join(named(hit), key, "left_anti")
+    return easy.unionByName(rest).select(*docs.columns)

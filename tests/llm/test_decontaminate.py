@@ -67,6 +67,23 @@ def test_without_broadcast(frame, monkeypatch):
     assert run(frame(docs, "doc_id long, text string"), frame(items, "item_id long, text string")) == brute(docs, items)
 
 
+def test_hot_texts_and_names_without_broadcast(frame, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
+    docs, items = cases()
+    # A contaminated text, a clean one and one without words hold most rows.
+    docs += [(2_000 + i, "start " + items[3][1]) for i in range(150)] + [(3_000 + i, f"x{i % 2}") for i in range(150)] + [(4_000 + i, None) for i in range(150)]
+    df, other = frame([(*d, "k") for d in docs], "doc_id long, text string, _text_key string"), frame(items, "item_id long, text string")
+    assert run(df, other) == brute(docs, items)
+    got = decontaminate.clean_documents(df, other)
+    assert got.columns == df.columns
+    assert sorted(str(r.doc_id) for r in got.collect()) == sorted(str(d[0]) for d in brute(docs, items) if not d[5])
+
+
+def test_hot_keys_are_those_above_a_thousandth(frame):
+    rows = frame([("hot",)] * 20 + [(f"k{i}",) for i in range(3_000)], "key string")
+    assert [r.key for r in decontaminate.hot_keys(rows).collect()] == ["hot"]
+
+
 def test_empty_tables(frame, spark):
     none, some = spark.createDataFrame([], "doc_id long, text string"), frame([(1, "a b")], "doc_id long, text string")
     no_items, item = spark.createDataFrame([], "item_id long, text string"), frame([(1, "a")], "item_id long, text string")
