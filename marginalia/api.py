@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from marginalia.functions import hashing
 from marginalia.functions.citations import citation_prefix
 from marginalia.functions.text import is_blank, join_blocks, normalize_markdown, slugify
-from marginalia.operators import agents, bm25, elements, evaluation, hybrid, models, provenance, splitter, staleness
+from marginalia.operators import agents, bm25, elements, evaluation, hybrid, manifest, models, provenance, splitter, staleness
 from marginalia.operators.dense import search_dense
 from marginalia.operators.topk import first_per_key, join_hits, number_rows
 from marginalia.session import checkpointed
@@ -212,13 +212,15 @@ def search(
     embedder: Callable | None = None,
     scorer: Callable | None = None,
     rerank_pool: int = 50,
+    entries: DataFrame | None = None,
 ) -> DataFrame:
     """Cited results for queries(query_id, text), best first per query.
 
     ``mode`` is dense, bm25 or hybrid; hybrid without a stored BM25 index runs
     dense only and flags its rows, bm25 without one is an error. ``scorer``
     reranks the pool. Rows are told apart by their position in the index, so
-    an updated chunk never meets its deleted predecessor.
+    an updated chunk never meets its deleted predecessor. ``entries`` of a
+    manifest (doc_id, slug, pos) add slug and chunk_path, the chunk's file.
     """
     if mode not in ("dense", "bm25", "hybrid"):
         raise ValueError("mode must be dense, bm25 or hybrid")
@@ -267,13 +269,15 @@ def search(
     # Ranking above runs on keys; bodies are fetched for ranked chunks only.
     place = {"page_start": "int", "page_end": "int", "section_heading": "string"}
     known = [F.col(c) if c in vectors.columns else F.lit(None).cast(kind).alias(c) for c, kind in place.items()]
-    bodies = vectors.select("embedding_index", "source", "text", *known)
+    number = ["chunk_index"] if entries is not None else []
+    bodies = vectors.select("embedding_index", "source", "text", *number, *known)
     hits = join_hits(bodies, ranked, ["embedding_index"])
     if scorer is not None:
         pairs = hits.join(queries.select("query_id", F.col("text").alias("query")), "query_id")
         hits = models.rerank(pairs, scorer, top_k).drop("query")
     cited = citation_prefix(*map(F.col, ("source", *place)))
-    return hits.filter(F.col("rank") <= top_k).withColumn("citation", cited)
+    best = hits.filter(F.col("rank") <= top_k).withColumn("citation", cited)
+    return best if entries is None else manifest.chunk_files(best, entries)
 
 
 def evaluate(retrieved: DataFrame, fixture: dict[str, DataFrame], manifest: DataFrame) -> dict[str, DataFrame]:

@@ -104,6 +104,19 @@ def merge_manifests(resolved: DataFrame) -> DataFrame:
     )
 
 
+def chunk_files(hits: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Add ``slug`` and ``chunk_path`` to hits(doc_id, chunk_index): where a chunk's file stands.
+
+    manifest: doc_id, slug and pos, the order of its entries; the first entry of
+    a doc_id that names a slug counts. A document the manifest does not know, or
+    without a slug, leaves both NULL. Columns of these names are replaced.
+    """
+    named = manifest.filter(F.col("doc_id").isNotNull() & (F.col("slug") != ""))
+    first = named.groupBy("doc_id").agg(F.min_by("slug", "pos").alias("slug"), F.count(F.lit(1)).alias("_n"))
+    placed = lookup_per_key(hits.drop("slug", "chunk_path"), first, ["doc_id"], "_n").drop("_n")
+    return placed.withColumn("chunk_path", F.concat("slug", F.format_string("/chunks/ch_%04d.md", F.col("chunk_index").cast("long"))))
+
+
 def documents_per_agent(docs: DataFrame) -> DataFrame:
     return docs.groupBy("agent").agg(F.count(F.lit(1)).alias("n_docs"))
 

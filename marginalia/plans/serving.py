@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from marginalia.functions import render, toolcalls
 from marginalia.functions.citations import citation_prefix
 from marginalia.functions.text import fixed
-from marginalia.operators import bm25
+from marginalia.operators import bm25, manifest
 from marginalia.operators.topk import join_hits
 from marginalia.plans import relations as rel
 from marginalia.plans.registry import query, table
@@ -193,6 +193,22 @@ def hit_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "chunk_paths",
+    """
+WITH m AS (SELECT sha1(text) AS doc_id, doc_id AS pos, lang || '-' || doc_id AS slug FROM documents WHERE text IS NOT NULL),
+f AS (SELECT doc_id, arg_min(slug, pos) AS slug FROM m WHERE pos % 4 > 0 GROUP BY doc_id)
+SELECT m.pos AS hit, f.slug, f.slug || '/chunks/ch_' || lpad((pos % 30 + 1)::VARCHAR, 4, '0') || '.md' AS chunk_path FROM m LEFT JOIN f ON f.doc_id = m.doc_id
+""",
+)
+def chunk_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document a hit; a fourth of the entries is missing from the manifest, and equal texts have several."""
+    docs = table(spark, sf_dir, "documents").filter(F.col("text").isNotNull())
+    entries = docs.select(F.sha1("text").alias("doc_id"), F.col("doc_id").alias("pos"), F.concat_ws("-", "lang", "doc_id").alias("slug"))
+    hits = entries.select(F.col("pos").alias("hit"), "doc_id", (F.col("pos") % 30 + 1).alias("chunk_index"))
+    return manifest.chunk_files(hits, entries.filter("pos % 4 > 0")).select("hit", "slug", "chunk_path")
+
+
 @query(
     "tool_call_parse",
     """

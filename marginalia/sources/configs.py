@@ -22,6 +22,7 @@ except ImportError:  # YAML inputs are then unavailable; JSON ones still work
 CHUNK_REFERENCE = re.compile(r"[A-Za-z0-9_\-]+/ch_\d{4}")
 FIXTURE_VERSION = 1
 BASELINE_VERSIONS = (1, 2)
+DEFAULT_PERSONA = {"style": "", "expertise": [], "greeting": ""}
 DEFAULT_HYBRID = {"enabled": False, "pool_size": 50, "k_rrf": 60}
 DEFAULT_RERANK = {"enabled": False, "model": "BAAI/bge-reranker-base", "pool_size": 50, "batch_size": 16}
 
@@ -30,6 +31,35 @@ class ConfigError(ValueError):
     """A configuration file that cannot be used, with the place that is wrong."""
 
 
+# What a run can be asked for; the first of each is the default.
+RUN_CHOICES = {
+    "parser": ("unstructured", "omr", "hybrid"),
+    "ocr_mode": ("auto", "on", "off"),
+    "music_format": ("musicxml", "abc", "midi", "all"),
+    "vector_db": ("faiss",),
+    "formula_format": ("latex", "mathml", "both"),
+}
+SCORE_PARSERS = ("omr", "hybrid")
+
+
+def run_options(chunk_size: int = 1200, chunk_overlap: int = 150, music_embeddings: bool = False, **chosen: str) -> dict:
+    """Options of a run with their defaults filled in, or a ConfigError that lists all faults.
+
+    Names of ``chosen`` are those of RUN_CHOICES; ocr_mode may be in any case.
+    """
+    faults = [f"unknown option {name!r}" for name in chosen if name not in RUN_CHOICES]
+    options = {name: chosen.get(name, choices[0]) for name, choices in RUN_CHOICES.items()}
+    options["ocr_mode"] = str(options["ocr_mode"]).lower()
+    faults += [f"{name}: {options[name]!r} is none of {', '.join(choices)}" for name, choices in RUN_CHOICES.items() if options[name] not in choices]
+    if chunk_overlap >= chunk_size:
+        faults.append(f"chunk_overlap: {chunk_overlap} must be less than chunk_size {chunk_size}")
+    if music_embeddings and options["parser"] not in SCORE_PARSERS:
+        faults.append(f"music_embeddings: needs parser {' or '.join(SCORE_PARSERS)}, not {options['parser']}")
+    if faults:
+        raise ConfigError("; ".join(faults))
+    return options | {"chunk_size": chunk_size, "chunk_overlap": chunk_overlap, "music_embeddings": music_embeddings}
+
+
 def load_yaml(path: str | Path) -> object:
     if yaml is None:
         raise ConfigError("PyYAML is not installed")
@@ -69,6 +99,24 @@ def load_agent(name: str, folder: str | Path) -> AgentConfig:
     )
 
 
+def load_persona(name: str, folder: str | Path) -> dict:
+    """Name and persona of an agent, every key present; an agent without a file has the defaults.
+
+    With a file the description and an icon belong to it, empty if not given.
+    """
+    path = Path(folder) / f"{name}.yaml"
+    plain = {"name": name} | {key: value.copy() if isinstance(value, list) else value for key, value in DEFAULT_PERSONA.items()}
+    if not path.exists():
+        return plain
+    raw = load_yaml(path)
+    if not isinstance(raw, dict):
+        raise ConfigError(f"{path}: an agent needs a mapping")
+    persona = raw.get("persona")
+    given = persona if isinstance(persona, dict) else {}
+    own = {key: given[key] for key in (*DEFAULT_PERSONA, "icon") if key in given}
+    return plain | {"description": raw.get("description", ""), "icon": ""} | own
+
+
 def agent_relations(spark: SparkSession, agents: list[AgentConfig]) -> tuple[DataFrame, ...]:
     """agents, agent_collections, agent_slugs, agent_excludes."""
 

@@ -177,6 +177,32 @@ def test_agents(spark, tmp_path):
             configs.load_agent(name, tmp_path)
 
 
+def test_personas(tmp_path):
+    pytest.importorskip("yaml")
+    nobody = configs.load_persona("ghost", tmp_path)
+    assert nobody == {"name": "ghost", "style": "", "expertise": [], "greeting": ""}
+    nobody["expertise"].append("x")
+    assert configs.load_persona("ghost", tmp_path)["expertise"] == []
+    (tmp_path / "sage.yaml").write_text("name: sage\ndescription: Knows\npersona:\n  style: dry\n  expertise: [owls]\n  icon: o\n  mood: calm\n")
+    sage = {"name": "sage", "description": "Knows", "style": "dry", "expertise": ["owls"], "greeting": "", "icon": "o"}
+    assert configs.load_persona("sage", tmp_path) == sage
+    (tmp_path / "bare.yaml").write_text("name: bare\npersona:\n")
+    assert configs.load_persona("bare", tmp_path) == {**nobody, "name": "bare", "expertise": [], "description": "", "icon": ""}
+    (tmp_path / "list.yaml").write_text("- a\n")
+    with pytest.raises(configs.ConfigError):
+        configs.load_persona("list", tmp_path)
+
+
+def test_run_options():
+    options = configs.run_options(ocr_mode="ON", parser="hybrid", music_embeddings=True)
+    assert (options["ocr_mode"], options["parser"], options["vector_db"], options["formula_format"]) == ("on", "hybrid", "faiss", "latex")
+    for wrong in ({"parser": "magic"}, {"ocr_mode": "maybe"}, {"vector_db": "chroma"}, {"colour": "red"}, {"music_embeddings": True}, {"chunk_overlap": 1200}):
+        with pytest.raises(configs.ConfigError):
+            configs.run_options(**wrong)
+    with pytest.raises(configs.ConfigError, match="parser.*chunk_overlap"):
+        configs.run_options(chunk_size=10, chunk_overlap=10, parser="x")
+
+
 def test_fixture_relations(spark, tmp_path):
     pytest.importorskip("yaml")
     path = tmp_path / "f.yaml"

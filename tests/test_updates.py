@@ -48,6 +48,17 @@ def test_changes_are_reported(roots):
     assert plan == {"doc-a": ("same", "skip"), "doc-b": ("updated", "process"), "doc-c": ("deleted", "tombstone"), "doc-d": ("new", "process")}
 
 
+def test_hits_name_their_files(spark, roots):
+    entries = spark.createDataFrame([("doc-a", "late", 5), ("doc-a", "first", 2), ("doc-a", "", 1), ("doc-b", "b", 3)], "doc_id string, slug string, pos long")
+    rows = api.search(spark, roots[0], "x", asked(spark), 4, "hybrid", embedder=EMBED, entries=entries).collect()
+    plain = api.search(spark, roots[0], "x", asked(spark), 4, "hybrid", embedder=EMBED)
+    assert len(rows) == plain.count() and "slug" not in plain.columns
+    seen = {(r.doc_id, r.slug) for r in rows}
+    assert seen == {("doc-a", "first"), ("doc-b", "b"), ("doc-d", None)}
+    for r in rows:
+        assert r.chunk_path == (f"{r.slug}/chunks/ch_{r.chunk_id[-4:]}.md" if r.slug else None)
+
+
 @pytest.mark.parametrize("mode", ["dense", "bm25", "hybrid"])
 def test_a_compacted_index_equals_a_new_one(spark, roots, mode):
     _, compact, anew, _ = roots
