@@ -7,8 +7,10 @@ an n-gram among the first ones of both in any common order, and rare columns
 come first. Overlap counts of the columns choose one partner per document; the
 groups these pairs form need no further products inside. Members of different
 groups then meet in each column, and what is left between groups is multiplied
-in full. A pair survives if the parity bits of both sets
-allow the overlap its sizes require, and is then counted exactly.
+in full, block by block. Its overlap counts add up over the columns; a pair is
+discarded if its count and what can still follow its last common column stay
+below the overlap that both sizes require, or if the parity bits of both sets
+exclude it. What is left is counted exactly.
 """
 
 from __future__ import annotations
@@ -21,7 +23,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marginalia.llm.bytehash import RangeHasher, mixed
-from marginalia.llm.common import kept, small_side
+from marginalia.llm.common import free_name, kept, small_side
+from marginalia.operators.topk import lookup_per_key
 
 # Texts worked on at once, at most, by bytes and by rows.
 BYTES_AT_ONCE, ROWS_AT_ONCE = 1 << 20, 1000
@@ -43,7 +46,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 SET_SCHEMA = "doc_id long, text_hash long, n long, sig long, parity binary, shingle long, rows long"
-POSTING_SCHEMA = "shingle long, chunk int, chunks int, n long, sig long"
+POSTING_SCHEMA = "shingle long, chunk int, chunks int, n long, sig long, place int"
+PAIR_SCHEMA = "a long, b long, n_a long, n_b long, place_a int, place_b int"
 
 
 def required(n: int, m: int, percent: int) -> int:
@@ -195,10 +199,10 @@ def _postings(size: int, percent: int, frequent):
                     rare = np.concatenate([rare, often])
                 chunks = 1 + rows[rare] // CHUNK_ROWS
                 chunk = (mixed(grams[rare] ^ np.uint64(mark % (1 << 64))) % chunks.astype(np.uint64)).astype(np.int32)
-                out.append((grams[rare].view(np.int64), chunk, chunks.astype(np.int32), np.full(take, n), np.full(take, mark)))
+                out.append((grams[rare].view(np.int64), chunk, chunks.astype(np.int32), np.full(take, n), np.full(take, mark), np.arange(take, dtype=np.int32)))
             if out:
                 columns = [np.concatenate(c) for c in zip(*out)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["shingle", "chunk", "chunks", "n", "sig"])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["shingle", "chunk", "chunks", "n", "sig", "place"])
 
     return run
 
@@ -220,7 +224,11 @@ def _possible(percent: int):
 
 
 def _blocks(percent: int):
-    """Pairs of a column's rows that parity allows, block by block; only those leave the task."""
+    """Pairs of a column's rows that parity allows, block by block; only those leave the task.
+
+    Each pair leaves once per column: where both sides pass by each other's
+    blocks (``both``), only the side with the higher root reports it.
+    """
 
     def folded(matrix: np.ndarray, width: int) -> np.ndarray:
         while matrix.shape[1] > width:
@@ -231,18 +239,20 @@ def _blocks(percent: int):
     class Block:
         """Left rows by the width of their parity bits; narrower forms are made when first needed."""
 
-        def __init__(self, rows: list[tuple[int, int, int, bytes]]):
+        def __init__(self, rows: list[tuple[int, int, int, int, bytes]]):
             self.parts, self.narrow = [], {}
-            for width in sorted({len(r[3]) for r in rows}):
-                some = [r for r in rows if len(r[3]) == width]
-                sig, n, root = (np.array([r[i] for r in some], np.int64) for i in range(3))
-                self.parts.append((sig, n, root, np.frombuffer(b"".join(r[3] for r in some), np.uint8).reshape(len(some), width)))
+            for width in sorted({len(r[4]) for r in rows}):
+                some = [r for r in rows if len(r[4]) == width]
+                sig, n, place, root = (np.array([r[i] for r in some], np.int64) for i in range(4))
+                self.parts.append((sig, n, place, root, np.frombuffer(b"".join(r[4] for r in some), np.uint8).reshape(len(some), width)))
 
-        def partners(self, sig: int, n: int, root: int, bits: bytes) -> np.ndarray:
+        def partners(self, n: int, root: int, bits: bytes, both: bool) -> np.ndarray:
+            """Rows (sig, n, place) of the block that may be alike."""
             own = np.frombuffer(bits, np.uint8)[None, :]
-            out = [np.empty(0, np.int64)]
-            for i, (other, m, other_root, matrix) in enumerate(self.parts):
-                fit = np.flatnonzero((other_root != root) & (100 * m >= percent * n) & (100 * n >= percent * m))
+            out = [np.empty((3, 0), np.int64)]
+            for i, (other, m, place, other_root, matrix) in enumerate(self.parts):
+                apart_groups = other_root < root if both else other_root != root
+                fit = np.flatnonzero(apart_groups & (100 * m >= percent * n) & (100 * n >= percent * m))
                 if len(fit) == 0:
                     continue
                 width = min(own.shape[1], matrix.shape[1])
@@ -250,28 +260,33 @@ def _blocks(percent: int):
                     self.narrow[i, width] = folded(matrix, width)
                 apart = np.bitwise_count(self.narrow[i, width][fit] ^ folded(own, width)).sum(axis=1, dtype=np.int64)
                 need = -(-percent * (n + m[fit]) // (100 + percent))
-                out.append(other[fit[apart <= n + m[fit] - 2 * need]])
-            return np.concatenate(out)
+                fit = fit[apart <= n + m[fit] - 2 * need]
+                out.append(np.stack([other[fit], m[fit], place[fit]]))
+            return np.concatenate(out, axis=1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, rows, block = None, [], None
         for batch in batches:
-            found_a, found_b = [], []
-            columns = (batch.column(c).to_pylist() for c in ("shingle", "block", "right", "sig", "n", "root", "parity"))
-            for shingle, part, right, sig, n, root, bits in zip(*columns):
+            own, found = [], []
+            columns = (batch.column(c).to_pylist() for c in ("shingle", "block", "right", "both", "sig", "n", "place", "root", "parity"))
+            for shingle, part, right, both, sig, n, place, root, bits in zip(*columns):
                 if (shingle, part) != key:
                     key, rows, block = (shingle, part), [], None
                 if not right:
-                    rows.append((sig, n, root, bits))
+                    rows.append((sig, n, place, root, bits))
                     continue
                 if block is None:
                     block = Block(rows)
-                partners = block.partners(sig, n, root, bits)
-                found_a.append(np.full(len(partners), sig, np.int64))
-                found_b.append(partners)
-            if found_a:
-                a, b = np.concatenate(found_a), np.concatenate(found_b)
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+                found.append(block.partners(n, root, bits, both))
+                own.append(np.repeat(np.array([[sig], [n], [place]], np.int64), found[-1].shape[1], axis=1))
+            if found:
+                x, y = np.concatenate(own, axis=1), np.concatenate(found, axis=1)
+                low = x[0] < y[0]
+                first, second = np.where(low, x, y), np.where(low, y, x)
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(side[i]) for i in (0, 1) for side in (first, second)), *(pa.array(side[2].astype(np.int32)) for side in (first, second))],
+                    names=["a", "b", "n_a", "n_b", "place_a", "place_b"],
+                )
 
     return run
 
@@ -324,7 +339,7 @@ class NGramJoin:
         self.nodes = kept(
             self.rows.filter(F.col("n") > 0)
             .groupBy("sig", "n")
-            .agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")).alias("holder"), F.min("doc_id").alias("least"), F.first("parity").alias("parity")),
+            .agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")).alias("holder"), F.min("doc_id").alias("least"), F.first("parity").alias("parity"), F.count(F.lit(1)).alias("copies")),
             "nodes",
         )
 
@@ -374,22 +389,39 @@ class NGramJoin:
         best = overlaps.groupBy("sig").agg(F.max(F.struct("overlap", "centre")).alias("best"))
         first = self.verified(best.select(F.col("sig").alias("a"), F.col("best.centre").alias("b")))
         links = first
-        members = kept(columns.select("shingle", "sig", "n").distinct(), "members")
+        members = kept(columns.select("shingle", "sig", "n", "place").distinct(), "members")
         for turn in range(MEETINGS):
             links = links.unionByName(self.verified(self.meetings(self.between(members, links), turn)))
-        between = self.between(members, links)
+        rest = self.overlapping(self.between(members, links))
+        return links.unionByName(self.verified(rest.filter("possible").select("a", "b")))
+
+    def overlapping(self, between: DataFrame) -> DataFrame:
+        """Pairs of different groups: their overlap in the prefix columns, and whether their sizes can be met (``possible``).
+
+        Parity and sizes are the same for a pair in all columns, so a pair that
+        they allow is counted in every column both prefixes have. Common
+        columns up to the last counted one are all counted; after it follow at
+        most as many as the shorter rest has.
+        """
         groups = between.groupBy("shingle", "root").agg(F.count(F.lit(1)).alias("rows"))
         sizes = kept(groups.groupBy("shingle").agg(F.sum("rows").alias("all"), F.max(F.struct("rows", "root")).alias("largest")), "column-sizes")
-        rest = self.short_columns(between, sizes).unionByName(self.long_columns(between, sizes)).distinct()
-        return links.unionByName(self.verified(rest))
+        met = self.short_columns(between, sizes).unionByName(self.long_columns(between, sizes))
+        counted = met.groupBy("a", "b", "n_a", "n_b").agg(
+            F.count(F.lit(1)).alias("overlap"), F.max("place_a").alias("place_a"), F.max("place_b").alias("place_b")
+        )
+        still = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")) - 1
+        reached = (F.col("overlap") + still) * (100 + self.percent) >= (F.col("n_a") + F.col("n_b")) * self.percent
+        return counted.select("a", "b", "overlap", reached.alias("possible"))
 
     def short_columns(self, between: DataFrame, sizes: DataFrame) -> DataFrame:
         """All pairs of different groups in columns of few rows."""
         rows = between.join(sizes.filter(F.col("all") <= PAIRED_ROWS).select("shingle"), "shingle", "left_semi")
-        other = rows.select("shingle", F.col("sig").alias("b"), F.col("n").alias("m"), F.col("root").alias("root_b"))
+        other = rows.select("shingle", F.col("sig").alias("b"), F.col("n").alias("m"), F.col("root").alias("root_b"), F.col("place").alias("at"))
         bounds = (F.col("root") < F.col("root_b")) & (F.col("n") * 100 >= F.col("m") * self.percent) & (F.col("m") * 100 >= F.col("n") * self.percent)
         pairs = rows.join(other, (rows["shingle"] == other["shingle"]) & bounds)
-        return pairs.select(F.least("sig", "b").alias("a"), F.greatest("sig", "b").alias("b"))
+        low = F.col("sig") < F.col("b")
+        both = lambda x, y, name: [F.when(low, F.col(x)).otherwise(F.col(y)).alias(f"{name}a"), F.when(low, F.col(y)).otherwise(F.col(x)).alias(f"{name}b")]
+        return pairs.select(*both("sig", "b", ""), *both("n", "m", "n_"), *both("place", "at", "place_"))
 
     def long_columns(self, between: DataFrame, sizes: DataFrame) -> DataFrame:
         """Pairs of different groups in the other columns that parity allows.
@@ -404,13 +436,15 @@ class NGramJoin:
         main_blocks = F.ceil(F.col("largest.rows") / BLOCK_ROWS).cast("int")
         rest_blocks = F.ceil((F.col("all") - F.col("largest.rows")) / BLOCK_ROWS).cast("int")
         draw = F.xxhash64("sig", "shingle")
-        place = lambda block, right: F.struct(block.cast("int").alias("block"), F.lit(right).alias("right"))
+        place = lambda block, right: F.struct(
+            block.cast("int").alias("block"), F.lit(right).alias("right"), (block >= main_blocks).alias("both")
+        )
         left = F.when(main, F.pmod(draw, main_blocks)).otherwise(main_blocks + F.pmod(draw, rest_blocks))
         passing = F.transform(F.sequence(F.lit(0), main_blocks + rest_blocks - 1), lambda i: place(i, True))
         places = F.when(main, F.array(place(left, False))).otherwise(F.concat(F.array(place(left, False)), passing))
-        met = rows.select("shingle", "sig", "n", "root", "parity", F.explode(places).alias("at")).select("*", "at.*").drop("at")
+        met = rows.select("shingle", "sig", "n", "place", "root", "parity", F.explode(places).alias("at")).select("*", "at.*").drop("at")
         dealt = met.repartition("shingle", "block").sortWithinPartitions("shingle", "block", "right")
-        return dealt.mapInArrow(_blocks(self.percent), "a long, b long")
+        return dealt.mapInArrow(_blocks(self.percent), PAIR_SCHEMA)
 
     def between(self, members: DataFrame, links: DataFrame) -> DataFrame:
         """Rows of the columns that still hold several groups, with their group's root."""
@@ -434,11 +468,11 @@ class NGramJoin:
         return met.filter(fits).select(F.col("one.sig").alias("a"), F.col("top.one.sig").alias("b")).distinct()
 
     def groups(self) -> DataFrame:
-        """(sig, root, component): each node's group and the smallest doc_id in it."""
+        """(sig, n, root, component, copies): each node's group and the smallest doc_id in it."""
         roots = components(self.links()).select(F.col("node").alias("sig"), "root")
-        rooted = self.nodes.select("sig", "least").join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
+        rooted = self.nodes.select("sig", "n", "least", "copies").join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
         least = rooted.groupBy("root").agg(F.min("least").alias("component"))
-        return rooted.join(least, "root").select("sig", "root", "component")
+        return kept(rooted.join(least, "root").select("sig", "n", "root", "component", "copies"), "groups")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -452,9 +486,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     Repeated rows are copies like others.
     """
     join = NGramJoin(docs, size, percent)
-    return join.rows.join(join.groups(), "sig", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id")
-    )
+    # Rows without words need no look-up, and those of a set with very many copies are spread.
+    named = join.rows.filter(F.col("n") > 0).select("doc_id", "text_hash", "sig", "n")
+    found = lookup_per_key(named, join.groups().select("sig", "n", "component", "copies"), ["sig", "n"], "copies")
+    wordless = join.rows.filter(F.col("n") == 0).select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    return found.select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id")).unionByName(wordless)
 
 
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -464,21 +500,23 @@ def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     of its group has any. All columns stay as they are.
     """
     join = NGramJoin(docs, size, percent)
-    grouped = join.nodes.select("sig", "holder").join(join.groups().select("sig", "root"), "sig")
+    grouped = join.nodes.select("sig", "n", "holder", "copies").join(join.groups().select("sig", "n", "root"), ["sig", "n"])
     holders = grouped.groupBy("root").agg(F.min("holder").alias("stays"))
-    stays = kept(grouped.join(holders, "root").select("sig", "stays"), "stays")
-    rows = join.rows.filter(F.col("n") > 0).join(stays, "sig")
+    stays = kept(grouped.join(holders, "root").select("sig", "n", "stays", "copies"), "stays")
+    named = join.rows.filter(F.col("n") > 0).select("doc_id", "text_hash", "sig", "n")
+    rows = lookup_per_key(named, stays, ["sig", "n"], "copies")
     own = F.col("doc_id").eqNullSafe(F.col("stays.doc_id")) & (F.col("text_hash") == F.col("stays.text_hash"))
-    keys = [F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")]
+    mark, doc, text = (free_name(docs.columns, c) for c in ("_text_hash", "_id", "_hash"))
+    keys = [F.col("doc_id").alias(doc), F.col("text_hash").alias(text)]
     # Few rows leave, so these are looked up; most texts are never shuffled.
     leave = kept(rows.filter(~own).select(*keys).distinct(), "leave")
     again = kept(rows.filter(own).groupBy(*keys).count().filter("count > 1").drop("count"), "repeated")
-    marked = docs.withColumn("_text_hash", F.xxhash64("text"))
-    here = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash"))
+    marked = docs.withColumn(mark, F.xxhash64("text"))
+    here = F.col("doc_id").cast("long").eqNullSafe(F.col(doc)) & (F.col(mark) == F.col(text))
     left = marked.join(small_side(leave), here, "left_anti")
     if not again.isEmpty():
         # Rows that repeat both id and text: one of each stays.
         repeated = small_side(again)
-        once = left.join(repeated, here, "left_semi").dropDuplicates(["doc_id", "_text_hash"])
+        once = left.join(repeated, here, "left_semi").dropDuplicates(["doc_id", mark])
         left = left.join(repeated, here, "left_anti").unionByName(once)
     return left.select(*docs.columns)

@@ -91,6 +91,37 @@ def test_long_columns(frame, monkeypatch):
     assert run(df, 3, 40) == brute(docs, 3, 40)
 
 
+def test_overlap_bounds(frame, monkeypatch):
+    # Overlaps are the exact counts of common prefix columns, and no pair that is alike is discarded.
+    docs = [d for d in cases(21, 120) if d[1] and d[0] is not None and d[0] < 900]
+    df = frame(docs, "doc_id long, text string")
+    for paired in (64, 2):
+        monkeypatch.setattr(ngramjoin, "PAIRED_ROWS", paired)
+        monkeypatch.setattr(ngramjoin, "BLOCK_ROWS", 5)
+        join = ngramjoin.NGramJoin(df, 3, 60)
+        rows = join.columns().select("shingle", "sig", "n", "place").distinct().collect()
+        columns, sizes = {}, {}
+        for r in rows:
+            columns.setdefault(r.sig, {})[r.shingle] = r.place
+            sizes[r.sig] = r.n
+        single = join.columns().select("shingle", "sig", "n", "place", ngramjoin.F.col("sig").alias("root")).distinct()
+        got = {(r.a, r.b): r for r in join.overlapping(single).collect()}
+        by_id = {r.doc_id: r.sig for r in join.rows.collect()}
+        sets = {by_id[d]: grams(t, 3) for d, t in docs}
+        discarded = 0
+        for a in sorted(columns):
+            for b in (x for x in columns if x > a):
+                both = len(sets[a] & sets[b])
+                alike = 100 * both >= 60 * len(sets[a] | sets[b])
+                if alike:
+                    assert got[a, b].possible
+                if (a, b) in got:
+                    common = len(columns[a].keys() & columns[b].keys())
+                    assert got[a, b].overlap == common or (not alike and got[a, b].overlap < common)
+                    discarded += not got[a, b].possible
+        assert discarded > 0
+
+
 def test_chain_of_links(frame):
     # Each text drops the first word of the one before: neighbours link, the ends do not.
     words = [f"x{i}" for i in range(140)]
@@ -112,6 +143,9 @@ def test_one_of_each(frame):
     wordless = [d for d, n, c in brute(docs, 5, 80) if not n]
     kept = [r.doc_id for r in got.collect()]
     assert sorted(map(str, kept)) == sorted(map(str, [*groups, *wordless]))
+    clashing = frame([(*d, "x", 1, 2, 3) for d in docs], "doc_id long, text string, _id string, _HASH int, _text_hash int, _salt int")
+    got = ngramjoin.one_of_each(clashing)
+    assert got.columns == clashing.columns and sorted(str(r.doc_id) for r in got.collect()) == sorted(map(str, kept))
     nameless = frame([(None, "one two three four five"), (None, "other words stand in here"), (None, "one two three four five")], "doc_id long, text string")
     assert ngramjoin.one_of_each(nameless).count() == 2
 
