@@ -27,7 +27,7 @@ from marginalia.llm.common import free_name, kept, small_side
 from marginalia.operators.topk import lookup_per_key
 
 # Texts worked on at once, at most, by bytes and by rows.
-BYTES_AT_ONCE, ROWS_AT_ONCE = 1 << 20, 1000
+BYTES_AT_ONCE, ROWS_AT_ONCE = (1 << 19) - 2, 1000
 # Columns counted as frequent: how many at most, and from how many documents on.
 FREQUENT, FREQUENT_ROWS, FREQUENT_IN_TASK = 1 << 20, 4, 3
 COUNTED_AT_ONCE = 2 << 20
@@ -138,9 +138,13 @@ def _sets(size: int):
         shingler, seen, pending, held = Shingler(size), set(), [], 0
 
         def counted() -> pa.RecordBatch:
-            grams, rows = np.unique(np.concatenate(pending), return_counts=True)
+            grams = np.concatenate(pending)
+            pending.clear()
+            grams.sort()
+            first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
+            rows = np.diff(first, append=len(grams))
             often = rows >= FREQUENT_IN_TASK
-            return packed(shingle=pa.array(grams[often].view(np.int64)), rows=pa.array(rows[often].astype(np.int64)))
+            return packed(shingle=pa.array(grams[first[often]].view(np.int64)), rows=pa.array(rows[often].astype(np.int64)))
 
         def packed(**columns: pa.Array) -> pa.RecordBatch:
             n = len(next(iter(columns.values())))
