@@ -34,6 +34,8 @@ DEGREES = {
 }
 CHORDS = 8
 DIGITS = 9
+# All numbers that ``midi_number`` gives, C flat 0 to B sharp 9.
+MIDI = range(11, 133)
 
 
 def pitch_class(pitch: Column) -> Column:
@@ -47,34 +49,38 @@ def _standard(profile: tuple[float, ...]) -> list[float]:
     return [(x - mean) / length for x in profile]
 
 
-def key_profiles(spark) -> DataFrame:
-    """tonic (pitch class), mode, place, name, degree, rating: 24 keys x 12 pitch classes."""
-    rows = []
+def key_profiles() -> Column:
+    """Array of 24 keys: place, name, mode and the ratings of the 12 pitch classes."""
+    keys = []
     for place, (mode, profile) in enumerate(PROFILES.items()):
+        rated = _standard(profile)
         for tonic in range(12):
-            for degree, rating in enumerate(_standard(profile)):
-                rows.append((tonic, mode, 12 * place + tonic, TONICS[mode][tonic], (tonic + degree) % 12, rating))
-    return spark.createDataFrame(rows, "tonic int, mode string, place int, name string, pc int, rating double")
+            ratings = F.array(*[F.lit(rated[(pc - tonic) % 12]) for pc in range(12)])
+            keys.append(F.struct(F.lit(12 * place + tonic).alias("place"), F.lit(TONICS[mode][tonic]).alias("name"), F.lit(mode).alias("mode"), ratings.alias("ratings")))
+    return F.array(*keys)
 
 
 def keys_of(notes: DataFrame) -> DataFrame:
     """doc_id, tonic, mode, fit (correlation). Equal fits go to major keys and lower tonics first.
 
     A piece whose pitch classes all sound equally long has no key and is C major.
+    One aggregate by piece gives the twelve weights; the keys are tried on that row.
     """
-    heard = notes.select("doc_id", pitch_class(F.col("pitch")).alias("pc"), "duration").filter("pc IS NOT NULL")
-    weights = heard.groupBy("doc_id", "pc").agg(F.sum("duration").alias("w"))
-    # Profiles have mean zero, so the weights' own mean cancels in the sum; it only counts in their length.
-    sums = weights.groupBy("doc_id").agg(F.sum(F.col("w") * F.col("w")).alias("squares"), F.sum("w").alias("total"))
-    length = F.sqrt(F.greatest(F.lit(0.0), F.col("squares") - F.col("total") * F.col("total") / 12))
-    scored = (
-        weights.join(F.broadcast(key_profiles(notes.sparkSession)), "pc")
-        .groupBy("doc_id", "place", "name", "mode")
-        .agg(F.sum(F.col("w") * F.col("rating")).alias("agreement"))
-        .join(sums.select("doc_id", length.alias("length")), "doc_id")
+    heard = notes.select("doc_id", pitch_class(F.col("pitch")).alias("pc"), "duration").filter("doc_id IS NOT NULL AND pc IS NOT NULL")
+    weights = heard.groupBy("doc_id").agg(
+        F.array(*[F.coalesce(F.sum(F.when(F.col("pc") == pc, F.col("duration"))), F.lit(0)).cast("double") for pc in range(12)]).alias("w")
     )
-    fit = F.when(F.col("length") > 1e-9, F.round(F.col("agreement") / F.col("length"), DIGITS)).otherwise(0.0)
-    best = scored.withColumn("fit", fit).groupBy("doc_id").agg(F.max_by(F.struct("name", "mode", "fit"), F.struct("fit", -F.col("place"))).alias("k"))
+    zero = F.lit(0.0)
+    # Profiles have mean zero, so the weights' own mean cancels in the sum; it only counts in their length.
+    squares, total = (F.aggregate("w", zero, f) for f in (lambda s, w: s + w * w, lambda s, w: s + w))
+    length = F.sqrt(F.greatest(zero, squares - total * total / 12))
+
+    def tried(key: Column) -> Column:
+        agreement = F.aggregate(F.zip_with("w", key["ratings"], lambda w, r: w * r), zero, lambda s, x: s + x)
+        fit = F.when(F.col("length") > 1e-9, F.round(agreement / F.col("length"), DIGITS)).otherwise(0.0)
+        return F.struct(fit.alias("fit"), (-key["place"]).alias("order"), key["name"].alias("name"), key["mode"].alias("mode"))
+
+    best = weights.withColumn("length", length).select("doc_id", F.array_max(F.transform(key_profiles(), tried)).alias("k"))
     return best.select("doc_id", F.when(F.col("k.fit") == 0.0, "C").otherwise(F.col("k.name")).alias("tonic"),
                        F.when(F.col("k.fit") == 0.0, "major").otherwise(F.col("k.mode")).alias("mode"), F.col("k.fit").alias("fit"))
 
@@ -83,25 +89,22 @@ def sonorities(notes: DataFrame) -> DataFrame:
     """doc_id, start, classes (sorted pitch classes), bass: what sounds between neighbouring onsets and ends.
 
     A sweep over the events of a piece: the cuts are its distinct onsets and
-    ends, and a note belongs to every stretch it covers.
+    ends, and running sums of what begins and ends there say what sounds on.
+    Both steps go by piece, and no note is repeated for the stretches it covers.
     """
     heard = notes.select(
         "doc_id", midi_number(F.col("pitch")).alias("midi"), F.col("onset").alias("begin"), (F.col("onset") + F.col("duration")).alias("end")
-    ).filter("midi IS NOT NULL AND end > begin")
-    cuts = heard.select("doc_id", F.explode(F.array("begin", "end")).alias("start")).distinct()
-    order = Window.partitionBy("doc_id").orderBy("start")
-    stretches = cuts.withColumn("stop", F.lead("start").over(order)).filter("stop IS NOT NULL").withColumn("at", F.row_number().over(order))
-    # Begin and end of a note as numbers of stretches: an equi-join, and the cover is a bounded sequence.
-    first = heard.join(stretches.select("doc_id", F.col("start").alias("begin"), F.col("at").alias("low")), ["doc_id", "begin"])
-    covered = first.join(stretches.select("doc_id", F.col("stop").alias("end"), F.col("at").alias("high")), ["doc_id", "end"])
-    held = covered.select("doc_id", "midi", F.explode(F.sequence("low", "high")).alias("at"))
-    classes = F.sort_array(F.collect_set(F.pmod("midi", F.lit(12)).cast("int")))
-    return (
-        held.groupBy("doc_id", "at")
-        .agg(classes.alias("classes"), F.min("midi").alias("bass"))
-        .join(stretches.select("doc_id", "at", "start"), ["doc_id", "at"])
-        .select("doc_id", "start", "classes", F.pmod("bass", F.lit(12)).cast("int").alias("bass"))
-    )
+    ).filter("doc_id IS NOT NULL AND midi IS NOT NULL AND end > begin")
+    turns = F.array(F.struct(F.col("begin").alias("start"), F.lit(1).alias("change")), F.struct(F.col("end").alias("start"), F.lit(-1).alias("change")))
+    events = heard.select("doc_id", "midi", F.inline(turns))
+    counted = {f"class{c}": F.pmod("midi", F.lit(12)) == c for c in range(12)} | {f"midi{m}": F.col("midi") == m for m in MIDI}
+    cuts = events.groupBy("doc_id", "start").agg(*[F.sum(F.when(is_it, F.col("change"))).alias(name) for name, is_it in counted.items()])
+    upto = Window.partitionBy("doc_id").orderBy("start").rowsBetween(Window.unboundedPreceding, 0)
+    sums = cuts.select("doc_id", "start", *[F.sum(name).over(upto).alias(name) for name in counted])
+    sounding = sums.filter(F.greatest(*[f"class{c}" for c in range(12)]) > 0).withColumns({name: F.col(name) > 0 for name in counted})
+    classes = F.array_compact(F.array(*[F.when(F.col(f"class{c}"), F.lit(c)) for c in range(12)]))
+    bass = F.coalesce(*[F.when(F.col(f"midi{m}"), F.lit(m % 12)) for m in MIDI])
+    return sounding.select("doc_id", "start", classes.alias("classes"), bass.alias("bass"))
 
 
 def triads() -> list[tuple[list[int], int, str, bool]]:
@@ -114,28 +117,41 @@ def triads() -> list[tuple[list[int], int, str, bool]]:
     return list(found.values())
 
 
-def progressions(notes: DataFrame, keys: DataFrame) -> DataFrame:
-    """doc_id, chords: numerals of the triads of a piece in order, repeats in a row once, at most eight.
+def _figured(notes: DataFrame, keys: DataFrame) -> DataFrame:
+    """keys with the numerals of the first triads of each piece.
 
-    Other sonorities are passed over; a piece without a triad gets I.
+    Within a piece equal numerals are equal triads, so repeats go before the key
+    is known, and only the few chords that stay meet it.
     """
     spark = notes.sparkSession
     shapes = spark.createDataFrame(triads(), "classes array<int>, root int, mark string, upper boolean")
-    modes = [(12 * p + t, TONICS[m][t], m, t) for p, m in enumerate(PROFILES) for t in range(12)]
-    tonics = spark.createDataFrame(modes, "place int, tonic string, mode string, pc int")
-    degrees = spark.createDataFrame([(m, i, d) for m, names in DEGREES.items() for i, d in enumerate(names)], "mode string, above int, degree string")
-    known = keys.join(F.broadcast(tonics), ["tonic", "mode"]).select("doc_id", "mode", "pc")
-    named = sonorities(notes).join(F.broadcast(shapes), "classes").join(known, "doc_id")
-    figured = named.withColumn("above", F.pmod(F.col("root") - F.col("pc"), F.lit(12)).cast("int")).join(F.broadcast(degrees), ["mode", "above"])
-    numeral = F.concat(F.when(F.col("upper"), F.col("degree")).otherwise(F.lower("degree")), "mark")
     order = Window.partitionBy("doc_id").orderBy("start")
-    changes = figured.select("doc_id", "start", numeral.alias("numeral")).withColumn("last", F.lag("numeral").over(order))
-    kept = changes.filter(~F.col("numeral").eqNullSafe(F.col("last"))).withColumn("n", F.row_number().over(order)).filter(F.col("n") <= CHORDS)
-    listed = kept.groupBy("doc_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("n", "numeral"))), lambda x: x["numeral"]).alias("chords"))
-    return keys.select("doc_id").join(listed, "doc_id", "left").select("doc_id", F.coalesce("chords", F.array(F.lit("I"))).alias("chords"))
+    named = sonorities(notes).select("doc_id", "start", "classes").join(F.broadcast(shapes), "classes")
+    changes = named.withColumn("last", F.lag("classes").over(order)).filter(~F.col("classes").eqNullSafe(F.col("last")))
+    kept = changes.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= CHORDS)
+    listed = kept.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("n", "root", "mark", "upper"))).alias("triads"))
+    tonic = F.create_map(*[F.lit(x) for m, names in TONICS.items() for pc, name in enumerate(names) for x in (f"{name} {m}", pc)])
+    degrees = F.create_map(*[x for m, names in DEGREES.items() for x in (F.lit(m), F.array(*map(F.lit, names)))])
+    based = keys.join(listed, "doc_id", "left").withColumns(
+        {"_pc": F.try_element_at(tonic, F.concat_ws(" ", "tonic", "mode")), "_degrees": F.try_element_at(degrees, F.col("mode"))}
+    )
+
+    def numeral(chord: Column) -> Column:
+        degree = F.get(F.col("_degrees"), F.pmod(chord["root"] - F.col("_pc"), F.lit(12)).cast("int"))
+        return F.concat(F.when(chord["upper"], degree).otherwise(F.lower(degree)), chord["mark"])
+
+    found = F.when(F.col("_pc").isNotNull(), F.transform("triads", numeral))
+    return based.withColumn("chords", F.coalesce(found, F.array(F.lit("I")))).drop("_pc", "_degrees", "triads")
+
+
+def progressions(notes: DataFrame, keys: DataFrame) -> DataFrame:
+    """doc_id, chords: numerals of the triads of a piece in order, repeats in a row once, at most eight.
+
+    Other sonorities are passed over; a piece without a triad gets I.
+    """
+    return _figured(notes, keys).select("doc_id", "chords")
 
 
 def analysis(notes: DataFrame) -> DataFrame:
     """doc_id, tonic, mode, chords: what ``music.describe`` takes as harmony."""
-    keys = keys_of(notes)
-    return keys.select("doc_id", "tonic", "mode").join(progressions(notes, keys), "doc_id", "left")
+    return _figured(notes, keys_of(notes)).select("doc_id", "tonic", "mode", "chords")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from marginalia.functions import formulas as fx
 from marginalia.functions.text import tokenize
 from marginalia.operators import formulas, harmony, music
-from marginalia.plans.registry import query, table, texts
+from marginalia.plans.registry import query, table, texts, texts_by_id
 from marginalia.plans.relations import TOKEN_SQL
 
 # --- formulas: every line of a document is one ------------------------------
@@ -199,12 +199,12 @@ def formula_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _music(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words starting with a..g are notes, others rests; every 50 words a key
     and a time signature. Four elements make a measure."""
-    words = texts(spark, sf_dir).select("doc_id", F.posexplode(tokenize(F.col("text"))).alias("pos", "word"))
+    words = texts_by_id(spark, sf_dir).select("doc_id", F.posexplode(tokenize(F.col("text"))).alias("pos", "word"))
     n = F.length("word")
     kind = (
         F.when(F.col("pos") % 50 == 7, "key_sig")
         .when(F.col("pos") % 50 == 8, "time_sig")
-        .when(F.col("word").rlike("^[a-g]"), "note")
+        .when(F.substring("word", 1, 1).between("a", "g"), "note")
         .otherwise("rest")
     )
     words = words.withColumn("element_type", kind)
