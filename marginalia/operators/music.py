@@ -145,14 +145,14 @@ def phrases(elements: DataFrame, min_rest: float = 1.0) -> DataFrame:
     """
     resting = (F.col("element_type") == "rest") & (F.col("duration") >= min_rest)
     measures = elements.groupBy("doc_id", "measure_number").agg(F.max(resting).alias("rests"))
+    # All windows share one order of a piece, so that its measures are sorted once.
     piece = Window.partitionBy("doc_id").orderBy("measure_number")
-    island = F.col("measure_number") - F.row_number().over(
-        Window.partitionBy("doc_id", "rests").orderBy("measure_number")
-    )
+    upto = piece.rowsBetween(Window.unboundedPreceding, 0)
+    goes_on = F.lag("rests").over(piece).eqNullSafe(True) & F.lag("measure_number").over(piece).eqNullSafe(F.col("measure_number") - 1)
     runs = (
-        measures.withColumn("island", island)
-        .withColumn("is_last", F.lead("measure_number").over(piece).isNull())
-        .withColumn("run_start", F.min("measure_number").over(Window.partitionBy("doc_id", "rests", "island")))
+        measures.withColumn("is_last", F.lead(F.lit(True)).over(piece).isNull())
+        .withColumn("opens", F.when(F.col("rests") & ~goes_on, F.col("measure_number")))
+        .withColumn("run_start", F.last("opens", ignorenulls=True).over(upto))
     )
     opens_piece = F.col("run_start") <= 1
     odd_in_run = (F.col("measure_number") - F.col("run_start")) % 2 == 0

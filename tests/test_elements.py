@@ -122,6 +122,12 @@ def test_phrases_equal_the_walk(spark, rests, first):
     assert [(r["start_measure"], r["end_measure"], r["boundary_type"]) for r in got] == walked(measures)
 
 
+def test_phrases_sort_a_piece_once(spark):
+    rows = [("rest", 1, None, 1.0, None, None)]
+    plan = music.phrases(piece(spark, rows).repartition(3, "doc_id"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 1
+
+
 def test_heading_stack_of_any_depth(spark):
     depths = [0, 3, 8, 6, 8, 0, 10]
     rows = [(1, i, f"h{i}", "Title", 1, d) for i, d in enumerate(depths)] + [(1, 99, "body", "NarrativeText", 2, 0), (2, 0, "alone", "NarrativeText", 1, 0)]
