@@ -102,3 +102,39 @@ def test_blocks_out_of_reach_are_not_read():
     scorer.segment(1, {"stop": [part(list(range(base, base + 500)), 1, 5)]}, nothing, None)
     assert scorer.read == read and scorer.skipped == 1
     assert [list(p) for _, p in scorer.best] == [[2, 1]]
+
+
+def worded(spark, rows):
+    return spark.createDataFrame([(i, str(i), str(i), text) for i, text in rows], "bm25_index long, chunk_id string, doc_id string, text string")
+
+
+def test_tasks_of_blocks_grow_with_the_chunks(spark, monkeypatch):
+    rows = [(i, f"common w{i % 7} w{i % 11}") for i in range(300)]
+    docs = bm25.forward_side(worded(spark, rows))
+    whole = sorted(map(tuple, bm25.postings(docs).collect()))
+    monkeypatch.setattr(postings, "SLOT_CHUNKS", 50)
+    dealt = postings.block_rows(docs)
+    assert dealt.rdd.getNumPartitions() == 6 * postings.SLOTS
+    assert sorted(map(tuple, bm25.postings(docs).collect())) == whole
+    assert dealt.groupBy("term", "segment").count().filter("count > 1").count() == 0
+
+
+def test_postings_search_moves_postings_not_pairs(spark):
+    rows = [(i, f"common w{i % 7} w{i % 11}") for i in range(300)] + [(5, "common w3"), (40_000, "w3 w3 w4")]
+    index = bm25.build_index(worded(spark, rows), materialize=True)
+    queries = spark.createDataFrame([("a", "common w3 w3"), ("b", "w4 none"), (None, "w3")], "query_id string, text string")
+    stored = bm25.stored_postings(index)
+    found = bm25.search_postings(stored, index.terms, index.meta, queries, 9, digits=9)
+    assert "bm25_index" not in "".join(line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hash" in line)
+    idf, avgdl = {r["term"]: r["idf"] for r in index.terms.collect()}, index.meta.first()["avgdl"]
+    scores = {}
+    for query, words in (("a", ["common", "w3", "w3"]), ("b", ["w4"]), (None, ["w3"])):
+        for r in stored.collect():
+            part = words.count(r["term"]) * idf[r["term"]] * r["tf"] * 2.5 / (r["tf"] + 1.5 * (0.25 + 0.75 * r["dl"] / avgdl))
+            if r["term"] in words:
+                scores[query, r["bm25_index"]] = scores.get((query, r["bm25_index"]), 0.0) + part
+    for query in ("a", "b", None):
+        best = sorted((-round(s, 9), i) for (q, i), s in scores.items() if q == query)[:9]
+        got = found.filter(F.col("query_id").eqNullSafe(query)).orderBy("rank").collect()
+        assert [r["bm25_index"] for r in got] == [i for _, i in best]
+        assert [r["score"] for r in got] == pytest.approx([-s for s, _ in best], abs=1e-6)
