@@ -16,7 +16,7 @@ from marginalia.functions.text import SPACE, front_matter, normalize_block, stri
 # Element categories that count as headings.
 HEADING_CATEGORIES = ("Title", "Header")
 
-HEADING_LINE = rf"\A(#{{1,6}})[{SPACE}]+([^\n]+?)[{SPACE}]*\z"
+HEADING_MARKS = rf"\A(#{{1,6}})[{SPACE}]"
 
 
 def text_elements(docs: DataFrame, separator: str = "\n\n") -> DataFrame:
@@ -31,9 +31,15 @@ def text_elements(docs: DataFrame, separator: str = "\n\n") -> DataFrame:
     )
 
 
+def _behind_marks(text: Column) -> Column:
+    return strip(F.ltrim(text, F.lit("#")))
+
+
 def heading_level(text: Column, category: Column, depth: Column) -> Column:
     """Heading level of a normalized block, NULL for body text."""
-    marks = F.regexp_extract(text, HEADING_LINE, 1)
+    # The marks decide, if one line of text follows them; the rest is not matched but trimmed.
+    body = _behind_marks(text)
+    marks = F.when(F.startswith(text, F.lit("#")) & (body != "") & ~body.contains("\n"), F.regexp_extract(text, HEADING_MARKS, 1))
     by_category = F.when(F.coalesce(depth, F.lit(-1)) >= 0, depth + 1).otherwise(F.lit(1))
     return F.when(
         category.isNull(), F.when(marks != "", F.length(marks))
@@ -42,7 +48,7 @@ def heading_level(text: Column, category: Column, depth: Column) -> Column:
 
 def heading_text(text: Column, category: Column) -> Column:
     return F.when(
-        category.isNull(), strip(F.regexp_extract(text, HEADING_LINE, 2))
+        category.isNull(), _behind_marks(text)
     ).otherwise(strip(F.substring_index(text, "\n", 1)))
 
 

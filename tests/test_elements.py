@@ -128,6 +128,20 @@ def test_phrases_sort_a_piece_once(spark):
     assert plan.count("Sort [") == 1
 
 
+def test_headings_are_found_without_matching_whole_blocks(spark):
+    blocks = ["# One  ", "####### seven", "###### six #", "#tag", "#", "## \u3000two\u2003", "# a\nb", "# a\n", "#\n\nnext", "#\r\nnext", " # in", "\x1f\u2028", "##\u2028x", "plain  \n  \nmore \r"]
+    frame = spark.createDataFrame([(1, i, b, None, None, None) for i, b in enumerate(blocks)], "doc_id int, pos int, text string, category string, page_number int, category_depth int")
+    got = {r["pos"]: (r["text"], r["level"], r["heading"]) for r in elements.classify(frame).collect()}
+    assert got == {
+        0: ("# One", 1, "One"), 1: ("####### seven", None, None), 2: ("###### six #", 6, "six #"), 3: ("#tag", None, None), 4: ("#", None, None),
+        5: ("## \u3000two", 2, "two"), 6: ("# a\nb", None, None), 7: ("# a", 1, "a"), 8: ("#\n\nnext", 1, "next"), 9: ("#\nnext", 1, "next"),
+        10: (" # in", None, None), 12: ("##\u2028x", 2, "x"), 13: ("plain\n\nmore", None, None),
+    }
+    # No pattern runs over a whole block to find its heading or its blanks.
+    plan = elements.classify(frame)._jdf.queryExecution().executedPlan().toString()
+    assert "+?" not in plan and r"]+\z" not in plan
+
+
 def test_heading_stack_of_any_depth(spark):
     depths = [0, 3, 8, 6, 8, 0, 10]
     rows = [(1, i, f"h{i}", "Title", 1, d) for i, d in enumerate(depths)] + [(1, 99, "body", "NarrativeText", 2, 0), (2, 0, "alone", "NarrativeText", 1, 0)]
