@@ -14,6 +14,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -152,6 +153,13 @@ def piece_starts(data: np.ndarray) -> np.ndarray:
     return at[ascii_visible | two_bytes | three_bytes]
 
 
+def _with_room(held: np.ndarray, n: int) -> np.ndarray:
+    """The array, made longer by doubling until ``n`` values fit."""
+    while n > len(held):
+        held = np.concatenate([held, np.zeros(len(held), held.dtype)])
+    return held
+
+
 class Encoder:
     """A byte-level tokenizer that remembers the ids of recent pieces."""
 
@@ -164,21 +172,21 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.begins, self.used = [0], 0
+        # Marks in ascending order with the number of their piece; ids of all pieces, and where each begins.
+        self.marks, self.pieces = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.begins, self.known = np.zeros(1 << 16, np.int64), 0
 
-    def learn(self, marks: list[int], texts: list[str]) -> None:
+    def learn(self, texts: list[str]) -> None:
         for first in range(0, len(texts), 4096):
-            coded = self.tokenizer.encode_batch_fast(texts[first : first + 4096], add_special_tokens=False)
-            for mark, one in zip(marks[first : first + 4096], coded):
-                ids = one.ids
-                while self.used + len(ids) > len(self.ids):
-                    self.ids = np.concatenate([self.ids, np.zeros(len(self.ids), np.uint32)])
-                self.ids[self.used : self.used + len(ids)] = ids
-                self.used += len(ids)
-                self.known[mark] = len(self.begins) - 1
-                self.begins.append(self.used)
+            coded = [one.ids for one in self.tokenizer.encode_batch_fast(texts[first : first + 4096], add_special_tokens=False)]
+            flat = np.fromiter(chain.from_iterable(coded), np.uint32)
+            ends = self.used + np.cumsum([len(ids) for ids in coded])
+            self.ids = _with_room(self.ids, self.used + len(flat))
+            self.ids[self.used : self.used + len(flat)] = flat
+            self.begins = _with_room(self.begins, self.known + len(coded) + 1)
+            self.begins[self.known + 1 : self.known + len(coded) + 1] = ends
+            self.used, self.known = self.used + len(flat), self.known + len(coded)
 
     def encode(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a UTF-8 buffer, and the number of ids of each; ``ends``: where each text ends."""
@@ -190,14 +198,19 @@ class Encoder:
         marks, first, which = np.unique(self.hashes(data, starts, stops), return_index=True, return_inverse=True)
         if self.used > IDS_KEPT:
             self.forget()
-        new = [i for i, mark in enumerate(marks.tolist()) if mark not in self.known]
-        if new:
+        at = np.searchsorted(self.marks, marks)
+        place = np.full(len(marks), -1)
+        old = np.flatnonzero(at < len(self.marks))
+        old = old[self.marks[at[old]] == marks[old]]
+        place[old] = self.pieces[at[old]]
+        new = np.flatnonzero(place < 0)
+        if len(new):
             raw = data.tobytes()
             spans = zip(starts[first[new]].tolist(), stops[first[new]].tolist())
-            self.learn(marks[new].tolist(), [raw[a:b].decode("utf-8") for a, b in spans])
-        place = np.fromiter(map(self.known.__getitem__, marks.tolist()), np.int64, len(marks))
-        begins = np.array(self.begins)
-        begin, size = begins[place][which], (begins[place + 1] - begins[place])[which]
+            place[new] = self.known + np.arange(len(new))
+            self.learn([raw[a:b].decode("utf-8") for a, b in spans])
+            self.marks, self.pieces = np.insert(self.marks, at[new], marks[new]), np.insert(self.pieces, at[new], place[new])
+        begin, size = self.begins[place][which], (self.begins[place + 1] - self.begins[place])[which]
         total = np.cumsum(size)
         ids = self.ids[np.repeat(begin - (total - size), size) + np.arange(total[-1])]
         upto = np.concatenate([[0], total])[np.searchsorted(starts, ends)]

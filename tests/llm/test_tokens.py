@@ -61,6 +61,19 @@ def test_forgetting_changes_nothing(monkeypatch):
         assert one.encode(raw, np.array([len(raw)]))[0].tolist() == one.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_remembered_pieces_are_small():
+    one = tokens.Encoder(PATH)
+    for first in range(0, 60_000, 20_000):
+        text = " ".join(f"x{i}" for i in range(first, first + 20_000))
+        raw = np.frombuffer(text.encode(), np.uint8)
+        want = one.tokenizer.encode(text, add_special_tokens=False).ids
+        assert one.encode(raw, np.array([len(raw)]))[0].tolist() == want
+    # Arrays only, without an object per piece: a mark, a number, a place and its ids, with room to double.
+    held = [x for x in vars(one).values() if isinstance(x, np.ndarray)]
+    assert not any(isinstance(x, (dict, list)) for x in vars(one).values())
+    assert sum(x.nbytes for x in held) < 60_000 * 80
+
+
 def expected(rows):
     tokenizer, start, out = Tokenizer.from_file(PATH), 0, []
     for doc, text in rows:
