@@ -182,25 +182,29 @@ def measure_groups(elements: DataFrame, size: int = MEASURES_PER_PHRASE) -> Data
     )
 
 
-def rhythm(elements: DataFrame) -> DataFrame:
-    """Rhythm words per piece, from the durations of its notes."""
-    d = F.col("duration")
+def _offset(lasting: Column) -> Column:
+    """What lasted before an element within its measure."""
     start = Window.partitionBy("doc_id", "measure_number").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    sounding = elements.filter(F.col("element_type").isin(*SOUNDING)).withColumn(
-        "offset", F.coalesce(F.sum("duration").over(start), F.lit(0.0))
-    )
-    notes = sounding.filter("element_type = 'note'")
-    off_beat = F.col("offset") != F.floor("offset")
-    flags = notes.groupBy("doc_id").agg(
-        F.max(d >= 4.0).alias("whole"),
-        F.max((d >= 2.0) & (d < 4.0)).alias("half"),
-        F.max((d >= 1.0) & (d < 2.0)).alias("quarter"),
-        F.max((d >= 0.5) & (d < 1.0)).alias("eighth"),
-        F.max(d < 0.5).alias("sixteenth"),
-        F.max(d.isin(*DOTTED)).alias("dotted"),
-        F.max((F.abs(d - 1 / 3) < 0.01) | (F.abs(d - 2 / 3) < 0.01)).alias("triplets"),
-        F.max(off_beat).alias("syncopation"),
-    )
+    return F.coalesce(F.sum(lasting).over(start), F.lit(0.0))
+
+
+def _rhythm_flags(is_note: Column) -> list[Column]:
+    """Aggregates over the notes of a piece, from duration and offset."""
+    d = F.col("duration")
+    flags = {
+        "whole": d >= 4.0,
+        "half": (d >= 2.0) & (d < 4.0),
+        "quarter": (d >= 1.0) & (d < 2.0),
+        "eighth": (d >= 0.5) & (d < 1.0),
+        "sixteenth": d < 0.5,
+        "dotted": d.isin(*DOTTED),
+        "triplets": (F.abs(d - 1 / 3) < 0.01) | (F.abs(d - 2 / 3) < 0.01),
+        "syncopation": F.col("offset") != F.floor("offset"),
+    }
+    return [F.max(F.when(is_note, flag)).alias(name) for name, flag in flags.items()]
+
+
+def _rhythm_words() -> Column:
     lengths = F.array_compact(
         F.array(*[F.when(F.col(n), f"{n} notes") for n in ("whole", "half", "quarter", "eighth", "sixteenth")])
     )
@@ -211,9 +215,14 @@ def rhythm(elements: DataFrame) -> DataFrame:
         F.when(F.col("triplets"), "triplets"),
         F.when(F.col("syncopation"), "syncopation"),
     )
-    return flags.select(
-        "doc_id", F.when(words == "", "regular rhythmic pattern").otherwise(words).alias("rhythm")
-    )
+    return F.when(words == "", "regular rhythmic pattern").otherwise(words)
+
+
+def rhythm(elements: DataFrame) -> DataFrame:
+    """Rhythm words per piece, from the durations of its notes."""
+    sounding = elements.filter(F.col("element_type").isin(*SOUNDING)).withColumn("offset", _offset(F.col("duration")))
+    flags = sounding.filter("element_type = 'note'").groupBy("doc_id").agg(*_rhythm_flags(F.lit(True)))
+    return flags.select("doc_id", _rhythm_words().alias("rhythm"))
 
 
 def midi_number(pitch: Column) -> Column:
@@ -224,24 +233,28 @@ def midi_number(pitch: Column) -> Column:
     return (octave + 1) * 12 + F.try_element_at(steps, F.upper(F.substring(pitch, 1, 1))) + shift
 
 
-def characteristics(elements: DataFrame) -> DataFrame:
-    """Complexity by note count, and a rising or falling opening of five notes."""
-    notes = elements.filter("element_type = 'note'").withColumn("midi", midi_number(F.col("pitch")))
-    order = Window.partitionBy("doc_id").orderBy("pos")
-    placed = notes.withColumn("n", F.row_number().over(order)).withColumn("step", F.col("midi") - F.lag("midi").over(order))
-    opening = F.col("n").between(2, 5)
-    counted = placed.groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("n_notes"),
-        F.min(F.when(opening, F.col("step"))).alias("low"),
-        F.max(F.when(opening, F.col("step"))).alias("high"),
-    )
+def _opening(is_note: Column) -> list[Column]:
+    """Aggregates over the notes of a piece, from their number: how many, and the pitches of the first five."""
+    return [F.count_if(is_note).alias("n_notes"), *[F.max(F.when(is_note & (F.col("n") == i), F.col("pitch"))).alias(f"pitch{i}") for i in range(1, 6)]]
+
+
+def _traits() -> Column:
+    midi = [midi_number(F.col(f"pitch{i}")) for i in range(1, 6)]
+    steps = [after - before for before, after in zip(midi, midi[1:])]
     size = (
         F.when(F.col("n_notes") < 10, "simple melody")
         .when(F.col("n_notes") < 30, "moderate complexity")
         .otherwise("complex passage")
     )
-    shape = F.when(F.col("n_notes") >= 4, F.when(F.col("low") > 0, "ascending melodic pattern").when(F.col("high") < 0, "descending melodic pattern"))
-    return counted.select("doc_id", F.concat_ws(", ", size, shape).alias("characteristics"))
+    shape = F.when(F.least(*steps) > 0, "ascending melodic pattern").when(F.greatest(*steps) < 0, "descending melodic pattern")
+    return F.concat_ws(", ", size, F.when(F.col("n_notes") >= 4, shape))
+
+
+def characteristics(elements: DataFrame) -> DataFrame:
+    """Complexity by note count, and a rising or falling opening of five notes."""
+    order = Window.partitionBy("doc_id").orderBy("pos")
+    notes = elements.filter("element_type = 'note'").withColumn("n", F.row_number().over(order))
+    return notes.groupBy("doc_id").agg(*_opening(F.lit(True))).select("doc_id", _traits().alias("characteristics"))
 
 
 def describe(elements: DataFrame, harmony: DataFrame | None = None) -> DataFrame:
@@ -249,11 +262,21 @@ def describe(elements: DataFrame, harmony: DataFrame | None = None) -> DataFrame
 
     ``harmony`` (doc_id, tonic, mode, chords array) comes from a pluggable
     analysis; without it the defaults C major and the tonic chord stand in.
+    Signature, rhythm and characteristics are one pass over the elements.
     """
-    signed = F.col("element_type") == "time_sig"
+    kind = F.col("element_type")
+    signed, is_note = kind == "time_sig", F.coalesce(kind == "note", F.lit(False))
+    upto = Window.partitionBy("doc_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    placed = elements.withColumns(
+        {"offset": _offset(F.when(kind.isin(*SOUNDING), F.col("duration"))), "n": F.count(F.when(is_note, 1)).over(upto)}
+    )
     first = F.min_by(F.when(signed, F.coalesce("time_signature", F.lit("4/4"))), F.when(signed, F.col("pos")))
-    base = elements.groupBy("doc_id").agg(first.alias("time_signature"))
-    base = base.join(rhythm(elements), "doc_id", "left").join(characteristics(elements), "doc_id", "left")
+    base = placed.groupBy("doc_id").agg(first.alias("time_signature"), *_rhythm_flags(is_note), *_opening(is_note))
+    # A piece without an id has no words of its own, as it meets no harmony either.
+    told = F.col("doc_id").isNotNull() & (F.col("n_notes") > 0)
+    base = base.select(
+        "doc_id", "time_signature", F.when(told, _rhythm_words()).alias("rhythm"), F.when(told, _traits()).alias("characteristics")
+    )
     if harmony is not None:
         base = base.join(harmony, "doc_id", "left")
         tonic, mode, chords = F.coalesce("tonic", F.lit("C")), F.coalesce("mode", F.lit("major")), F.slice("chords", 1, 8)

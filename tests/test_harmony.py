@@ -115,3 +115,27 @@ def test_description_uses_the_analysis(spark):
     )
     text = music.describe(elements, harmony.analysis(found)).first()["description"]
     assert text.startswith("Music phrase in A minor, 4/4 time signature. Harmonic progression: i - iv - V - i.")
+
+
+ELEMENTS = "doc_id string, pos long, element_type string, measure_number long, pitch string, duration double, sharps int, time_signature string"
+
+
+def test_description_is_one_pass_over_the_elements(spark):
+    rising = [("up", i, "note", 1 + i // 4, f"{p}4", 1.5, None, None) for i, p in enumerate("CDEFG")]
+    # A null pitch among the first notes breaks neither steps nor counts; a rest shifts what follows off the beat.
+    falling = [("down", i, "note", 1, p, 2.0, None, None) for i, p in enumerate(["G4", None, "E4", "D4"])] + [("down", 9, "rest", 2, None, 0.5, None, None), ("down", 10, "note", 2, "B3", 1.0, None, None)]
+    others = [("rests", 0, "rest", 1, None, 4.0, None, None), ("rests", 1, "time_sig", 1, None, None, None, "3/4"), (None, 0, "note", 1, "C4", 1.0, None, None), ("odd", 0, "note", 1, "C4", None, None, None)]
+    elements = spark.createDataFrame(rising + falling + others, ELEMENTS)
+    found = music.describe(elements)
+    got = {r["doc_id"]: r["description"].split("Rhythmic pattern: ")[1] for r in found.collect()}
+    assert got == {
+        "up": "quarter notes, dotted rhythms, syncopation. Musical characteristics: simple melody, ascending melodic pattern.",
+        "down": "half notes, quarter notes, syncopation. Musical characteristics: simple melody, descending melodic pattern.",
+        "rests": "no rhythmic content. Musical characteristics: simple melody.",
+        None: "no rhythmic content. Musical characteristics: simple melody.",
+        "odd": "regular rhythmic pattern. Musical characteristics: simple melody.",
+    }
+    parts = {r["doc_id"]: r["rhythm"] for r in music.rhythm(elements).collect()}
+    assert all(got[d].startswith(f"{parts[d]}.") for d in ("up", "down", "odd"))
+    plan = plan_of(music.describe(elements))
+    assert plan.count("Exchange") == 1 and "Join" not in plan
