@@ -217,3 +217,23 @@ def test_embedding_is_unit_length_and_skips_blanks(spark):
     rows = models.embed(chunks, models.digest_embedder()).collect()
     assert len(rows) == 2
     assert all(sum(x * x for x in r["embedding"]) == pytest.approx(1.0, abs=1e-5) for r in rows)
+
+
+def test_chunks_by_language_without_shuffling_texts(spark, tmp_path):
+    from collections import Counter
+
+    from marginalia.plans import relations as rel
+
+    rows = [(1, "a", "en"), (2, "b", "de"), (3, "c", None), (None, "d", "en"), (None, "e", "de")]
+    twice = [(4, "f", "en"), (4, "g", "de"), (4, "h", None), (5, "i", "en"), (5, "j", "en"), (6, "k", "de"), (6, None, "fr")]
+    for name, table in {"single": rows, "twice": rows + twice}.items():
+        folder = str(tmp_path / name)
+        docs = spark.createDataFrame(table, "doc_id long, text string, lang string")
+        docs.write.parquet(f"{folder}/documents.parquet")
+        parts = rel.english_and_others(spark, folder)
+        # As the join of texts with the languages of their id gives them.
+        joined = docs.select("doc_id", "text").join(docs.select("doc_id", "lang"), "doc_id").collect()
+        for part, wanted in zip(parts, (True, False)):
+            assert Counter((r["bm25_index"], r["text"]) for r in part.collect()) == Counter((r["doc_id"], r["text"]) for r in joined if (r["lang"] == "en") is wanted)
+            assert part.columns == ["bm25_index", "chunk_id", "doc_id", "text"]
+            assert "SortMergeJoin" not in part._jdf.queryExecution().executedPlan().toString()
